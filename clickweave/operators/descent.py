@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from clickweave.functions.scalar import sigmoid
 from clickweave.operators.scoring import model_rows_hot
-from clickweave.plans.lookup import BROADCAST_BYTES, left_lookup, measure
+from clickweave.plans.lookup import BROADCAST_BYTES, fits, left_lookup
 from clickweave.plans.scratch import materialize
 
 BIAS_INDEX = -1
@@ -41,6 +42,9 @@ INITIAL_INTERCEPT = 1.0
 TOLERANCE = 1e-3
 # weights of all models together that may be held by the driver and each worker
 BROADCAST_PARAMETERS = 1 << 22
+# gradient numbers one reduce task adds up
+SHARES_PER_REDUCER = 4_000_000
+_ADAPTIVE = "spark.sql.adaptive.enabled"
 
 
 @dataclass(frozen=True)
@@ -160,7 +164,7 @@ def _fit_distributed(
     try:
         n_rows = entries.where(F.col("idx") == BIAS_INDEX).count()
         weights = initial_weights(spark, dimension, n_models)
-        small = measure(weights, row_bytes=64 + 8 * n_models).fits(broadcast_bytes)
+        small = fits(weights, broadcast_bytes, row_bytes=64 + 8 * n_models)
         hot = None
         if not small:
             bias = spark.range(BIAS_INDEX, BIAS_INDEX + 1).select(F.col("id").alias("idx"))
@@ -213,6 +217,36 @@ def _gradient_shares(sent: Broadcast, models: Sequence[int]):
     return shares
 
 
+def _gradient(rows: DataFrame, weights: np.ndarray, models: Sequence[int], reducers: int) -> np.ndarray:
+    """Summed gradient of every given model; its size is that of the weights."""
+    sent = rows.sparkSession.sparkContext.broadcast(weights)
+    try:
+        shares = rows.mapInArrow(_gradient_shares(sent, models), "model_id int, idx bigint, g double")
+        summed = shares.repartition(reducers, "model_id", "idx").groupBy("model_id", "idx").agg(F.sum("g").alias("g"))
+        total = summed.toArrow()
+    finally:
+        sent.destroy()
+    gradient = np.zeros_like(weights)
+    gradient[total["model_id"].to_numpy(), total["idx"].to_numpy()] = total["g"].to_numpy()
+    return gradient
+
+
+def _reducers(tasks: int, parameters: int, limit: int) -> int:
+    """Reduce tasks for ``tasks`` gradient shares of up to ``parameters`` numbers each."""
+    return max(1, min(limit, tasks * parameters // SHARES_PER_REDUCER))
+
+
+@contextmanager
+def _fixed_plan(spark: SparkSession) -> Iterator[None]:
+    """Run with adaptive planning off: each iteration is the same pass with an aggregate of known size."""
+    before = spark.conf.get(_ADAPTIVE)
+    spark.conf.set(_ADAPTIVE, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(_ADAPTIVE, before)
+
+
 def _fit_broadcast(
     encoded: DataFrame, dimension: int, settings: Sequence[Setting], iterations: int, tol: float
 ) -> Fitted:
@@ -227,24 +261,22 @@ def _fit_broadcast(
     active, used = list(range(n_models)), [0] * n_models
     try:
         n_rows = rows.count()
-        for i in range(1, iterations + 1):
-            sent = spark.sparkContext.broadcast(weights)
-            shares = rows.mapInArrow(_gradient_shares(sent, active), "model_id int, idx bigint, g double")
-            total = shares.groupBy("model_id", "idx").agg(F.sum("g").alias("g")).toArrow()
-            sent.destroy()
-            gradient = np.zeros_like(weights)
-            gradient[total["model_id"].to_numpy(), total["idx"].to_numpy()] = total["g"].to_numpy()
-            moved = weights.copy()
-            for k in active:
-                eta = _eta(settings[k], i)
-                moved[k] = weights[k] * (1.0 - eta * settings[k].reg_param) - eta * gradient[k] / n_rows
-                used[k] = i
-            if tol > 0 and i > 1:
-                change, size = ((moved - weights) ** 2).sum(axis=1), (moved**2).sum(axis=1)
-                active = [k for k in active if not _converged(change[k], size[k], tol)]
-            weights = moved
-            if not active:
-                break
+        limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        reducers = _reducers(rows.rdd.getNumPartitions(), weights.size, limit)
+        with _fixed_plan(spark):
+            for i in range(1, iterations + 1):
+                gradient = _gradient(rows, weights, active, reducers)
+                moved = weights.copy()
+                for k in active:
+                    eta = _eta(settings[k], i)
+                    moved[k] = weights[k] * (1.0 - eta * settings[k].reg_param) - eta * gradient[k] / n_rows
+                    used[k] = i
+                if tol > 0 and i > 1:
+                    change, size = ((moved - weights) ** 2).sum(axis=1), (moved**2).sum(axis=1)
+                    active = [k for k in active if not _converged(change[k], size[k], tol)]
+                weights = moved
+                if not active:
+                    break
     finally:
         rows.unpersist()
     columns = weights[:, :dimension]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.operators.observations import explode_features
-from clickweave.plans.lookup import BROADCAST_BYTES, anti_lookup, hot_keys, left_lookup, measure
+from clickweave.plans.lookup import BROADCAST_BYTES, anti_lookup, hot_keys, left_lookup, table_bytes
 from clickweave.plans.prefix import dense_index
 
 _KEY = ["feature_id", "value"]
@@ -29,6 +29,13 @@ def dictionary_size(dictionary: DataFrame) -> DataFrame:
     return dictionary.agg(F.count("*").alias("dimension"))
 
 
+def _shape(dictionary: DataFrame, broadcast_bytes: int) -> tuple[bool, int]:
+    """Whether the dictionary may be broadcast, and how many positions it covers."""
+    size = table_bytes(F.lit(1), F.col("value"))
+    row = dictionary.agg(size.alias("bytes"), F.max("feature_id").alias("last")).first()
+    return row["bytes"] <= broadcast_bytes, 0 if row["last"] is None else row["last"] + 1
+
+
 def _hot(dictionary: DataFrame) -> DataFrame:
     return hot_keys(dictionary, _KEY, text=["value"])
 
@@ -63,9 +70,7 @@ def encode_ohe(
     known value stays, with empty arrays.
     """
     carried = [c for c in observations.columns if c != "feats"]
-    small = measure(dictionary, text=["value"]).fits(broadcast_bytes)
-    positions = (dictionary.agg(F.max("feature_id").alias("last")).first()["last"] if small else None)
-    n_features = 0 if positions is None else positions + 1
+    small, n_features = _shape(dictionary, broadcast_bytes)
     if small and 0 < n_features <= MAX_POSITION_JOINS:
         encoded = _by_position(observations, dictionary, n_features)
     else:
@@ -79,7 +84,7 @@ def unseen_features(
 ) -> DataFrame:
     """The single features that encoding drops."""
     single = explode_features(observations)
-    small = measure(dictionary, text=["value"]).fits(broadcast_bytes)
+    small, _ = _shape(dictionary, broadcast_bytes)
     return anti_lookup(single, dictionary, _KEY, small=small, hot=None if small else _hot(dictionary)).select(
         *single.columns
     )

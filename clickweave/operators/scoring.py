@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from clickweave.functions.scalar import log_loss, probability
 from clickweave.operators.profile import feature_frequency
-from clickweave.plans.lookup import BROADCAST_BYTES, hot_keys, left_lookup, measure
+from clickweave.plans.lookup import BROADCAST_BYTES, fits, hot_keys, left_lookup
 from clickweave.plans.scratch import materialize
 
 
@@ -34,7 +34,7 @@ def margins(
     """
     n_models = len(intercepts)
     carried = [c for c in encoded.columns if c not in ("indices", "values")]
-    small = measure(weights, row_bytes=64 + 8 * n_models).fits(broadcast_bytes)
+    small = fits(weights, broadcast_bytes, row_bytes=64 + 8 * n_models)
     hot = None if small else model_rows_hot(encoded)
     pairs = F.arrays_zip(F.col("indices").alias("idx"), F.col("values").alias("val"))
     entries = encoded.select(*carried, F.inline_outer(pairs).alias("idx", "val"))

@@ -11,9 +11,8 @@ exactly the rows of a plain left / anti join.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 << 20
@@ -25,20 +24,15 @@ HOT_KEY_BYTES = 1024
 _SALTS = 1 << 16
 
 
-@dataclass(frozen=True)
-class TableSize:
-    rows: int
-    bytes: int
+def table_bytes(rows: Column, text: Column | None = None, row_bytes: int = ROW_OVERHEAD_BYTES) -> Column:
+    """Aggregate: memory a lookup table takes, from its rows and the bytes of its text."""
+    fixed = F.count(rows) * F.lit(row_bytes)
+    return fixed if text is None else fixed + F.coalesce(F.sum(F.octet_length(text).cast("bigint")), F.lit(0))
 
-    def fits(self, limit: int) -> bool:
-        return self.bytes <= limit
 
-
-def measure(table: DataFrame, text: Sequence[str] = (), row_bytes: int = ROW_OVERHEAD_BYTES) -> TableSize:
-    """Count rows and bytes of a lookup table (one small aggregate job)."""
-    length = sum((F.octet_length(c) for c in text), F.lit(0))
-    row = table.agg(F.count("*").alias("rows"), F.sum(length.cast("long")).alias("text")).first()
-    return TableSize(row["rows"], row["rows"] * row_bytes + (row["text"] or 0))
+def fits(table: DataFrame, limit: int, row_bytes: int = ROW_OVERHEAD_BYTES) -> bool:
+    """Measure a table of plain numbers against a broadcast limit (one small job)."""
+    return table.agg(table_bytes(F.lit(1), row_bytes=row_bytes).alias("bytes")).first()["bytes"] <= limit
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], n: str = "n", text: Sequence[str] = ()) -> DataFrame:

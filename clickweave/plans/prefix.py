@@ -10,10 +10,10 @@ disagree with the totals.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickweave.plans.scratch import materialize
 
@@ -22,21 +22,12 @@ _POSITION_BITS = 33
 _POSITION_MASK = (1 << _POSITION_BITS) - 1
 
 
-def _shift_by_earlier_ranges(
-    df: DataFrame, totals: Sequence[tuple], part: str, names: Sequence[str], types: Sequence[T.DataType]
-) -> DataFrame:
-    """Attach, per range, what all earlier ranges add up to (one row per range)."""
-    running = [0.0 if isinstance(t, T.DoubleType) else 0 for t in types]
-    rows = []
-    for pid, *sums in sorted(totals):
-        rows.append((pid, *running))
-        running = [acc + (s or 0) for acc, s in zip(running, sums)]
-    schema = T.StructType(
-        [T.StructField(part, T.LongType())]
-        + [T.StructField(f"_before_{n}", t) for n, t in zip(names, types)]
-    )
-    offsets = df.sparkSession.createDataFrame(rows, schema)
-    return df.join(F.broadcast(offsets), part, "inner")
+def _before(totals: Mapping[int, int | float], part: Column, kind: str) -> Column:
+    """What all ranges before the given one add up to: one literal number per range."""
+    last = max(totals, default=0)
+    sums = accumulate((totals.get(pid, 0) for pid in range(last)), initial=0)
+    literal = F.split(F.lit(",".join(map(repr, sums))), ",").cast(f"array<{kind}>")
+    return F.get(literal, part)
 
 
 def dense_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataFrame:
@@ -45,11 +36,10 @@ def dense_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataF
     numbered = materialize(
         df.repartitionByRange(*order).sortWithinPartitions(*order).select("*", row_id.alias("_row")),
         "dense-index",
-    ).withColumn("_part", F.shiftright("_row", _POSITION_BITS))
-    totals = numbered.groupBy("_part").agg(F.count("*").alias("n")).collect()
-    shifted = _shift_by_earlier_ranges(numbered, totals, "_part", ["n"], [T.LongType()])
+    ).withColumn("_part", F.shiftright("_row", _POSITION_BITS).cast("int"))
+    totals = {r["_part"]: r["n"] for r in numbered.groupBy("_part").agg(F.count("*").alias("n")).collect()}
     position = F.col("_row").bitwiseAND(F.lit(_POSITION_MASK))
-    return shifted.select(*df.columns, (F.col("_before_n") + position).alias(name))
+    return numbered.select(*df.columns, (_before(totals, F.col("_part"), "bigint") + position).alias(name))
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, str]) -> DataFrame:
@@ -59,14 +49,15 @@ def running_totals(df: DataFrame, order: Sequence[Column], sums: Mapping[str, st
     be a total order (break ties with a key).
     """
     ranged = materialize(
-        df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id().cast("long")),
+        df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()),
         "running-totals",
     )
-    totals = ranged.groupBy("_part").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    types = [totals.schema[n].dataType for n in sums]
-    shifted = _shift_by_earlier_ranges(ranged, totals.collect(), "_part", list(sums), types)
+    totals = ranged.groupBy("_part").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(n) for n, c in sums.items()])
+    rows = totals.collect()
     inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return shifted.select(
-        *df.columns,
-        *[(F.col(f"_before_{n}") + F.sum(c).over(inside)).alias(n) for n, c in sums.items()],
-    )
+    running = [
+        _before({r["_part"]: r[n] for r in rows}, F.col("_part"), totals.schema[n].dataType.simpleString())
+        + F.sum(c).over(inside)
+        for n, c in sums.items()
+    ]
+    return ranged.select(*df.columns, *[total.alias(n) for total, n in zip(running, sums)])
