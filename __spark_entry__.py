@@ -8,16 +8,20 @@ two engines add in different orders.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickweave.functions.scalar import log_loss
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from clickweave.operators import descent, grid, hashed, observations, onehot, profile, roc, scoring, splits
 from clickweave.plans.scratch import scratch_path
 from clickweave.sources import derived, lines
 from clickweave.workflow import report
+from oracle_queries import ORACLES
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -397,6 +401,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def oracle_sql() -> dict[str, str]:
+    """DuckDB SQL per query; only the seeded sampler has no SQL equivalent."""
+    return dict(ORACLES)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: search the grid on hashed features, report the best model against the baseline."""
     return q_model_report(spark, SMOKE_DIR)
