@@ -11,6 +11,8 @@ exactly the rows of a plain left / anti join.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,7 +69,7 @@ def left_lookup(
     first = table.join(F.broadcast(hot), keys, "left_semi").select(
         *keys, F.lit(True).alias("_answered"), *[F.col(c).alias(f"_hot_{c}") for c in take]
     )
-    keyless = F.greatest(*[F.col(k).isNull() for k in keys])
+    keyless = reduce(or_, [F.col(k).isNull() for k in keys])
     settled = F.coalesce(F.col("_answered"), F.lit(False)) | keyless
     salt = F.when(settled, F.pmod(F.xxhash64(spread), F.lit(_SALTS)) + 1).otherwise(F.lit(0).cast("long"))
     salted = rows.join(F.broadcast(first), keys, "left").withColumn("_salt", salt)
