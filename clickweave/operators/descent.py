@@ -218,22 +218,28 @@ def _gradient_shares(sent: Broadcast, models: Sequence[int]):
 
 
 def _gradient(rows: DataFrame, weights: np.ndarray, models: Sequence[int], reducers: int) -> np.ndarray:
-    """Summed gradient of every given model; its size is that of the weights."""
+    """Summed gradient of every given model; its size is that of the weights.
+
+    ``reducers`` is 0 where all shares together are few enough to be added here.
+    """
     sent = rows.sparkSession.sparkContext.broadcast(weights)
     try:
         shares = rows.mapInArrow(_gradient_shares(sent, models), "model_id int, idx bigint, g double")
-        summed = shares.repartition(reducers, "model_id", "idx").groupBy("model_id", "idx").agg(F.sum("g").alias("g"))
-        total = summed.toArrow()
+        if reducers:
+            keys = ["model_id", "idx"]
+            shares = shares.repartition(reducers, *keys).groupBy(*keys).agg(F.sum("g").alias("g"))
+        total = shares.toArrow()
     finally:
         sent.destroy()
     gradient = np.zeros_like(weights)
-    gradient[total["model_id"].to_numpy(), total["idx"].to_numpy()] = total["g"].to_numpy()
+    np.add.at(gradient, (total["model_id"].to_numpy(), total["idx"].to_numpy()), total["g"].to_numpy())
     return gradient
 
 
 def _reducers(tasks: int, parameters: int, limit: int) -> int:
     """Reduce tasks for ``tasks`` gradient shares of up to ``parameters`` numbers each."""
-    return max(1, min(limit, tasks * parameters // SHARES_PER_REDUCER))
+    shares = tasks * parameters
+    return 0 if shares <= SHARES_PER_REDUCER else min(limit, -(-shares // SHARES_PER_REDUCER))
 
 
 @contextmanager

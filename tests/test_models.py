@@ -62,9 +62,13 @@ def _weights(fitted, k=0):
 SETTINGS = [Setting(1.0, 1e-6), Setting(10.0, 1e-3), Setting(3.0, 0.1)]
 
 
-@pytest.mark.parametrize("path", ["broadcast", "table", "shuffled"])
-def test_fit_matches_the_rule(encoded, path):
+@pytest.mark.parametrize("path", ["broadcast", "reduced", "table", "shuffled"])
+def test_fit_matches_the_rule(encoded, path, monkeypatch):
+    if path == "reduced":
+        # as if the tasks returned more than one reducer may add up
+        monkeypatch.setattr(descent, "SHARES_PER_REDUCER", 50)
     options = {
+        "reduced": {},
         "broadcast": {},
         "table": {"broadcast_parameters": 0},
         "shuffled": {"broadcast_parameters": 0, "broadcast_bytes": 0},
