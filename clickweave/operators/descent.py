@@ -85,7 +85,7 @@ def bias_entries(encoded: DataFrame) -> DataFrame:
     return (
         encoded.select("obs_id", "label", "indices", "values")
         .repartition("obs_id")
-        .select("obs_id", "label", F.inline(pairs).alias("idx", "val"))
+        .select("obs_id", "label", F.inline_outer(pairs).alias("idx", "val"))
         .sortWithinPartitions("obs_id")
     )
 

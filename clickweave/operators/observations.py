@@ -25,6 +25,11 @@ def parse_observations(lines: DataFrame) -> DataFrame:
 
 
 def explode_features(observations: DataFrame) -> DataFrame:
-    """One row per feature; ``feature_id`` is the 0-based position."""
+    """One row per feature; ``feature_id`` is the 0-based position.
+
+    The outer form with a filter behind it keeps the optimizer from guarding
+    the explode with a size test that would parse every line twice.
+    """
     carried = _carried(observations, "feats")
-    return observations.select(*carried, F.posexplode("feats").alias("feature_id", "value"))
+    single = observations.select(*carried, F.posexplode_outer("feats").alias("feature_id", "value"))
+    return single.where(F.col("feature_id").isNotNull())

@@ -14,10 +14,18 @@ def categories_per_feature(features: DataFrame) -> DataFrame:
 
 
 def explode_encoded(encoded: DataFrame) -> DataFrame:
-    """One row per non-zero: ``idx`` and ``val``."""
+    """One row per non-zero: ``idx`` and ``val``.
+
+    Outer explode and filter, so that no size test repeats the encoding.
+    """
+    return explode_encoded_outer(encoded).where(F.col("idx").isNotNull())
+
+
+def explode_encoded_outer(encoded: DataFrame) -> DataFrame:
+    """As :func:`explode_encoded`, with one NULL entry for a row without non-zeros."""
     carried = [c for c in encoded.columns if c not in ("indices", "values")]
     pairs = F.arrays_zip(F.col("indices").alias("idx"), F.col("values").alias("val"))
-    return encoded.select(*carried, F.inline(pairs).alias("idx", "val"))
+    return encoded.select(*carried, F.inline_outer(pairs).alias("idx", "val"))
 
 
 def nnz() -> Column:
@@ -45,7 +53,8 @@ def first_k_sum(df: DataFrame, amount: Column, k: int, by: str = "obs_id", name:
 
 def feature_frequency(encoded: DataFrame) -> DataFrame:
     """Rows in which each index occurs."""
-    return encoded.select(F.explode("indices").alias("idx")).groupBy("idx").agg(F.count("*").alias("n"))
+    single = encoded.select(F.explode_outer("indices").alias("idx")).where(F.col("idx").isNotNull())
+    return single.groupBy("idx").agg(F.count("*").alias("n"))
 
 
 def frequency_histogram(frequency: DataFrame) -> DataFrame:

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from clickweave.functions.scalar import log_loss, probability
-from clickweave.operators.profile import feature_frequency
+from clickweave.operators.profile import explode_encoded_outer, feature_frequency
 from clickweave.plans.lookup import BROADCAST_BYTES, fits, hot_keys, left_lookup
 from clickweave.plans.scratch import materialize
 
@@ -36,9 +35,7 @@ def margins(
     carried = [c for c in encoded.columns if c not in ("indices", "values")]
     small = fits(weights, broadcast_bytes, row_bytes=64 + 8 * n_models)
     hot = None if small else model_rows_hot(encoded)
-    pairs = F.arrays_zip(F.col("indices").alias("idx"), F.col("values").alias("val"))
-    entries = encoded.select(*carried, F.inline_outer(pairs).alias("idx", "val"))
-    found = left_lookup(entries, weights, ["idx"], ["weights"], small=small, hot=hot)
+    found = left_lookup(explode_encoded_outer(encoded), weights, ["idx"], ["weights"], small=small, hot=hot)
     sums = [
         (F.coalesce(F.sum(F.col("val") * F.col("weights")[k]), F.lit(0.0)) + F.lit(float(b))).alias(f"margin_{k}")
         for k, b in enumerate(intercepts)
@@ -102,15 +99,7 @@ def evaluate_models(
 ) -> DataFrame:
     """Mean log loss of every model, ``(model_id INT, log_loss)``, in one job."""
     scored = margins(encoded, weights, intercepts, broadcast_bytes)
-    losses = scored.agg(
-        *[
-            F.avg(log_loss(probability(F.col(f"margin_{k}")), F.col("label"))).alias(f"loss_{k}")
-            for k in range(len(intercepts))
-        ]
-    )
-    models = F.array(*[_model_loss(k) for k in range(len(intercepts))])
-    return losses.select(F.inline(models).alias("model_id", "log_loss"))
-
-
-def _model_loss(k: int) -> Column:
-    return F.struct(F.lit(k).cast(T.IntegerType()).alias("model_id"), F.col(f"loss_{k}").alias("log_loss"))
+    per_model = F.array(*[F.col(f"margin_{k}") for k in range(len(intercepts))])
+    single = scored.select("label", F.posexplode_outer(per_model).alias("model_id", "margin"))
+    loss = log_loss(probability(F.col("margin")), F.col("label"))
+    return single.groupBy("model_id").agg(F.avg(loss).alias("log_loss"))
