@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalar import sigmoid
-from clickweave.operators.scoring import model_rows_hot
+from clickweave.operators.scoring import hot_indices
 from clickweave.plans.lookup import BROADCAST_BYTES, fits, left_lookup
 from clickweave.plans.scratch import materialize
 
@@ -168,7 +168,7 @@ def _fit_distributed(
         hot = None
         if not small:
             bias = spark.range(BIAS_INDEX, BIAS_INDEX + 1).select(F.col("id").alias("idx"))
-            hot = materialize(model_rows_hot(encoded).union(bias), "hot-indices")
+            hot = materialize(hot_indices(encoded).union(bias), "hot-indices")
         active, used = [True] * n_models, [0] * n_models
         for i in range(1, iterations + 1):
             step = gd_step(entries, weights, n_rows, i, settings, active=active, small=small, hot=hot)

@@ -29,36 +29,47 @@ def dictionary_size(dictionary: DataFrame) -> DataFrame:
     return dictionary.agg(F.count("*").alias("dimension"))
 
 
-def _shape(dictionary: DataFrame, broadcast_bytes: int) -> tuple[bool, int]:
-    """Whether the dictionary may be broadcast, and how many positions it covers."""
+def _near_positions(dictionary: DataFrame, broadcast_bytes: int) -> tuple[list[int], int, int]:
+    """Positions whose entries may be broadcast together, smallest first; bytes of the rest; bytes still free."""
     size = table_bytes(F.lit(1), F.col("value"))
-    row = dictionary.agg(size.alias("bytes"), F.max("feature_id").alias("last")).first()
-    return row["bytes"] <= broadcast_bytes, 0 if row["last"] is None else row["last"] + 1
+    sizes = dictionary.groupBy("feature_id").agg(size.alias("bytes")).collect()
+    near, left = [], broadcast_bytes
+    for row in sorted(sizes, key=lambda r: (r["bytes"], r["feature_id"])):
+        if row["bytes"] > left or len(near) == MAX_POSITION_JOINS:
+            break
+        near.append(row["feature_id"])
+        left -= row["bytes"]
+    rest = sum(r["bytes"] for r in sizes) - (broadcast_bytes - left)
+    return sorted(near), rest, left
 
 
-def _hot(dictionary: DataFrame) -> DataFrame:
-    return hot_keys(dictionary, _KEY, text=["value"])
+def _hot_features(single: DataFrame) -> DataFrame:
+    counts = single.where(F.col("value").isNotNull()).groupBy(*_KEY).agg(F.count("*").alias("n"))
+    return hot_keys(counts, _KEY, text=["value"])
 
 
-def _by_position(observations: DataFrame, dictionary: DataFrame, n_features: int) -> DataFrame:
-    """One broadcast join per position: rows stay where they are, nothing is shuffled."""
+def _look_up_near(observations: DataFrame, dictionary: DataFrame, near: list[int]) -> DataFrame:
+    """Add ``_near``: one broadcast join per position, so no row moves."""
     wide = observations
-    for f in range(n_features):
+    for f in near:
         entries = dictionary.where(F.col("feature_id") == f).select(
             F.col("value").alias(f"_value_{f}"), F.col("idx").alias(f"_idx_{f}")
         )
         wide = wide.join(F.broadcast(entries), F.get("feats", F.lit(f)) == F.col(f"_value_{f}"), "left")
-    found = F.array(*[F.col(f"_idx_{f}") for f in range(n_features)])
-    return wide.withColumn("indices", F.array_sort(F.array_compact(found)))
+    found = F.array(*[F.col(f"_idx_{f}") for f in near]).cast("array<bigint>")
+    return wide.select(*observations.columns, F.array_compact(found).alias("_near"))
 
 
-def _by_feature(observations: DataFrame, dictionary: DataFrame, small: bool) -> DataFrame:
-    """Look up single features, then gather them per observation."""
-    carried = [c for c in observations.columns if c != "feats"]
-    single = observations.select(*carried, F.posexplode_outer("feats").alias("feature_id", "value"))
-    hot = None if small else _hot(dictionary)
-    found = left_lookup(single, dictionary, _KEY, ["idx"], small=small, hot=hot)
-    return found.groupBy(*carried).agg(F.array_sort(F.collect_list("idx")).alias("indices"))
+def _look_up_far(wide: DataFrame, dictionary: DataFrame, near: list[int], small: bool) -> DataFrame:
+    """Add ``_far``: the other positions as single features, gathered per observation again."""
+    carried = [c for c in wide.columns if c not in ("feats", "_near")]
+    named = F.transform("feats", lambda value, i: F.struct(i.alias("feature_id"), value.alias("value")))
+    others = F.filter(named, lambda x: ~x["feature_id"].isin(near)) if near else named
+    single = wide.select(*carried, "_near", F.inline_outer(others).alias("feature_id", "value"))
+    entries = dictionary.where(~F.col("feature_id").isin(near)) if near else dictionary
+    hot = None if small else _hot_features(single)
+    found = left_lookup(single, entries, _KEY, ["idx"], small=small, hot=hot)
+    return found.groupBy(*carried).agg(F.first("_near").alias("_near"), F.collect_list("idx").alias("_far"))
 
 
 def encode_ohe(
@@ -67,16 +78,19 @@ def encode_ohe(
     """Sorted ``indices`` and 1.0 ``values`` per observation.
 
     Values missing from the dictionary are dropped; an observation without any
-    known value stays, with empty arrays.
+    known value stays, with empty arrays.  Positions with few categories, often
+    all of them, are looked up in place; only positions too large to broadcast
+    are shuffled.
     """
     carried = [c for c in observations.columns if c != "feats"]
-    small, n_features = _shape(dictionary, broadcast_bytes)
-    if small and 0 < n_features <= MAX_POSITION_JOINS:
-        encoded = _by_position(observations, dictionary, n_features)
-    else:
-        encoded = _by_feature(observations, dictionary, small)
-    ones = F.array_repeat(F.lit(1.0), F.size("indices"))
-    return encoded.select(*carried, "indices", ones.alias("values"))
+    near, rest, free = _near_positions(dictionary, broadcast_bytes)
+    encoded = _look_up_near(observations, dictionary, near)
+    found = F.col("_near")
+    if rest:
+        encoded = _look_up_far(encoded, dictionary, near, small=rest <= free)
+        found = F.concat("_near", "_far")
+    indexed = encoded.select(*carried, F.array_sort(found).alias("indices"))
+    return indexed.withColumn("values", F.array_repeat(F.lit(1.0), F.size("indices")))
 
 
 def unseen_features(
@@ -84,7 +98,6 @@ def unseen_features(
 ) -> DataFrame:
     """The single features that encoding drops."""
     single = explode_features(observations)
-    small, _ = _shape(dictionary, broadcast_bytes)
-    return anti_lookup(single, dictionary, _KEY, small=small, hot=None if small else _hot(dictionary)).select(
-        *single.columns
-    )
+    small = dictionary.agg(table_bytes(F.lit(1), F.col("value")).alias("bytes")).first()["bytes"] <= broadcast_bytes
+    hot = None if small else _hot_features(single)
+    return anti_lookup(single, dictionary, _KEY, small=small, hot=hot).select(*single.columns)

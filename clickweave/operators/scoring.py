@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from clickweave.functions.scalar import log_loss, probability
 from clickweave.operators.profile import explode_encoded_outer, feature_frequency
 from clickweave.plans.lookup import BROADCAST_BYTES, fits, hot_keys, left_lookup
-from clickweave.plans.scratch import materialize
 
 
-def model_rows_hot(encoded: DataFrame) -> DataFrame:
-    """Indices that occur in a large share of all rows (bounded number)."""
-    return hot_keys(materialize(feature_frequency(encoded), "frequency"), ["idx"])
+def hot_indices(encoded: DataFrame) -> DataFrame:
+    """The indices most rows share (a fixed number of them)."""
+    return hot_keys(feature_frequency(encoded), ["idx"])
 
 
 def margins(
@@ -34,7 +33,7 @@ def margins(
     n_models = len(intercepts)
     carried = [c for c in encoded.columns if c not in ("indices", "values")]
     small = fits(weights, broadcast_bytes, row_bytes=64 + 8 * n_models)
-    hot = None if small else model_rows_hot(encoded)
+    hot = None if small else hot_indices(encoded)
     found = left_lookup(explode_encoded_outer(encoded), weights, ["idx"], ["weights"], small=small, hot=hot)
     sums = [
         (F.coalesce(F.sum(F.col("val") * F.col("weights")[k]), F.lit(0.0)) + F.lit(float(b))).alias(f"margin_{k}")

@@ -1,11 +1,11 @@
 """Keyed lookups whose join strategy follows the measured size of the table.
 
-Small table: one broadcast join, no shuffle of the rows.  Large table: the few
-keys that hold a large share of all rows are looked up by broadcast (their
-number has a hard bound), everything else by a shuffled join in which no known
-key is hot.  Rows the first join answered get a salt that matches nothing, so
-they spread evenly instead of piling up on their key.  Every path returns
-exactly the rows of a plain left / anti join.
+Small table: one broadcast join, no shuffle of the rows.  Large table: the keys
+most frequent among the rows, a fixed number of them, are looked up by
+broadcast, known or not; everything else goes through a shuffled join in which
+no key is hot any more.  Rows the first join settled get a salt that matches
+nothing, so they spread evenly instead of piling up on their key.  Every path
+returns exactly the rows of a plain left / anti join.
 """
 
 from __future__ import annotations
@@ -17,10 +17,12 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickweave.plans.scratch import materialize
+
 BROADCAST_BYTES = 64 << 20
 ROW_OVERHEAD_BYTES = 64
-# a key is hot when it holds at least 1/HOT_KEYS of all occurrences, so there
-# can never be more than HOT_KEYS of them
+# this many of the most frequent keys are treated as hot; any other key then
+# holds less than 1/HOT_KEYS of all rows
 HOT_KEYS = 1000
 HOT_KEY_BYTES = 1024
 _SALTS = 1 << 16
@@ -38,12 +40,10 @@ def fits(table: DataFrame, limit: int, row_bytes: int = ROW_OVERHEAD_BYTES) -> b
 
 
 def hot_keys(counts: DataFrame, keys: Sequence[str], n: str = "n", text: Sequence[str] = ()) -> DataFrame:
-    """Keys with at least 1/HOT_KEYS of all occurrences: at most HOT_KEYS short rows."""
-    total = counts.agg(F.sum(n).alias("total")).first()["total"] or 0
-    hot = F.col(n) * HOT_KEYS >= F.lit(max(total, 1))
+    """The HOT_KEYS most frequent keys, as a written table of short rows."""
     for c in text:
-        hot = hot & (F.octet_length(c) <= HOT_KEY_BYTES)
-    return counts.where(hot).select(*keys)
+        counts = counts.where(F.octet_length(c) <= HOT_KEY_BYTES)
+    return materialize(counts.orderBy(F.desc(n)).limit(HOT_KEYS).select(*keys), "hot-keys")
 
 
 def left_lookup(
@@ -66,9 +66,10 @@ def left_lookup(
         return rows.join(F.broadcast(table), keys, "left")
     if hot is None:
         raise ValueError("a table too large to broadcast needs its hot keys")
-    first = table.join(F.broadcast(hot), keys, "left_semi").select(
-        *keys, F.lit(True).alias("_answered"), *[F.col(c).alias(f"_hot_{c}") for c in take]
+    known = table.join(F.broadcast(hot), keys, "left_semi").select(
+        *keys, *[F.col(c).alias(f"_hot_{c}") for c in take]
     )
+    first = hot.join(F.broadcast(known), keys, "left").withColumn("_answered", F.lit(True))
     keyless = reduce(or_, [F.col(k).isNull() for k in keys])
     settled = F.coalesce(F.col("_answered"), F.lit(False)) | keyless
     salt = F.when(settled, F.pmod(F.xxhash64(spread), F.lit(_SALTS)) + 1).otherwise(F.lit(0).cast("long"))
@@ -83,9 +84,7 @@ def anti_lookup(
 ) -> DataFrame:
     """Rows of ``rows`` whose key is not in ``table``."""
     keys = list(keys)
-    known = table.select(*keys)
     if small:
-        return rows.join(F.broadcast(known), keys, "left_anti")
-    if hot is None:
-        raise ValueError("a table too large to broadcast needs its hot keys")
-    return rows.join(F.broadcast(hot), keys, "left_anti").join(known, keys, "left_anti")
+        return rows.join(F.broadcast(table.select(*keys)), keys, "left_anti")
+    flagged = table.withColumn("_known", F.lit(True))
+    return left_lookup(rows, flagged, keys, ["_known"], small=False, hot=hot).where(F.col("_known").isNull()).drop("_known")

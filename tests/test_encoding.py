@@ -48,16 +48,22 @@ def test_unseen_values_are_dropped_but_rows_stay(spark):
 
 
 def test_all_encoding_paths_agree_under_skew(spark, skewed, monkeypatch):
-    dictionary = onehot.fit_dictionary(skewed.where("obs_id % 5 <> 0"))
-
-    def encoded(**options):
-        return {r["obs_id"]: (r["label"], r["indices"]) for r in onehot.encode_ohe(skewed, dictionary, **options).collect()}
-
-    by_position = encoded()
-    shuffled = encoded(broadcast_bytes=0)
-    monkeypatch.setattr(onehot, "MAX_POSITION_JOINS", 0)
-    by_feature = encoded()
-    assert by_position == shuffled == by_feature and len(by_position) == 3000
+    # the hot value is unknown to the dictionary in the second round
+    for known in ("obs_id % 5 <> 0", "obs_id % 3 <> 0"):
+        dictionary = onehot.fit_dictionary(skewed.where(known))
+
+        def encoded(limit=onehot.BROADCAST_BYTES, joins=64):
+            monkeypatch.setattr(onehot, "MAX_POSITION_JOINS", joins)
+            rows = onehot.encode_ohe(skewed, dictionary, limit).collect()
+            return {r["obs_id"]: (r["label"], r["indices"], r["values"]) for r in rows}
+
+        in_place = encoded()
+        assert len(in_place) == 3000
+        # one position in place and the others by broadcast; by shuffle; nothing in place; everything by shuffle
+        assert encoded(joins=1) == in_place
+        assert encoded(limit=3000) == in_place
+        assert encoded(joins=0) == in_place
+        assert encoded(limit=0) == in_place
 
 
 def test_small_dictionary_needs_no_shuffle(spark, skewed):

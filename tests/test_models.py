@@ -73,7 +73,7 @@ def test_fit_matches_the_rule(encoded, path, monkeypatch):
         "table": {"broadcast_parameters": 0},
         "shuffled": {"broadcast_parameters": 0, "broadcast_bytes": 0},
     }[path]
-    iterations = 30 if path == "broadcast" else 5
+    iterations = 25 if path == "broadcast" else 4
     fitted = descent.fit_sgd(encoded, DIMENSION, SETTINGS, iterations, 1e-3, **options)
     x, y = _dense(encoded)
     for k, setting in enumerate(SETTINGS):
@@ -104,8 +104,8 @@ def test_fit_matches_mllib(spark, encoded):
     from pyspark.mllib.regression import LabeledPoint
 
     points = encoded.rdd.map(lambda r: LabeledPoint(r.label, SparseVector(DIMENSION, r.indices, r["values"]))).cache()
-    model = LogisticRegressionWithSGD.train(points, 40, 10.0, regParam=1e-3, regType="l2", intercept=True)
-    fitted = descent.fit_sgd(encoded, DIMENSION, [Setting(10.0, 1e-3)], 40)
+    model = LogisticRegressionWithSGD.train(points, 20, 10.0, regParam=1e-3, regType="l2", intercept=True)
+    fitted = descent.fit_sgd(encoded, DIMENSION, [Setting(10.0, 1e-3)], 20)
     assert np.allclose(_weights(fitted), model.weights.toArray(), atol=1e-9)
     assert fitted.intercepts[0] == pytest.approx(model.intercept, abs=1e-9)
 
