@@ -26,17 +26,21 @@ def grid_table(spark: SparkSession, settings: Sequence[Setting]) -> DataFrame:
     return spark.createDataFrame(rows, "grid_order int, step_size double, reg_param double")
 
 
-def grid_evaluate(
-    encoded: DataFrame, weights: DataFrame, intercepts: Sequence[float], settings: Sequence[Setting]
-) -> DataFrame:
-    """``(grid_order, step_size, reg_param, log_loss)``; all models are scored in one pass."""
-    losses = evaluate_models(encoded, weights, intercepts)
-    grid = grid_table(encoded.sparkSession, settings)
+def grid_cells(losses: DataFrame, settings: Sequence[Setting]) -> DataFrame:
+    """Losses ``(model_id, log_loss)`` as ``(grid_order, step_size, reg_param, log_loss)``."""
+    grid = grid_table(losses.sparkSession, settings)
     return grid.join(losses, grid.grid_order == losses.model_id).select(
         "grid_order", "step_size", "reg_param", "log_loss"
     )
 
 
+def grid_evaluate(
+    encoded: DataFrame, weights: DataFrame, intercepts: Sequence[float], settings: Sequence[Setting]
+) -> DataFrame:
+    """The grid with its log losses; all models are scored in one pass."""
+    return grid_cells(evaluate_models(encoded, weights, intercepts), settings)
+
+
 def grid_search(
     train: DataFrame,
     validation: DataFrame,

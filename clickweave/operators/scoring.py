@@ -94,11 +94,15 @@ def smallest_weights(weights: DataFrame, k: int) -> DataFrame:
 
 
 def evaluate_models(
-    encoded: DataFrame, weights: DataFrame, intercepts: Sequence[float], broadcast_bytes: int = BROADCAST_BYTES
+    encoded: DataFrame,
+    weights: DataFrame,
+    intercepts: Sequence[float],
+    by: Sequence[str] = (),
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Mean log loss of every model, ``(model_id INT, log_loss)``, in one job."""
+    """Mean log loss of every model, ``(*by, model_id INT, log_loss)``, in one job."""
     scored = margins(encoded, weights, intercepts, broadcast_bytes)
     per_model = F.array(*[F.col(f"margin_{k}") for k in range(len(intercepts))])
-    single = scored.select("label", F.posexplode_outer(per_model).alias("model_id", "margin"))
+    single = scored.select(*by, "label", F.posexplode_outer(per_model).alias("model_id", "margin"))
     loss = log_loss(probability(F.col("margin")), F.col("label"))
-    return single.groupBy("model_id").agg(F.avg(loss).alias("log_loss"))
+    return single.groupBy(*by, "model_id").agg(F.avg(loss).alias("log_loss"))

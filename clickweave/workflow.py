@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.operators.descent import TOLERANCE, Setting
-from clickweave.operators.grid import ITERATIONS, grid_best, grid_search
-from clickweave.operators.scoring import baseline_log_loss, evaluate_model
+from clickweave.operators.descent import TOLERANCE, Setting, fit_sgd
+from clickweave.operators.grid import ITERATIONS, grid_best, grid_cells, grid_settings
+from clickweave.operators.scoring import baseline_log_loss, evaluate_models
+from clickweave.plans.scratch import materialize
 
 
 def report(
@@ -24,12 +25,13 @@ def report(
     ``encoded`` carries ``split``; models are fitted on ``train`` and chosen on
     ``validation``.
     """
+    settings = list(settings or grid_settings())
     train = encoded.where(F.col("split") == "train")
-    validation = encoded.where(F.col("split") == "validation")
-    fitted, cells = grid_search(train, validation, dimension, settings, iterations, tol)
-    best = grid_best(cells).first()
-    k = best["grid_order"]
-    model = evaluate_model(encoded, fitted.model(k), fitted.intercepts[k], ["split"])
+    fitted = fit_sgd(train, dimension, settings, iterations, tol)
+    # all models on all splits in one pass; the choice then needs the validation losses only
+    losses = materialize(evaluate_models(encoded, fitted.weights, fitted.intercepts, ["split"]), "losses")
+    best = grid_best(grid_cells(losses.where(F.col("split") == "validation"), settings)).first()
+    model = losses.where(F.col("model_id") == best["grid_order"])
     baseline = baseline_log_loss(encoded).select("split", F.col("log_loss").alias("baseline_log_loss"))
     return model.join(baseline, "split").select(
         "split",

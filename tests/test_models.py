@@ -203,3 +203,15 @@ def test_report(encoded):
     table = {r["split"]: r for r in report(encoded, DIMENSION, iterations=20).collect()}
     assert set(table) == {"train", "validation", "test"}
     assert table["train"]["log_loss"] < table["train"]["baseline_log_loss"]
+
+
+def test_vectors_feed_spark_ml(encoded):
+    from pyspark.ml.classification import LogisticRegression
+
+    from clickweave.operators.vectors import to_vectors
+
+    vectors = to_vectors(encoded, DIMENSION)
+    row = vectors.orderBy("obs_id").first()
+    assert row["features"].size == DIMENSION and len(row["features"].indices) == 0
+    model = LogisticRegression(maxIter=2).fit(vectors)
+    assert model.coefficients.size == DIMENSION
