@@ -3,9 +3,9 @@
 Small table: one broadcast join, no shuffle of the rows.  Large table: the keys
 most frequent among the rows, a fixed number of them, are looked up by
 broadcast, known or not; everything else goes through a shuffled join in which
-no key is hot any more.  Rows the first join settled get a salt that matches
-nothing, so they spread evenly instead of piling up on their key.  Every path
-returns exactly the rows of a plain left / anti join.
+no key is hot any more.  Rows the first join settled get a salt of their own, so
+they spread evenly instead of piling up on their key.  Every path returns
+exactly the rows of a plain left / anti join.
 """
 
 from __future__ import annotations
@@ -25,7 +25,6 @@ ROW_OVERHEAD_BYTES = 64
 # holds less than 1/HOT_KEYS of all rows
 HOT_KEYS = 1000
 HOT_KEY_BYTES = 1024
-_SALTS = 1 << 16
 
 
 def table_bytes(rows: Column, text: Column | None = None, row_bytes: int = ROW_OVERHEAD_BYTES) -> Column:
@@ -72,9 +71,11 @@ def left_lookup(
     first = hot.join(F.broadcast(known), keys, "left").withColumn("_answered", F.lit(True))
     keyless = reduce(or_, [F.col(k).isNull() for k in keys])
     settled = F.coalesce(F.col("_answered"), F.lit(False)) | keyless
-    salt = F.when(settled, F.pmod(F.xxhash64(spread), F.lit(_SALTS)) + 1).otherwise(F.lit(0).cast("long"))
+    # the salt follows from the key, so it is part of the shuffle key and loses no match;
+    # a settled row draws its salt from its own id, and a chance match changes nothing
+    salt = F.when(settled, F.xxhash64(spread)).otherwise(F.xxhash64(*keys))
     salted = rows.join(F.broadcast(first), keys, "left").withColumn("_salt", salt)
-    rest = table.withColumn("_salt", F.lit(0).cast("long"))
+    rest = table.withColumn("_salt", F.xxhash64(*keys))
     joined = salted.join(rest, [*keys, "_salt"], "left")
     return joined.select(*rows.columns, *[F.coalesce(f"_hot_{c}", c).alias(c) for c in take])
 
@@ -87,4 +88,5 @@ def anti_lookup(
     if small:
         return rows.join(F.broadcast(table.select(*keys)), keys, "left_anti")
     flagged = table.withColumn("_known", F.lit(True))
-    return left_lookup(rows, flagged, keys, ["_known"], small=False, hot=hot).where(F.col("_known").isNull()).drop("_known")
+    found = left_lookup(rows, flagged, keys, ["_known"], small=False, hot=hot)
+    return found.where(F.col("_known").isNull()).drop("_known")

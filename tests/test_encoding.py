@@ -73,6 +73,36 @@ def test_small_dictionary_needs_no_shuffle(spark, skewed):
     assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
 
 
+def test_hot_rows_spread_in_the_shuffled_lookup(spark, skewed):
+    from clickweave.operators.observations import explode_features
+    from clickweave.plans.lookup import hot_keys, left_lookup
+
+    keys = ["feature_id", "value"]
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        dictionary = onehot.fit_dictionary(skewed)
+        # the hot value itself is unknown to the table
+        table = dictionary.where("value <> 'hot'")
+        single = explode_features(skewed).where("feature_id = 0")
+        hot = hot_keys(single.groupBy(*keys).agg(F.count("*").alias("n")), keys)
+        joined = left_lookup(single, table, keys, ["idx"], small=False, hot=hot)
+        assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 3000 and max(sizes) < 2 * 3000 / 8
+        assert joined.where("value = 'hot' and idx is null").count() == 1000
+        assert joined.where("idx is not null").count() == 2000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_training_rows_keep_every_feature(spark, skewed):
     dictionary = onehot.fit_dictionary(skewed)
     encoded = onehot.encode_ohe(skewed, dictionary)
