@@ -44,6 +44,8 @@ TOLERANCE = 1e-3
 BROADCAST_PARAMETERS = 1 << 22
 # gradient numbers one reduce task adds up
 SHARES_PER_REDUCER = 4_000_000
+# fewer rows than this are not worth a task of their own
+ROWS_PER_TASK = 20_000
 _ADAPTIVE = "spark.sql.adaptive.enabled"
 
 
@@ -253,20 +255,39 @@ def _fixed_plan(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(_ADAPTIVE, before)
 
 
+def _spread(kept: DataFrame, n_rows: int) -> DataFrame:
+    """The cached rows in a sensible number of tasks, as every iteration reads them.
+
+    Normally they stay as they are.  Many tiny partitions are merged in place;
+    rows in fewer partitions than there are cores are spread once.
+    """
+    tasks = max(1, -(-n_rows // ROWS_PER_TASK))
+    present = kept.rdd.getNumPartitions()
+    enough = min(tasks, kept.sparkSession.sparkContext.defaultParallelism)
+    if present > tasks:
+        return kept.coalesce(tasks)
+    if present < enough:
+        spread = kept.repartition(enough).persist(StorageLevel.MEMORY_AND_DISK)
+        spread.count()
+        return spread
+    return kept
+
+
 def _fit_broadcast(
     encoded: DataFrame, dimension: int, settings: Sequence[Setting], iterations: int, tol: float
 ) -> Fitted:
     """Weights of all models fit a broadcast: one narrow pass and one small aggregate per iteration."""
     spark = encoded.sparkSession
     n_models = len(settings)
-    # balanced once, because it is read once per iteration
-    rows = encoded.select("obs_id", "label", "indices", "values").hint("rebalance", F.col("obs_id")).drop("obs_id")
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    # stays where it is: no shuffle just to fit
+    kept = encoded.select("label", "indices", "values").persist(StorageLevel.MEMORY_AND_DISK)
     weights = np.zeros((n_models, dimension + 1))
     weights[:, dimension] = INITIAL_INTERCEPT
     active, used = list(range(n_models)), [0] * n_models
+    rows = kept
     try:
-        n_rows = rows.count()
+        n_rows = kept.count()
+        rows = _spread(kept, n_rows)
         limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
         reducers = _reducers(rows.rdd.getNumPartitions(), weights.size, limit)
         with _fixed_plan(spark):
@@ -284,6 +305,7 @@ def _fit_broadcast(
                 if not active:
                     break
     finally:
+        kept.unpersist()
         rows.unpersist()
     columns = weights[:, :dimension]
     flat = pa.array(np.ascontiguousarray(columns.T).ravel())
