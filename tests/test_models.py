@@ -67,6 +67,7 @@ def test_fit_matches_the_rule(encoded, path, monkeypatch):
     if path == "reduced":
         # as if the tasks returned more than one reducer may add up
         monkeypatch.setattr(descent, "SHARES_PER_REDUCER", 50)
+        monkeypatch.setattr(descent, "ROWS_PER_TASK", 100)
     options = {
         "reduced": {},
         "broadcast": {},
@@ -110,6 +111,13 @@ def test_fit_matches_mllib(spark, encoded):
     assert fitted.intercepts[0] == pytest.approx(model.intercept, abs=1e-9)
 
 
+def test_tasks_follow_the_row_count(spark, monkeypatch):
+    monkeypatch.setattr(descent, "ROWS_PER_TASK", 100)
+    for parts, rows, expected in [(1, 50, 1), (1, 350, 4), (7, 350, 4), (3, 250, 3)]:
+        kept = spark.range(0, rows, 1, parts)
+        assert descent._spread(kept, rows).rdd.getNumPartitions() == expected
+
+
 def test_session_settings_are_restored(spark, encoded):
     before = spark.conf.get("spark.sql.adaptive.enabled")
     descent.fit_sgd(encoded, DIMENSION, SETTINGS[:1], 1)
