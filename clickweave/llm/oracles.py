@@ -7,6 +7,28 @@ FROM (SELECT doc_id, coalesce(text, '') AS body,
              max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS keep_id FROM documents)
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4 = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, w, least(10, len(w)) AS n FROM (
+    SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark)
+    WHERE len(w) > 0),
+p AS (SELECT DISTINCT item_id, n, array_to_string(w[i : i + n - 1], ' ') AS passage
+    FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b)),
+windows AS (SELECT doc_id, i, n, array_to_string(w[i : i + n - 1], ' ') AS passage FROM (
+    SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, i, windows.n, item_id FROM windows JOIN p ON windows.n = p.n AND windows.passage = p.passage),
+covered AS (SELECT doc_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS word FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 ORACLES = {
+    "op4_benchmark_decontamination": OP4,
     "op9_exact_dedup": OP9,
 }

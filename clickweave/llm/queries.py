@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from clickweave.llm.decontaminate import find_benchmark, hit_words
 from clickweave.llm.exact import exact_dedup
 from clickweave.llm.oracles import ORACLES
 
@@ -14,12 +16,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_benchmark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    n_hit = hit_words(F.col("spans"))
+    return found.select(
+        "doc.doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op9_exact_dedup": op9_exact_dedup,
     }
 
