@@ -28,7 +28,27 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
+OP5 = rf"""
+WITH RECURSIVE
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE
+        WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i : array_to_string(w[i : i + 4], ' '))
+        WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS shingle FROM d),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.shingle = b.shingle
+    WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM pairs JOIN n nx ON x = nx.doc_id JOIN n ny ON y = ny.doc_id
+    WHERE 100 * o >= 80 * (nx.n + ny.n - o)),
+reach AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+near AS (SELECT x AS doc_id, min(y) AS smallest FROM reach GROUP BY x),
+counted AS (SELECT x AS doc_id, count(*) AS links FROM links GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(smallest, doc_id)) AS component_id,
+       coalesce(links, 0) AS n_links
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN near USING (doc_id) LEFT JOIN counted USING (doc_id)
+"""
+
 ORACLES = {
+    "op5_ngram_jaccard_join": OP5,
     "op4_benchmark_decontamination": OP4,
     "op9_exact_dedup": OP9,
 }

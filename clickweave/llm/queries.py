@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickweave.llm.decontaminate import find_benchmark, hit_words
 from clickweave.llm.exact import exact_dedup
+from clickweave.llm.jaccard import jaccard_components
 from clickweave.llm.oracles import ORACLES
 
 
@@ -29,6 +30,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -36,6 +41,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
+        "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
         "op9_exact_dedup": op9_exact_dedup,
     }
 
