@@ -47,7 +47,23 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(smallest, do
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN near USING (doc_id) LEFT JOIN counted USING (doc_id)
 """
 
+OP10 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i : i + 19], ' ') AS passage FROM (
+    SELECT *, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20)),
+ranked AS (SELECT doc_id, i, row_number() OVER (PARTITION BY passage ORDER BY doc_id, i) AS nth FROM windows),
+gone AS (SELECT doc_id, list(DISTINCT pos) AS pos FROM (
+    SELECT doc_id, unnest(range(i, i + 20)) AS pos FROM ranked WHERE nth > 1) GROUP BY doc_id),
+removed AS (SELECT DISTINCT doc_id, unnest(pos) AS pos FROM gone),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text
+    FROM words ANTI JOIN removed USING (doc_id, pos) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(pos), 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 ORACLES = {
+    "op10_substring_dedup": OP10,
     "op5_ngram_jaccard_join": OP5,
     "op4_benchmark_decontamination": OP4,
     "op9_exact_dedup": OP9,

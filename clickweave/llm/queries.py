@@ -12,6 +12,8 @@ from clickweave.llm.exact import exact_dedup
 from clickweave.llm.jaccard import jaccard_components
 from clickweave.llm.oracles import ORACLES
 
+from clickweave.llm.substring import substring_dedup
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -38,11 +40,18 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
