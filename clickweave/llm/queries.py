@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.llm.decontaminate import find_benchmark, hit_words
 from clickweave.llm.exact import exact_dedup
 from clickweave.llm.jaccard import jaccard_components
+from clickweave.llm.language import LanguageModel, fit_languages, predict_languages
 from clickweave.llm.oracles import ORACLES
 
 from clickweave.llm.substring import substring_dedup
@@ -36,6 +37,21 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def _held_out(doc_id: str = "doc_id") -> Column:
+    """One of five rows, by id, that nothing is learned from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5, F.lit(1)) == 0
+
+
+def language_model(spark: SparkSession, sf_dir: str) -> LanguageModel:
+    """The language model, learned from rows that are not held out."""
+    return fit_languages(_table(spark, sf_dir, "documents").where(~_held_out()))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = predict_languages(_table(spark, sf_dir, "documents"), language_model(spark, sf_dir))
+    return found.select("doc.doc_id", _held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -50,6 +66,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+        "op6_language_id": op6_language_id,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_substring_dedup": op10_substring_dedup,
     }
