@@ -14,6 +14,7 @@ from clickweave.llm.language import LanguageModel, fit_languages, predict_langua
 from clickweave.llm.oracles import ORACLES
 
 from clickweave.llm.substring import substring_dedup
+from clickweave.llm.toxicity import fit_toxicity, score_toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +53,17 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", _held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, _table(spark, sf_dir, "labels").where(~_held_out()))
+    return score_toxicity(docs, model).select(
+        "doc.doc_id",
+        _held_out("doc.doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -67,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
         "op6_language_id": op6_language_id,
+        "op7_toxicity": op7_toxicity,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_substring_dedup": op10_substring_dedup,
     }

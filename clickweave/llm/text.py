@@ -128,12 +128,21 @@ def words(data: np.ndarray, bounds: np.ndarray, separators: np.ndarray) -> Words
     return Words(start, end, text, first)
 
 
+class SpanHashes:
+    """64-bit content hashes of byte spans of one buffer."""
+
+    def __init__(self, data: np.ndarray):
+        power, self._inverse = _byte_powers.upto(len(data) + 1)
+        self._sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_VALUES[data] * power[: len(data)], out=self._sums[1:])
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self._sums[end] - self._sums[start]) * self._inverse[start] + (end - start).astype(np.uint64))
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit content hash of each byte span."""
-    power, inverse = _byte_powers.upto(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * power[: len(data)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * inverse[start] + (end - start).astype(np.uint64))
+    return SpanHashes(data).of(start, end)
 
 
 def window_hashes(hashes: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
