@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,16 +21,22 @@ def _runs(docs: DataFrame, fan_in: int) -> int:
 
 
 def exact_dedup(
-    docs: DataFrame, *, keep: str = "largest", runs: int | None = None, fan_in: int = FAN_IN
+    docs: DataFrame,
+    *,
+    keep: str = "largest",
+    carry: Sequence[str] = (),
+    runs: int | None = None,
+    fan_in: int = FAN_IN,
 ) -> DataFrame:
     """One row per document of ``docs(doc_id, text)``: which row of its equal texts stays.
 
-    Returns doc_id, keep_id, group_size, kept, text_sha256.  Texts are equal when
+    Returns doc_id, keep_id, group_size, kept, text_sha256 and, if columns are
+    named in ``carry``, doc, a struct of them.  Texts are equal when
     identical; a null text counts as empty.  ``keep`` is ``largest`` or
     ``smallest`` (doc_id).  Rows that repeat both id and text count in
     group_size, and one of them stays.  A null doc_id is never kept unless its
-    group has no other id (keep_id is then null).  Other columns are ignored;
-    an empty table gives no rows.
+    group has no other id (keep_id is then null, and one row stays).  Other
+    columns are ignored; an empty table gives no rows.
 
     The rows are dealt by id into ``runs`` runs of digests.  Each round merges
     ``fan_in`` runs into one, keeping per content its best id and its size, until
@@ -47,6 +55,7 @@ def exact_dedup(
         F.octet_length(body).alias("_bytes"),
         F.xxhash64(body).alias("_check"),
         F.pmod(F.xxhash64("doc_id"), F.lit(runs)).alias("_run"),
+        *([F.struct(*carry).alias("doc")] if carry else []),
     )
     leaves = rows.groupBy(*_KEY, "_run").agg(best("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     merged, left = leaves, runs
@@ -69,4 +78,5 @@ def exact_dedup(
         F.coalesce("group_size", F.lit(1)).alias("group_size"),
         (F.col("doc_id").eqNullSafe(keep_id) & (F.col("_repeat") == 1)).alias("kept"),
         F.lower(F.hex("_sha")).alias("text_sha256"),
+        *(["doc"] if carry else []),
     )

@@ -11,8 +11,10 @@ from clickweave.llm.decontaminate import find_benchmark, hit_words
 from clickweave.llm.exact import exact_dedup
 from clickweave.llm.jaccard import jaccard_components
 from clickweave.llm.language import LanguageModel, fit_languages, predict_languages
+from clickweave.llm.lines import line_dedup
 from clickweave.llm.oracles import ORACLES
 
+from clickweave.llm.packing import pack_documents, word_lengths
 from clickweave.llm.substring import substring_dedup
 from clickweave.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -21,6 +23,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_benchmark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     n_hit = hit_words(F.col("spans"))
@@ -38,32 +46,36 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
-def _held_out(doc_id: str = "doc_id") -> Column:
+def held_out(doc_id: str = "doc_id") -> Column:
     """One of five rows, by id, that nothing is learned from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5, F.lit(1)) == 0
 
 
 def language_model(spark: SparkSession, sf_dir: str) -> LanguageModel:
     """The language model, learned from rows that are not held out."""
-    return fit_languages(_table(spark, sf_dir, "documents").where(~_held_out()))
+    return fit_languages(_table(spark, sf_dir, "documents").where(~held_out()))
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = predict_languages(_table(spark, sf_dir, "documents"), language_model(spark, sf_dir))
-    return found.select("doc.doc_id", _held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")
+    return found.select("doc.doc_id", held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    model = fit_toxicity(docs, _table(spark, sf_dir, "labels").where(~_held_out()))
+    model = fit_toxicity(docs, _table(spark, sf_dir, "labels").where(~held_out()))
     return score_toxicity(docs, model).select(
         "doc.doc_id",
-        _held_out("doc.doc_id").alias("held_out"),
+        held_out("doc.doc_id").alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(word_lengths(_table(spark, sf_dir, "documents")).select("doc.doc_id", "length"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -76,10 +88,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_line_dedup": op3_line_dedup,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
         "op6_language_id": op6_language_id,
         "op7_toxicity": op7_toxicity,
+        "op8_best_fit_packing": op8_best_fit_packing,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_substring_dedup": op10_substring_dedup,
     }
