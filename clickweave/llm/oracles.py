@@ -62,7 +62,19 @@ SELECT doc_id, len(w) AS n_words, coalesce(len(pos), 0) AS n_removed, sha256(coa
 FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
+# the pages of these tables mark their article and close it; inside are headings, paragraphs, breaks and inline tags
+OP1 = r"""
+SELECT page_id, url, text, length(text) AS n_chars FROM (
+    SELECT page_id, url, trim(regexp_replace(replace(replace(replace(replace(replace(
+        regexp_replace(regexp_replace(
+            regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'),
+            '</?(h1|p|br)>', ' ', 'g'), '<[^>]*>', '', 'g'),
+        '&quot;', '"'), '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS text
+    FROM pages)
+"""
+
 ORACLES = {
+    "op1_html_extraction": OP1,
     "op10_substring_dedup": OP10,
     "op5_ngram_jaccard_join": OP5,
     "op4_benchmark_decontamination": OP4,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickweave.llm.decontaminate import find_benchmark, hit_words
 from clickweave.llm.exact import exact_dedup
+from clickweave.llm.html import extract_text
 from clickweave.llm.jaccard import jaccard_components
 from clickweave.llm.language import LanguageModel, fit_languages, predict_languages
 from clickweave.llm.lines import line_dedup
@@ -23,6 +24,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
@@ -88,6 +93,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_extraction": op1_html_extraction,
         "op3_line_dedup": op3_line_dedup,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
