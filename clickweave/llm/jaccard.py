@@ -223,7 +223,7 @@ def _shared_counts(table: pa.Table) -> pa.Table:
 
 
 def _full_sets(docs: DataFrame, k: int, units: int) -> DataFrame:
-    """(digest, n, shingles, unit) of given documents, one row per digest."""
+    """(digest, n, shingles, unit) of given documents; a digest may come more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -456,6 +456,7 @@ def _links(
 
 def _verify(percent: int):
     def run(table: pa.Table) -> pa.Table:
+        table = table.take(_key_numbers(_joined(table, "digest", _KEY))[0])
         group = _joined(table, "root", _KEY)
         keys, copies = _joined(table, "digest", _KEY), table.column("copies").to_numpy()
         tile = table.column("tile").to_numpy()
@@ -496,16 +497,16 @@ def _candidate_edges(sets: DataFrame, percent: int, parts: int) -> DataFrame:
     return met.groupBy("bucket").applyInArrow(_bucket_links(percent), "a binary, b binary")
 
 
-def _verified(sets: DataFrame, roots: DataFrame, percent: int, parts: int, tile_shingles: int) -> DataFrame:
+def _small(table: DataFrame, broadcast_rows: int) -> DataFrame:
+    """A join hint for a written table of short rows, by its measured size."""
+    return F.broadcast(table) if table.count() <= broadcast_rows else table.hint("shuffle_hash")
+
+
+def _verified(sets: DataFrame, places: DataFrame, parts: int, percent: int) -> DataFrame:
     """(a, b, links): of each linked set, a member of its local class, and how many rows it links to."""
-    members = materialize(
-        sets.join(roots.withColumnRenamed("node", "digest"), "digest").drop("unit"), "jaccard-groups"
-    )
-    tiles = members.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(tile_shingles)).cast("int").alias("tiles"))
-    placed = members.join(tiles, "root").withColumn("tile", F.pmod(F.xxhash64("digest"), "tiles").cast("int"))
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    alone = F.col("tiles") == 1
-    slot = F.when(alone, F.pmod(F.xxhash64("root"), F.lit(4 * parts))).otherwise(F.xxhash64("root"))
+    met = sets.drop("unit").join(places, "digest")
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    slot = F.when(F.col("tiles") == 1, F.pmod(F.xxhash64("root"), F.lit(4 * parts))).otherwise(F.xxhash64("root"))
     return (
         met.select(
             "digest",
@@ -522,6 +523,14 @@ def _verified(sets: DataFrame, roots: DataFrame, percent: int, parts: int, tile_
     )
 
 
+def _places(candidates: DataFrame, chosen: DataFrame, tile_shingles: int) -> DataFrame:
+    """(digest, root, copies, tiles, tile) of every set that met another."""
+    members = candidates.withColumnRenamed("node", "digest").join(chosen, "digest")
+    tiles = members.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(tile_shingles)).cast("int").alias("tiles"))
+    tile = F.pmod(F.xxhash64("digest"), "tiles").cast("int")
+    return members.join(tiles, "root").select("digest", "root", "copies", "tiles", tile.alias("tile"))
+
+
 def jaccard_components(
     docs: DataFrame,
     *,
@@ -567,24 +576,20 @@ def jaccard_components(
     # one row that holds each open set
     chosen = materialize(
         ids.join(open_sets, "digest")
-        .groupBy("digest")
+        .groupBy("digest", "n")
         .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")),
         "jaccard-open",
     )
-    held = chosen.select("doc_id").where("doc_id is not null").distinct()
-    held = F.broadcast(held) if held.count() <= broadcast_rows else held.hint("shuffle_hash")
+    held = materialize(chosen.select("doc_id").where("doc_id is not null").distinct(), "jaccard-held")
     source = docs.select("doc_id", "text")
-    texts = source.join(held, "doc_id", "left_semi").unionByName(source.where("doc_id is null"))
-    sets = materialize(
-        _full_sets(texts, shingle_words, parts)
-        .join(chosen.select("digest", "copies"), "digest")
-        .dropDuplicates(["digest"]),
-        "jaccard-sets",
-    )
+    texts = source.join(_small(held, broadcast_rows), "doc_id", "left_semi")
+    texts = texts.unionByName(source.where("doc_id is null"))
+    sets = materialize(_full_sets(texts, shingle_words, parts), "jaccard-sets")
     candidates = components(_candidate_edges(sets, percent, parts), materialize)
-    linked = materialize(_verified(sets, candidates, percent, parts, tile_shingles), "jaccard-links")
-    n_links = linked.groupBy(F.col("a").alias("digest")).agg(F.sum("links").alias("links"))
+    places = materialize(_places(candidates, chosen.drop("doc_id"), tile_shingles), "jaccard-places")
+    linked = materialize(_verified(sets, _small(places, broadcast_rows), parts, percent), "jaccard-links")
     roots = components(linked, materialize).withColumnRenamed("node", "digest")
+    n_links = linked.groupBy(F.col("a").alias("digest")).agg(F.sum("links").alias("links"))
     first = classes.join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     smallest = first.groupBy("root").agg(F.min("first_id").alias("component_id"))
     answers = (
