@@ -16,6 +16,7 @@ from clickweave.llm.lines import line_dedup
 from clickweave.llm.oracles import ORACLES
 
 from clickweave.llm.packing import pack_documents, word_lengths
+from clickweave.llm.secrets import find_secrets, fit_tagger
 from clickweave.llm.substring import substring_dedup
 from clickweave.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -28,6 +29,29 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(_table(spark, sf_dir, "pages"))
 
 
+def _joined_spans(spans: Column) -> Column:
+    written = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+    return F.array_join(written, ",")
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = find_secrets(docs, fit_tagger(docs))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "tagged")
+    return found.select(
+        "doc.doc_id",
+        count("assign"),
+        count("access"),
+        count("hex"),
+        F.sha2(_joined_spans(base), 256).alias("base_sha256"),
+        _joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")
@@ -94,6 +118,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
+        "op2_secret_scan": op2_secret_scan,
         "op3_line_dedup": op3_line_dedup,
         "op4_benchmark_decontamination": op4_benchmark_decontamination,
         "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
