@@ -34,8 +34,8 @@ def fit_crf(
     n_labels: int,
     *,
     l2: float = 0.5,
-    steps: int = 150,
-    rate: float = 0.1,
+    steps: int = 80,
+    rate: float = 0.2,
 ) -> Crf:
     """Maximise the conditional likelihood of tagged sequences.
 

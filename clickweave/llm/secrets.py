@@ -17,7 +17,7 @@ from clickweave.llm.text import LOWER, Words, byte_set, pieces, word_hashes, wor
 
 # documents the tagger is trained on, those whose ids hash lowest; of each, the surroundings of its
 # secrets and one more stretch
-SAMPLE_DOCS = 4000
+SAMPLE_DOCS = 2000
 STRETCH = 24
 
 KINDS = ("assign", "access", "hex", "tagged")
