@@ -18,8 +18,8 @@ from clickweave.llm.text import pieces
 
 UNDETERMINED = "und"
 # rows a model is fitted on: at most so many in all, and so many of a language
-SAMPLE_ROWS = 8000
-SAMPLE_ROWS_PER_LANGUAGE = 1000
+SAMPLE_ROWS = 4000
+SAMPLE_ROWS_PER_LANGUAGE = 600
 
 _SLOT_BITS = 12
 _GRAMS = (1, 2, 3)
@@ -143,7 +143,7 @@ def fit_languages(
 
     The model is fitted on at most ``sample_rows`` rows and ``rows_per_language``
     of each language, those whose ids hash lowest.  Only vectors of fixed
-    length (16 KB each) reach the driver.  Without rows nothing is ever recognised.
+    length (8 KB each) reach the driver.  Without rows nothing is ever recognised.
     """
     usable = labelled.where("lang is not null and text is not null")
     n = usable.select("lang").distinct().count()
@@ -161,7 +161,7 @@ def fit_languages(
         for batch in batches:
             texts = pc.utf8_lower(batch.column("text"))
             vectors = [
-                v.astype(np.float32).tobytes()
+                v.astype(np.float16).tobytes()
                 for piece in pieces(texts, _PIECE_BYTES)
                 for v in features(piece.data, piece.bounds)
             ]
@@ -171,7 +171,7 @@ def fit_languages(
     if not found:
         return LanguageModel(None, {})
     found.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in found])
+    x = np.array([np.frombuffer(r["x"], np.float16) for r in found], dtype=np.float32)
     names = np.array([r["lang"] for r in found], dtype=object)
     families = np.array([family_of(v) for v in names], dtype=object)
     inner = {f: _fit_machine(x[families == f], names[families == f]) for f in sorted(set(families.tolist()))}

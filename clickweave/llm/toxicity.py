@@ -15,7 +15,7 @@ from clickweave.llm.linear import fit_logistic, sigmoid
 from clickweave.llm.text import LOWER, SpanHashes, byte_set, mix, pieces, words
 
 # rows the model is learned from: at most so many of either label, those whose ids hash lowest
-SAMPLE_ROWS_PER_LABEL = 6000
+SAMPLE_ROWS_PER_LABEL = 2500
 # terms the lexicons and the classifier know, at most
 TERMS = 4096
 # a term enters a lexicon if, drawing toxic and clean rows equally often, a row that has it is toxic at
