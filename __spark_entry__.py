@@ -12,7 +12,7 @@ import sys
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -20,7 +20,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from clickweave.operators import descent, grid, hashed, observations, onehot, profile, roc, scoring, splits
 from clickweave.plans.scratch import scratch_path
 from clickweave.sources import derived, lines
-from clickweave.workflow import report
+from clickweave.workflow import model_report, report, trained_scores
 from oracle_queries import ORACLES
 
 # the text operators are an optional part: everything else works without them
@@ -44,6 +44,7 @@ SMALLEST = 5
 FIT = descent.Setting(step_size=10.0, reg_param=1e-6)
 FIT_ITERATIONS = 50
 MATRIX_STEPS = [3.0, 6.0, 9.0, 12.0, 15.0, 18.0]
+MATRIX_ITERATIONS = 3
 MATRIX_REGS = [1e-7, 1e-6, 1e-5, 1e-4, 1e-3, 1e-2]
 
 SOURCES = {"events": derived.ctr_events, "orders": derived.ctr_orders, "documents": derived.ctr_documents}
@@ -115,6 +116,14 @@ def q_load_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.load_lines(spark, folder).select("line")
 
 
+def q_load_lines_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every loaded line has an id of its own."""
+    folder = scratch_path(spark, "text")
+    derived.ctr_events(spark, sf_dir).select("line").write.option("compression", "gzip").text(folder)
+    loaded = lines.load_lines(spark, folder)
+    return loaded.agg(F.count("*").alias("n_lines"), F.countDistinct("obs_id").alias("n_ids"))
+
+
 def q_normalize_lines(spark, sf_dir):
     return _lines(spark, sf_dir)
 
@@ -124,7 +133,8 @@ def q_preview_k(spark, sf_dir):
 
 
 def q_row_count_check(spark, sf_dir):
-    return lines.row_count_check(_lines(spark, sf_dir), 10000)
+    expected = spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    return lines.row_count_check(_lines(spark, sf_dir), expected)
 
 
 def _q_parse(source):
@@ -150,7 +160,21 @@ def q_hash_split(spark, sf_dir):
 def q_random_split(spark, sf_dir):
     parts = splits.random_split(_lines(spark, sf_dir))
     labelled = [part.select("obs_id", F.lit(name).alias("split")) for name, part in parts.items()]
-    return labelled[0].unionByName(labelled[1]).unionByName(labelled[2])
+    ids = labelled[0].unionByName(labelled[1]).unionByName(labelled[2])
+    per_id = ids.groupBy("obs_id").agg(F.countDistinct("split").alias("parts"), F.count("*").alias("n"))
+    covered = per_id.agg(
+        F.sum("n").alias("n_rows"),
+        F.count("*").alias("n_ids"),
+        F.sum((F.col("parts") > 1).cast("bigint")).alias("n_shared"),
+    )
+    # a part of n rows drawn with chance w has n w rows, give or take sqrt(n w (1 - w))
+    total = F.sum("n").over(Window.partitionBy())
+    sizes = splits.split_counts(ids).withColumn("total", total)
+    off = F.lit(False)
+    for name, weight in zip(splits.SPLITS, splits.WEIGHTS):
+        spread = 5 * F.sqrt(F.col("total") * weight * (1 - weight))
+        off |= (F.col("split") == name) & (F.abs(F.col("n") - F.col("total") * weight) > spread)
+    return covered.withColumn("sizes_ok", sizes.agg((~F.bool_or(off)).alias("ok")).scalar())
 
 
 def q_split_counts(spark, sf_dir):
@@ -163,6 +187,11 @@ def _q_categories(source):
     )
 
 
+def q_categories_documents(spark, sf_dir):
+    parsed = observations.parse_observations(lines.normalize_lines(derived.document_features(spark, sf_dir)))
+    return profile.categories_per_feature(observations.explode_features(parsed))
+
+
 def q_ohe_dictionary(spark, sf_dir):
     return _dictionary(spark, sf_dir).select("feature_id", "value", "idx")
 
@@ -181,6 +210,18 @@ def q_encode_ohe_unseen(spark, sf_dir):
     return profile.explode_encoded(encoded).select("obs_id", "split", "idx", "val")
 
 
+def q_encode_ohe_shuffled(spark, sf_dir):
+    """As encode_ohe_orders, as if no dictionary were small enough to broadcast."""
+    dictionary = _dictionary(spark, sf_dir, "orders")
+    encoded = onehot.encode_ohe(_observations(spark, sf_dir, "orders"), dictionary, broadcast_bytes=0)
+    return profile.explode_encoded(encoded).select("obs_id", "idx", "val")
+
+
+def q_unseen_features_shuffled(spark, sf_dir):
+    rows, dictionary = _observations(spark, sf_dir, "orders"), _dictionary(spark, sf_dir, "orders")
+    return onehot.unseen_features(rows, dictionary, broadcast_bytes=0).select("obs_id", "feature_id", "value")
+
+
 def q_unseen_features(spark, sf_dir):
     unseen = onehot.unseen_features(_observations(spark, sf_dir, "orders"), _dictionary(spark, sf_dir, "orders"))
     return unseen.select("obs_id", "feature_id", "value")
@@ -191,8 +232,7 @@ def q_nnz_per_row(spark, sf_dir):
 
 
 def q_total_nnz(spark, sf_dir):
-    encoded = _ohe(spark, sf_dir, "orders")[0]
-    return encoded.groupBy("split").agg(F.sum(profile.nnz().cast("bigint")).alias("total_nnz"))
+    return profile.total_nnz(_ohe(spark, sf_dir, "orders")[0], ["split"])
 
 
 def q_feature_frequency(spark, sf_dir):
@@ -267,6 +307,12 @@ def q_predict_proba(spark, sf_dir):
     return _rounded(_scored(spark, sf_dir).select("obs_id", "label", "p"), "p")
 
 
+def q_predict_proba_shuffled(spark, sf_dir):
+    encoded, dictionary = _ohe(spark, sf_dir)
+    scored = scoring.predict_proba(encoded, _fixed_model(dictionary), INTERCEPT, broadcast_bytes=0)
+    return _rounded(scored.select("obs_id", "label", "p"), "p")
+
+
 def q_predict_proba_hashed(spark, sf_dir):
     weights = spark.range(hashed.NUM_BUCKETS).select(F.col("id").alias("idx"), _weight(F.col("id")).alias("weight"))
     scored = scoring.predict_proba(_hashed(spark, sf_dir, "orders"), weights, INTERCEPT)
@@ -294,13 +340,13 @@ def q_roc_curve(spark, sf_dir):
     return _rounded(roc.roc_curve(_ranked_input(spark, sf_dir)), "tpr", "fpr")
 
 
-def _q_gd(iterations):
+def _q_gd(iterations, **limits):
     def query(spark, sf_dir):
         encoded, dictionary = _ohe(spark, sf_dir)
         dimension = dictionary.count()
         # the all-DataFrame path, with every step run
         fitted = descent.fit_sgd(
-            _of(encoded, "train"), dimension, [FIT], iterations, tol=0.0, broadcast_parameters=0
+            _of(encoded, "train"), dimension, [FIT], iterations, tol=0.0, broadcast_parameters=0, **limits
         )
         return _with_intercept(spark, fitted)
 
@@ -346,6 +392,30 @@ def q_grid_search(spark, sf_dir):
     return _rounded(cells, "log_loss")
 
 
+def q_ohe_report(spark, sf_dir):
+    """The one-hot study with a trained model."""
+    encoded, dictionary = _ohe(spark, sf_dir)
+    found = model_report(encoded, dictionary.count(), FIT, FIT_ITERATIONS)
+    return _rounded(found, "log_loss", "baseline_log_loss").withColumn("sum_p", F.round("sum_p", 4))
+
+
+def q_roc_curve_trained(spark, sf_dir):
+    encoded, dictionary = _ohe(spark, sf_dir)
+    scored = trained_scores(encoded, dictionary.count(), FIT, FIT_ITERATIONS)
+    ranked = _of(scored, "validation").withColumn("p", F.round("p", DIGITS))
+    return _rounded(roc.roc_curve(ranked), "tpr", "fpr")
+
+
+def q_grid_matrix_fitted(spark, sf_dir):
+    """All 36 cells fitted in the same passes."""
+    encoded = _hashed(spark, sf_dir)
+    settings = grid.grid_settings(MATRIX_STEPS, MATRIX_REGS)
+    _, cells = grid.grid_search(
+        _of(encoded, "train"), _of(encoded, "validation"), hashed.NUM_BUCKETS, settings, MATRIX_ITERATIONS, tol=0.0
+    )
+    return _rounded(grid.grid_matrix(cells, MATRIX_REGS), *[f"reg_{k}" for k in range(len(MATRIX_REGS))])
+
+
 def q_model_report(spark, sf_dir):
     return _rounded(report(_hashed(spark, sf_dir), hashed.NUM_BUCKETS), "log_loss", "baseline_log_loss")
 
@@ -364,6 +434,7 @@ def _text_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "load_lines": q_load_lines,
+        "load_lines_ids": q_load_lines_ids,
         "normalize_lines": q_normalize_lines,
         "preview_k": q_preview_k,
         "row_count_check": q_row_count_check,
@@ -376,14 +447,16 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_counts": q_split_counts,
         "categories_per_feature": _q_categories("events"),
         "categories_per_feature_orders": _q_categories("orders"),
-        "categories_per_feature_documents": _q_categories("documents"),
+        "categories_per_feature_documents": q_categories_documents,
         "ohe_dictionary": q_ohe_dictionary,
         "ohe_dimension": _q_dimension("events"),
         "ohe_dimension_orders": _q_dimension("orders"),
         "encode_ohe": _q_encode_ohe("events"),
         "encode_ohe_orders": _q_encode_ohe("orders"),
+        "encode_ohe_shuffled": q_encode_ohe_shuffled,
         "encode_ohe_unseen": q_encode_ohe_unseen,
         "unseen_features": q_unseen_features,
+        "unseen_features_shuffled": q_unseen_features_shuffled,
         "nnz_per_row": q_nnz_per_row,
         "total_nnz": q_total_nnz,
         "feature_frequency": q_feature_frequency,
@@ -403,20 +476,25 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "encode_hashed_orders": _q_encode_hashed("orders", hashed.NUM_BUCKETS),
         "encode_hashed_collisions": _q_encode_hashed("events", 7),
         "predict_proba": q_predict_proba,
+        "predict_proba_shuffled": q_predict_proba_shuffled,
         "predict_proba_hashed": q_predict_proba_hashed,
         "prediction_sum": q_prediction_sum,
         "evaluate_logloss": q_evaluate_logloss,
         "bottom_k_weights": q_bottom_k_weights,
         "roc_points_by_row": q_roc_points_by_row,
         "roc_curve": q_roc_curve,
+        "roc_curve_trained": q_roc_curve_trained,
         "gd_step_1": _q_gd(1),
         "gd_step_3": _q_gd(3),
+        "gd_step_shuffled": _q_gd(2, broadcast_bytes=0),
         "fit_sgd": q_fit_sgd,
         "grid_search": q_grid_search,
         "grid_evaluate": q_grid_evaluate,
         "grid_best": q_grid_best,
         "grid_matrix": q_grid_matrix,
+        "grid_matrix_fitted": q_grid_matrix_fitted,
         "model_report": q_model_report,
+        "ohe_report": q_ohe_report,
     }
 
 

@@ -19,11 +19,15 @@ def md5_u32(text: Column) -> Column:
     return _chunk(F.md5(text.cast("binary")), 0)
 
 
-def md5_mod(text: Column, n: int) -> Column:
-    """128-bit MD5 of the UTF-8 text, modulo ``n``; exact for 1 <= n <= 2**31."""
+def md5_hex(text: Column) -> Column:
+    """MD5 of the UTF-8 text as 32 hexadecimal digits."""
+    return F.md5(text.cast("binary"))
+
+
+def hex_mod(digest: Column, n: int) -> Column:
+    """128 bits, given as hexadecimal digits, modulo ``n``; exact for 1 <= n <= 2**31."""
     if not 1 <= n <= MAX_BUCKETS:
         raise ValueError(f"number of buckets must lie in 1..{MAX_BUCKETS}, got {n}")
-    digest = F.md5(text.cast("binary"))
     if n & (n - 1) == 0:
         # a power of two sees the low bits only
         return _chunk(digest, 3).bitwiseAND(F.lit(n - 1).cast("bigint"))
@@ -34,6 +38,11 @@ def md5_mod(text: Column, n: int) -> Column:
     return rest
 
 
+def md5_mod(text: Column, n: int) -> Column:
+    """128-bit MD5 of the UTF-8 text, modulo ``n``."""
+    return hex_mod(md5_hex(text), n)
+
+
 def feature_string(value: Column, feature_id: Column) -> Column:
     """Value followed by feature id, with no separator."""
     return F.concat(value, feature_id.cast("string"))

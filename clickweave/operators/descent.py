@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,9 +32,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalar import sigmoid
-from clickweave.operators.scoring import hot_indices
-from clickweave.plans.lookup import BROADCAST_BYTES, fits, left_lookup
-from clickweave.plans.scratch import materialize
+from clickweave.plans.lookup import (
+    BROADCAST_BYTES,
+    fits,
+    hot_keys,
+    left_lookup,
+    reduce_tasks,
+    salted_rows,
+    salted_table,
+)
+from clickweave.plans.scratch import discard, materialize, scratch_path
 
 BIAS_INDEX = -1
 INITIAL_INTERCEPT = 1.0
@@ -46,7 +52,8 @@ BROADCAST_PARAMETERS = 1 << 22
 SHARES_PER_REDUCER = 4_000_000
 # fewer rows than this are not worth a task of their own
 ROWS_PER_TASK = 20_000
-_ADAPTIVE = "spark.sql.adaptive.enabled"
+# gradient shares per core
+TASKS_PER_CORE = 2
 
 
 @dataclass(frozen=True)
@@ -79,19 +86,31 @@ def _eta(setting: Setting, iteration: int) -> float:
 
 
 def bias_entries(encoded: DataFrame) -> DataFrame:
-    """Non-zeros plus one bias entry per row, laid out so that a row's entries sit together."""
+    """Non-zeros plus one bias entry per row, laid out so that a row's entries sit together.
+
+    Rows get an id of their own (``_row``), fixed by writing them once, so equal
+    rows stay apart.
+    """
+    rows = encoded.select("label", "indices", "values").withColumn("_row", F.monotonically_increasing_id())
     pairs = F.arrays_zip(
         F.concat(F.array(F.lit(BIAS_INDEX).cast("bigint")), F.col("indices")).alias("idx"),
         F.concat(F.array(F.lit(1.0)), F.col("values")).alias("val"),
     )
     return (
-        encoded.select("obs_id", "label", "indices", "values")
-        .repartition("obs_id")
-        .select("obs_id", "label", F.inline_outer(pairs).alias("idx", "val"))
-        .sortWithinPartitions("obs_id")
+        materialize(rows, "training-rows")
+        .repartition(reduce_tasks(encoded.sparkSession), "_row")
+        .select("_row", "label", F.inline_outer(pairs).alias("idx", "val"))
+        .sortWithinPartitions("_row")
     )
 
 
+def entries_by_index(entries: DataFrame, hot: DataFrame) -> DataFrame:
+    """The same entries where the weights of their index will be; frequent indices are spread."""
+    n = reduce_tasks(entries.sparkSession)
+    salted = salted_rows(entries.select("_row", "idx", "val"), ["idx"], hot, "_row")
+    return salted.repartition(n, "idx", "_salt")
+
+
 def initial_weights(spark: SparkSession, dimension: int, n_models: int = 1) -> DataFrame:
     """Zero weights, bias at its start value."""
     start = F.when(F.col("id") == BIAS_INDEX, F.lit(INITIAL_INTERCEPT)).otherwise(F.lit(0.0))
@@ -100,6 +119,34 @@ def initial_weights(spark: SparkSession, dimension: int, n_models: int = 1) -> D
     )
 
 
+def _margins_in_place(entries: DataFrame, weights: DataFrame, n_models: int) -> DataFrame:
+    """Entries with the margins of their row: broadcast weights, and a window over adjacent rows."""
+    found = left_lookup(entries, weights, ["idx"], ["weights"], small=True)
+    of_row = Window.partitionBy("_row")
+    margin = [
+        F.sum(F.col("val") * F.coalesce(F.col("weights")[k], F.lit(0.0))).over(of_row).alias(f"_m{k}")
+        for k in range(n_models)
+    ]
+    return found.select("label", "idx", "val", *margin)
+
+
+def _margins_by_index(
+    entries: DataFrame, by_index: DataFrame, weights: DataFrame, hot: DataFrame, n_models: int
+) -> DataFrame:
+    """The same for weights too large to broadcast.
+
+    Both layouts of the entries stay where they are.  The weights come to the
+    entries of their index, partial margins, added per row and task, go to the
+    entries of their row.
+    """
+    found = by_index.join(salted_table(weights, ["idx"], hot), ["idx", "_salt"], "left")
+    margin = [
+        F.sum(F.col("val") * F.coalesce(F.col("weights")[k], F.lit(0.0))).alias(f"_m{k}") for k in range(n_models)
+    ]
+    of_row = found.groupBy("_row").agg(*margin)
+    return entries.join(of_row, "_row").select("label", "idx", "val", *[f"_m{k}" for k in range(n_models)])
+
+
 def gd_step(
     entries: DataFrame,
     weights: DataFrame,
@@ -108,28 +155,26 @@ def gd_step(
     settings: Sequence[Setting],
     *,
     active: Sequence[bool] | None = None,
-    small: bool = True,
+    by_index: DataFrame | None = None,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Weights after one more iteration, ``(idx, weights, previous)``.
 
-    ``entries`` comes from :func:`bias_entries`: rows of one observation share
-    a partition and are adjacent, so with a broadcast model the margin needs
-    neither shuffle nor sort, and only pre-added gradients move.
+    ``entries`` comes from :func:`bias_entries`.  Weights that may be broadcast
+    need no more; for larger ones ``by_index`` is the second layout of the
+    entries and ``hot`` their frequent indices.  Either way the entries do not
+    move: only margins added per row and gradients added per index do.
     """
-    n_models = range(len(settings))
     active = active or [True] * len(settings)
-    found = left_lookup(entries, weights, ["idx"], ["weights"], small=small, hot=hot)
-    of_row = Window.partitionBy("obs_id")
-    margin = [
-        F.sum(F.col("val") * F.coalesce(F.col("weights")[k], F.lit(0.0))).over(of_row).alias(f"_m{k}")
-        for k in n_models
-    ]
-    scored = found.select("label", "idx", "val", *margin)
+    n_models = len(settings)
+    if by_index is None:
+        scored = _margins_in_place(entries, weights.select("idx", "weights"), n_models)
+    else:
+        scored = _margins_by_index(entries, by_index, weights.select("idx", "weights"), hot, n_models)
     gradient = scored.groupBy("idx").agg(
         *[
             (F.sum(F.col("val") * (sigmoid(F.col(f"_m{k}")) - F.col("label"))) / F.lit(n_rows)).alias(f"_g{k}")
-            for k in n_models
+            for k in range(n_models)
         ]
     )
     updated = []
@@ -156,25 +201,39 @@ def _converged(change2: float, size2: float, tol: float) -> bool:
     return math.sqrt(change2) < tol * max(math.sqrt(size2), 1.0)
 
 
+def _checked_rows(encoded: DataFrame, dimension: int) -> int:
+    """Number of rows, after a check that no index lies outside of the dimension."""
+    counted = encoded.agg(F.count("*").alias("n"), F.max(F.array_max("indices")).alias("top")).first()
+    if counted["top"] is not None and counted["top"] >= dimension:
+        raise ValueError(f"index {counted['top']} does not fit the dimension {dimension}")
+    return counted["n"]
+
+
 def _fit_distributed(
     encoded: DataFrame, dimension: int, settings: Sequence[Setting], iterations: int, tol: float, broadcast_bytes: int
 ) -> Fitted:
-    """Weights stay a table; every iteration writes the next one, so plans do not grow."""
+    """Weights stay a table; every iteration writes the next one, so plans do not grow.
+
+    Of those tables the last two exist at any time.
+    """
     spark = encoded.sparkSession
     n_models = len(settings)
+    n_rows = _checked_rows(encoded, dimension)
     entries = bias_entries(encoded).persist(StorageLevel.MEMORY_AND_DISK)
+    by_index = hot = None
     try:
-        n_rows = entries.where(F.col("idx") == BIAS_INDEX).count()
         weights = initial_weights(spark, dimension, n_models)
-        small = fits(weights, broadcast_bytes, row_bytes=64 + 8 * n_models)
-        hot = None
-        if not small:
-            bias = spark.range(BIAS_INDEX, BIAS_INDEX + 1).select(F.col("id").alias("idx"))
-            hot = materialize(hot_indices(encoded).union(bias), "hot-indices")
+        if not fits(weights, broadcast_bytes, row_bytes=64 + 8 * n_models):
+            hot = hot_keys(entries, ["idx"])
+            by_index = entries_by_index(entries, hot).persist(StorageLevel.MEMORY_AND_DISK)
         active, used = [True] * n_models, [0] * n_models
+        written: list[str] = []
         for i in range(1, iterations + 1):
-            step = gd_step(entries, weights, n_rows, i, settings, active=active, small=small, hot=hot)
-            table = materialize(step, "weights")
+            step = gd_step(entries, weights, n_rows, i, settings, active=active, by_index=by_index, hot=hot)
+            written.append(scratch_path(spark, "weights"))
+            table = materialize(step, "weights", written[-1])
+            if len(written) > 2:
+                discard(spark, written.pop(0))
             used = [i if on else u for on, u in zip(active, used)]
             if tol > 0 and i > 1:
                 moved = _moved(table, n_models)
@@ -184,6 +243,8 @@ def _fit_distributed(
                 break
     finally:
         entries.unpersist()
+        if by_index is not None:
+            by_index.unpersist()
     bias = weights.where(F.col("idx") == BIAS_INDEX).first()["weights"]
     return Fitted(list(settings), weights.where(F.col("idx") != BIAS_INDEX), list(bias), used)
 
@@ -244,26 +305,18 @@ def _reducers(tasks: int, parameters: int, limit: int) -> int:
     return 0 if shares <= SHARES_PER_REDUCER else min(limit, -(-shares // SHARES_PER_REDUCER))
 
 
-@contextmanager
-def _fixed_plan(spark: SparkSession) -> Iterator[None]:
-    """Run with adaptive planning off: each iteration is the same pass with an aggregate of known size."""
-    before = spark.conf.get(_ADAPTIVE)
-    spark.conf.set(_ADAPTIVE, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(_ADAPTIVE, before)
-
-
 def _spread(kept: DataFrame, n_rows: int) -> DataFrame:
     """The cached rows in a sensible number of tasks, as every iteration reads them.
 
-    Normally they stay as they are.  Many tiny partitions are merged in place;
-    rows in fewer partitions than there are cores are spread once.
+    Every task returns a share of the gradient, so their number follows the
+    cores, not the partitions of the input: more partitions than a few per core
+    are merged in place.  Rows in fewer partitions than there are cores are
+    spread once.
     """
-    tasks = max(1, -(-n_rows // ROWS_PER_TASK))
+    cores = kept.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(-(-n_rows // ROWS_PER_TASK), TASKS_PER_CORE * cores))
     present = kept.rdd.getNumPartitions()
-    enough = min(tasks, kept.sparkSession.sparkContext.defaultParallelism)
+    enough = min(tasks, cores)
     if present > tasks:
         return kept.coalesce(tasks)
     if present < enough:
@@ -286,24 +339,23 @@ def _fit_broadcast(
     active, used = list(range(n_models)), [0] * n_models
     rows = kept
     try:
-        n_rows = kept.count()
+        n_rows = _checked_rows(kept, dimension)
         rows = _spread(kept, n_rows)
         limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
         reducers = _reducers(rows.rdd.getNumPartitions(), weights.size, limit)
-        with _fixed_plan(spark):
-            for i in range(1, iterations + 1):
-                gradient = _gradient(rows, weights, active, reducers)
-                moved = weights.copy()
-                for k in active:
-                    eta = _eta(settings[k], i)
-                    moved[k] = weights[k] * (1.0 - eta * settings[k].reg_param) - eta * gradient[k] / n_rows
-                    used[k] = i
-                if tol > 0 and i > 1:
-                    change, size = ((moved - weights) ** 2).sum(axis=1), (moved**2).sum(axis=1)
-                    active = [k for k in active if not _converged(change[k], size[k], tol)]
-                weights = moved
-                if not active:
-                    break
+        for i in range(1, iterations + 1):
+            gradient = _gradient(rows, weights, active, reducers)
+            moved = weights.copy()
+            for k in active:
+                eta = _eta(settings[k], i)
+                moved[k] = weights[k] * (1.0 - eta * settings[k].reg_param) - eta * gradient[k] / n_rows
+                used[k] = i
+            if tol > 0 and i > 1:
+                change, size = ((moved - weights) ** 2).sum(axis=1), (moved**2).sum(axis=1)
+                active = [k for k in active if not _converged(change[k], size[k], tol)]
+            weights = moved
+            if not active:
+                break
     finally:
         kept.unpersist()
         rows.unpersist()

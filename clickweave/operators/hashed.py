@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickweave.functions.hashing import feature_string, md5_mod
+from clickweave.functions.hashing import feature_string, hex_mod, md5_hex, md5_mod
 
 NUM_BUCKETS = 2**15
 
@@ -20,8 +20,10 @@ def encode_hashed(observations: DataFrame, num_buckets: int = NUM_BUCKETS) -> Da
     """Sorted bucket ``indices`` and, as ``values``, the number of distinct feature strings in each."""
     carried = [c for c in observations.columns if c != "feats"]
     texts = F.array_distinct(F.transform("feats", lambda value, i: feature_string(value, i)))
+    # first the digests, then the buckets: inside a lambda nothing is shared, and a bucket reads its digest often
+    digests = F.transform(texts, md5_hex)
     buckets = observations.select(
-        *carried, F.array_sort(F.transform(texts, lambda t: md5_mod(t, num_buckets))).alias("_b")
+        *carried, F.array_sort(F.transform(digests, lambda d: hex_mod(d, num_buckets))).alias("_b")
     )
     indexed = buckets.select(*carried, "_b", F.array_distinct("_b").alias("indices"))
     # rows without a collision, nearly all of them, need no counting

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clickweave.operators.observations import explode_features
 from clickweave.plans.lookup import BROADCAST_BYTES, anti_lookup, hot_keys, left_lookup, table_bytes
 from clickweave.plans.prefix import dense_index
+from clickweave.plans.scratch import materialize
 
 _KEY = ["feature_id", "value"]
 # more columns than this are not looked up position by position
@@ -43,11 +44,6 @@ def _near_positions(dictionary: DataFrame, broadcast_bytes: int) -> tuple[list[i
     return sorted(near), rest, left
 
 
-def _hot_features(single: DataFrame) -> DataFrame:
-    counts = single.where(F.col("value").isNotNull()).groupBy(*_KEY).agg(F.count("*").alias("n"))
-    return hot_keys(counts, _KEY, text=["value"])
-
-
 def _look_up_near(observations: DataFrame, dictionary: DataFrame, near: list[int]) -> DataFrame:
     """Add ``_near``: one broadcast join per position, so no row moves."""
     wide = observations
@@ -61,14 +57,17 @@ def _look_up_near(observations: DataFrame, dictionary: DataFrame, near: list[int
 
 
 def _look_up_far(wide: DataFrame, dictionary: DataFrame, near: list[int], small: bool) -> DataFrame:
-    """Add ``_far``: the other positions as single features, gathered per observation again."""
+    """Add ``_far``: the other positions as single features, gathered again by the ``_row`` they came from."""
     carried = [c for c in wide.columns if c not in ("feats", "_near")]
     named = F.transform("feats", lambda value, i: F.struct(i.alias("feature_id"), value.alias("value")))
     others = F.filter(named, lambda x: ~x["feature_id"].isin(near)) if near else named
     single = wide.select(*carried, "_near", F.inline_outer(others).alias("feature_id", "value"))
     entries = dictionary.where(~F.col("feature_id").isin(near)) if near else dictionary
-    hot = None if small else _hot_features(single)
-    found = left_lookup(single, entries, _KEY, ["idx"], small=small, hot=hot)
+    hot = None
+    if not small:
+        # counted on the rows alone, without the lookups made so far
+        hot = hot_keys(wide.select(F.inline(others).alias("feature_id", "value")), _KEY)
+    found = left_lookup(single, entries, _KEY, ["idx"], small=small, hot=hot, spread="_row")
     return found.groupBy(*carried).agg(F.first("_near").alias("_near"), F.collect_list("idx").alias("_far"))
 
 
@@ -78,12 +77,16 @@ def encode_ohe(
     """Sorted ``indices`` and 1.0 ``values`` per observation.
 
     Values missing from the dictionary are dropped; an observation without any
-    known value stays, with empty arrays.  Positions with few categories, often
-    all of them, are looked up in place; only positions too large to broadcast
-    are shuffled.
+    known value stays, with empty arrays; equal observations stay apart.
+    Positions with few categories, often all of them, are looked up in place;
+    only positions too large to broadcast are shuffled, and then the rows are
+    written first with an id of their own, by which they are gathered again.
     """
     carried = [c for c in observations.columns if c != "feats"]
     near, rest, free = _near_positions(dictionary, broadcast_bytes)
+    if rest:
+        numbered = observations.withColumn("_row", F.monotonically_increasing_id())
+        observations = materialize(numbered, "observations")
     encoded = _look_up_near(observations, dictionary, near)
     found = F.col("_near")
     if rest:
@@ -99,5 +102,5 @@ def unseen_features(
     """The single features that encoding drops."""
     single = explode_features(observations)
     small = dictionary.agg(table_bytes(F.lit(1), F.col("value")).alias("bytes")).first()["bytes"] <= broadcast_bytes
-    hot = None if small else _hot_features(single)
+    hot = None if small else hot_keys(single, _KEY)
     return anti_lookup(single, dictionary, _KEY, small=small, hot=hot).select(*single.columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +38,9 @@ def nnz_per_row(encoded: DataFrame) -> DataFrame:
     return encoded.select("obs_id", nnz().alias("nnz"))
 
 
-def total_nnz(encoded: DataFrame) -> DataFrame:
-    return encoded.agg(F.coalesce(F.sum(nnz().cast("bigint")), F.lit(0)).alias("total_nnz"))
+def total_nnz(encoded: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Non-zeros of all rows, overall or per group."""
+    return encoded.groupBy(*by).agg(F.coalesce(F.sum(nnz().cast("bigint")), F.lit(0)).alias("total_nnz"))
 
 
 def sparsity(encoded: DataFrame, dimension: int | Column) -> DataFrame:

@@ -2,19 +2,46 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.functions.scalar import log_loss, probability
-from clickweave.operators.profile import explode_encoded_outer, feature_frequency
+from clickweave.operators.profile import explode_encoded, explode_encoded_outer
 from clickweave.plans.lookup import BROADCAST_BYTES, fits, hot_keys, left_lookup
+from clickweave.plans.scratch import materialize
 
 
 def hot_indices(encoded: DataFrame) -> DataFrame:
-    """The indices most rows share (a fixed number of them)."""
-    return hot_keys(feature_frequency(encoded), ["idx"])
+    """The indices that most rows share."""
+    return hot_keys(explode_encoded(encoded), ["idx"])
+
+
+def _dot_products(sent: Broadcast, carried: Sequence[str], intercepts: Sequence[float]):
+    """Task function: margins of every model, row by row from the row's own entries."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idx, weights = sent.value
+        for batch in batches:
+            lists = batch.column("indices")
+            own = lists.flatten().to_numpy()
+            val = batch.column("values").flatten().to_numpy()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+            place = np.minimum(np.searchsorted(idx, own), max(0, len(idx) - 1))
+            known = idx[place] == own if len(idx) else np.zeros(len(own), dtype=bool)
+            row, val, place = row[known], val[known], place[known]
+            sums = [
+                pa.array(np.bincount(row, weights=val * weights[place, k], minlength=batch.num_rows) + b)
+                for k, b in enumerate(intercepts)
+            ]
+            names = [*carried, *[f"margin_{k}" for k in range(len(intercepts))]]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in carried], *sums], names)
+
+    return score
 
 
 def margins(
@@ -26,20 +53,33 @@ def margins(
     """Add ``margin_0 ..`` (weights . x + intercept), one column per model.
 
     ``weights`` is ``(idx, weights ARRAY<DOUBLE>)`` with one entry per model, so
-    any number of models costs one pass.  Sums are combined before the shuffle,
-    which then moves one short row per observation.  A row without non-zeros
-    still gets its intercept.
+    any number of models costs one pass.  While the weights fit the (measured)
+    broadcast budget every row is scored where it is.  Beyond it the rows are
+    written once with an id of their own; sums by that id are combined before
+    the shuffle, and equal rows stay apart.  A row without non-zeros gets its
+    intercept.
     """
-    n_models = len(intercepts)
+    spark, n_models = encoded.sparkSession, len(intercepts)
     carried = [c for c in encoded.columns if c not in ("indices", "values")]
-    small = fits(weights, broadcast_bytes, row_bytes=64 + 8 * n_models)
-    hot = None if small else hot_indices(encoded)
-    found = left_lookup(explode_encoded_outer(encoded), weights, ["idx"], ["weights"], small=small, hot=hot)
+    if fits(weights, broadcast_bytes, row_bytes=64 + 8 * n_models):
+        table = weights.select("idx", "weights").toArrow().sort_by("idx")
+        dense = table["weights"].combine_chunks().flatten().to_numpy().reshape(-1, n_models)
+        sent = spark.sparkContext.broadcast((table["idx"].to_numpy(), dense))
+        schema = encoded.select(*carried).schema
+        for k in range(n_models):
+            schema = schema.add(f"margin_{k}", "double")
+        rows = encoded.select(*carried, "indices", "values")
+        return rows.mapInArrow(_dot_products(sent, carried, [float(b) for b in intercepts]), schema)
+    staged = materialize(encoded.withColumn("_row", F.monotonically_increasing_id()), "scored-rows")
+    single = explode_encoded_outer(staged)
+    found = left_lookup(
+        single, weights, ["idx"], ["weights"], small=False, hot=hot_indices(staged), spread="_row"
+    )
     sums = [
         (F.coalesce(F.sum(F.col("val") * F.col("weights")[k]), F.lit(0.0)) + F.lit(float(b))).alias(f"margin_{k}")
         for k, b in enumerate(intercepts)
     ]
-    return found.groupBy(*carried).agg(*sums)
+    return found.groupBy("_row", *carried).agg(*sums).drop("_row")
 
 
 def predict_proba(

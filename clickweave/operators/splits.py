@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickweave.functions.hashing import md5_u32
+from clickweave.plans.scratch import materialize
 
 SPLITS = ("train", "validation", "test")
 WEIGHTS = (0.8, 0.1, 0.1)
@@ -43,8 +44,19 @@ def hash_split(
 def random_split(
     df: DataFrame, weights: Sequence[float] = WEIGHTS, seed: int = SEED, names: Sequence[str] = SPLITS
 ) -> dict[str, DataFrame]:
-    """Spark's seeded sampler; the rows drawn depend on the input's partitioning."""
-    return dict(zip(names, df.randomSplit(list(weights), seed)))
+    """Seeded random parts.
+
+    Every row draws once and the draws are written, so the parts cover the rows
+    and stay disjoint whatever is recomputed; which rows are drawn depends on the
+    partitioning of the input.
+    """
+    cuts = _cuts(weights, 1 << 32)
+    draw = F.floor(F.rand(seed) * F.lit(1 << 32))
+    part = F.lit(0)
+    drawn = materialize(df.withColumn("_u", draw), "random-split")
+    for cut in cuts[:-1]:
+        part = part + (F.col("_u") >= cut).cast("int")
+    return {name: drawn.where(part == k).drop("_u") for k, name in enumerate(names)}
 
 
 def split_counts(df: DataFrame) -> DataFrame:

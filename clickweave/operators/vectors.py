@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.ml.linalg import SparseVector, VectorUDT
+import pandas as pd
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# fixed value: how a stored vector says that it is sparse
+_SPARSE = 0
+
 
 def to_vectors(encoded: DataFrame, dimension: int) -> DataFrame:
     """Replace ``indices`` and ``values`` by one sparse ``features`` vector of the given size.
 
-    Nothing else in the library needs it: there is no built-in expression for a
-    sparse vector, so this one conversion runs in Python.
+    There is no built-in expression for a sparse vector of given indices; this
+    one conversion runs in Python, and hands whole columns through in the
+    layout in which vectors are stored.
     """
     carried = [c for c in encoded.columns if c not in ("indices", "values")]
-    vector = F.udf(lambda indices, values: SparseVector(dimension, indices, values), VectorUDT())
+
+    @F.pandas_udf(VectorUDT())
+    def vector(indices: pd.Series, values: pd.Series) -> pd.DataFrame:
+        columns = {"type": _SPARSE, "size": dimension, "indices": indices, "values": values}
+        return pd.DataFrame(columns, index=indices.index)
+
     return encoded.select(*carried, vector("indices", "values").alias("features"))

@@ -1,11 +1,12 @@
 """Keyed lookups whose join strategy follows the measured size of the table.
 
-Small table: one broadcast join, no shuffle of the rows.  Large table: the keys
-most frequent among the rows, a fixed number of them, are looked up by
-broadcast, known or not; everything else goes through a shuffled join in which
-no key is hot any more.  Rows the first join settled get a salt of their own, so
-they spread evenly instead of piling up on their key.  Every path returns
-exactly the rows of a plain left / anti join.
+Small table: one broadcast join, no shuffle of the rows.  Large table: a
+shuffled join whose key is extended by a salt.  Keys that would be a large part
+of one task's rows are hot: their rows draw a salt from their own id, and the
+table has a copy of such a key for every salt.  Rows without a key are spread
+the same way.  Hot keys are told by a 64-bit hash, so their length does not
+matter; a key that only shares the hash is salted too and loses nothing.  Every
+path returns exactly the rows of a plain left / anti join.
 """
 
 from __future__ import annotations
@@ -14,17 +15,16 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickweave.plans.scratch import materialize
 
 BROADCAST_BYTES = 64 << 20
 ROW_OVERHEAD_BYTES = 64
-# this many of the most frequent keys are treated as hot; any other key then
-# holds less than 1/HOT_KEYS of all rows
-HOT_KEYS = 1000
-HOT_KEY_BYTES = 1024
+# a key is hot if its rows are more than this share of the mean rows of a reduce task
+HOT_SHARE = 0.5
+SALTS_PER_TASK = 4
 
 
 def table_bytes(rows: Column, text: Column | None = None, row_bytes: int = ROW_OVERHEAD_BYTES) -> Column:
@@ -38,11 +38,43 @@ def fits(table: DataFrame, limit: int, row_bytes: int = ROW_OVERHEAD_BYTES) -> b
     return table.agg(table_bytes(F.lit(1), row_bytes=row_bytes).alias("bytes")).first()["bytes"] <= limit
 
 
-def hot_keys(counts: DataFrame, keys: Sequence[str], n: str = "n", text: Sequence[str] = ()) -> DataFrame:
-    """The HOT_KEYS most frequent keys, as a written table of short rows."""
-    for c in text:
-        counts = counts.where(F.octet_length(c) <= HOT_KEY_BYTES)
-    return materialize(counts.orderBy(F.desc(n)).limit(HOT_KEYS).select(*keys), "hot-keys")
+def reduce_tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _keyless(keys: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(k).isNull() for k in keys])
+
+
+def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hashes of the keys that need a salt, as a written table of at most 2 x reduce tasks rows."""
+    keyed = rows.where(~_keyless(keys)).select(F.xxhash64(*keys).alias("_hash"))
+    counts = keyed.groupBy("_hash").agg(F.count("*").alias("n"))
+    limit = HOT_SHARE * keyed.count() / reduce_tasks(rows.sparkSession)
+    return materialize(counts.where(F.col("n") > limit).select("_hash"), "hot-keys")
+
+
+def _marked(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    flagged = hot.select("_hash", F.lit(True).alias("_hot"))
+    return df.withColumn("_hash", F.xxhash64(*keys)).join(F.broadcast(flagged), "_hash", "left")
+
+
+def _salts(spark: SparkSession) -> int:
+    return SALTS_PER_TASK * reduce_tasks(spark)
+
+
+def salted_rows(rows: DataFrame, keys: Sequence[str], hot: DataFrame, spread: str) -> DataFrame:
+    """Add ``_salt``: a class of ``spread`` for rows with a hot key or none, else 0."""
+    loose = F.coalesce("_hot", F.lit(False)) | _keyless(keys)
+    salt = F.when(loose, F.pmod(F.xxhash64(spread), F.lit(_salts(rows.sparkSession)))).otherwise(F.lit(0))
+    return _marked(rows, keys, hot).select(*rows.columns, salt.cast("bigint").alias("_salt"))
+
+
+def salted_table(table: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
+    """The table with a row for every ``_salt`` that rows of its key can have."""
+    every = F.sequence(F.lit(0).cast("bigint"), F.lit(_salts(table.sparkSession) - 1).cast("bigint"))
+    salts = F.when(F.coalesce("_hot", F.lit(False)), every).otherwise(F.array(F.lit(0).cast("bigint")))
+    return _marked(table, keys, hot).select(*table.columns, F.explode(salts).alias("_salt"))
 
 
 def left_lookup(
@@ -57,7 +89,8 @@ def left_lookup(
 ) -> DataFrame:
     """``rows`` left join ``table`` on ``keys``; the columns ``take`` are NULL on a miss.
 
-    ``table`` is unique on ``keys`` and has no NULL in them.
+    ``table`` is unique on ``keys`` and has no NULL in them.  ``spread`` is a
+    column of the rows that differs among rows of one key.
     """
     keys, take = list(keys), list(take)
     table = table.select(*keys, *take)
@@ -65,19 +98,8 @@ def left_lookup(
         return rows.join(F.broadcast(table), keys, "left")
     if hot is None:
         raise ValueError("a table too large to broadcast needs its hot keys")
-    known = table.join(F.broadcast(hot), keys, "left_semi").select(
-        *keys, *[F.col(c).alias(f"_hot_{c}") for c in take]
-    )
-    first = hot.join(F.broadcast(known), keys, "left").withColumn("_answered", F.lit(True))
-    keyless = reduce(or_, [F.col(k).isNull() for k in keys])
-    settled = F.coalesce(F.col("_answered"), F.lit(False)) | keyless
-    # the salt follows from the key, so it is part of the shuffle key and loses no match;
-    # a settled row draws its salt from its own id, and a chance match changes nothing
-    salt = F.when(settled, F.xxhash64(spread)).otherwise(F.xxhash64(*keys))
-    salted = rows.join(F.broadcast(first), keys, "left").withColumn("_salt", salt)
-    rest = table.withColumn("_salt", F.xxhash64(*keys))
-    joined = salted.join(rest, [*keys, "_salt"], "left")
-    return joined.select(*rows.columns, *[F.coalesce(f"_hot_{c}", c).alias(c) for c in take])
+    joined = salted_rows(rows, keys, hot, spread).join(salted_table(table, keys, hot), [*keys, "_salt"], "left")
+    return joined.select(*rows.columns, *take)
 
 
 def anti_lookup(

@@ -9,10 +9,28 @@ from pyspark.sql import functions as F
 
 from clickweave.operators.descent import TOLERANCE, Setting, fit_sgd
 from clickweave.operators.grid import ITERATIONS, grid_best, grid_cells, grid_settings
-from clickweave.operators.scoring import baseline_log_loss, evaluate_models
+from clickweave.operators.scoring import baseline_log_loss, evaluate_models, predict_proba, row_log_loss
 from clickweave.plans.scratch import materialize
 
 
+def trained_scores(
+    encoded: DataFrame, dimension: int, setting: Setting, iterations: int, tol: float = TOLERANCE
+) -> DataFrame:
+    """Scores ``p`` of all rows under one model that is fitted on the ``train`` rows."""
+    fitted = fit_sgd(encoded.where(F.col("split") == "train"), dimension, [setting], iterations, tol)
+    return predict_proba(encoded, fitted.model(), fitted.intercepts[0])
+
+
+def model_report(
+    encoded: DataFrame, dimension: int, setting: Setting, iterations: int, tol: float = TOLERANCE
+) -> DataFrame:
+    """Log loss of one trained model and of the baseline, and the sum of its predictions, per split."""
+    scored = row_log_loss(trained_scores(encoded, dimension, setting, iterations, tol))
+    per_split = scored.groupBy("split").agg(F.avg("log_loss").alias("log_loss"), F.sum("p").alias("sum_p"))
+    baseline = baseline_log_loss(encoded).select("split", F.col("log_loss").alias("baseline_log_loss"))
+    return per_split.join(baseline, "split").select("split", "log_loss", "baseline_log_loss", "sum_p")
+
+
 def report(
     encoded: DataFrame,
     dimension: int,

@@ -2,27 +2,40 @@
 
 from __future__ import annotations
 
+
+
+def _fields(delimiter: str, *fields: str) -> str:
+    return f"concat_ws({delimiter}, " + ", ".join(f"coalesce({f}, '')" for f in fields) + ")"
+
+
+_DOCUMENT = ["lang", "source", "CAST(CAST(floor(n_chars / 500) AS BIGINT) AS VARCHAR)"]
+
 LINES = {
-    "events": """
+    "events": f"""
 lines AS (
-  SELECT event_id AS obs_id, concat_ws(chr(9),
-    CASE WHEN event_type = 'click' THEN '1' ELSE '0' END,
-    CAST(user_id AS VARCHAR), regexp_extract(props, '[0-9]+', 0), CAST(hour(ts) AS VARCHAR),
-    CASE WHEN value < 5 THEN '' ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END) AS raw
+  SELECT event_id AS obs_id, {_fields(
+    "chr(9)",
+    "CASE WHEN event_type = 'click' THEN '1' ELSE '0' END",
+    "CAST(user_id AS VARCHAR)", "regexp_extract(props, '[0-9]+', 0)", "CAST(hour(ts) AS VARCHAR)",
+    "CASE WHEN value < 5 THEN '' ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END",
+  )} AS raw
   FROM events)""",
-    "orders": """
+    "orders": f"""
 lines AS (
-  SELECT o_orderkey AS obs_id, concat_ws(',',
-    CASE WHEN o_orderstatus = 'F' THEN '1' ELSE '0' END, o_orderpriority,
-    CAST(year(o_orderdate) AS VARCHAR), CAST(month(o_orderdate) AS VARCHAR), CAST(o_custkey AS VARCHAR),
-    c_mktsegment, CAST(c_nationkey AS VARCHAR),
-    CAST(CAST(floor(o_totalprice / 10000) AS BIGINT) AS VARCHAR)) AS raw
+  SELECT o_orderkey AS obs_id, {_fields(
+    "','",
+    "CASE WHEN o_orderstatus = 'F' THEN '1' ELSE '0' END", "o_orderpriority",
+    "CAST(year(o_orderdate) AS VARCHAR)", "CAST(month(o_orderdate) AS VARCHAR)", "CAST(o_custkey AS VARCHAR)",
+    "c_mktsegment", "CAST(c_nationkey AS VARCHAR)",
+    "CAST(CAST(floor(o_totalprice / 10000) AS BIGINT) AS VARCHAR)",
+  )} AS raw
   FROM orders JOIN customer ON o_custkey = c_custkey)""",
-    "documents": """
+    "documents": f"""
 lines AS (
-  SELECT d.doc_id AS obs_id, concat_ws(',', CAST(quality AS VARCHAR), lang, source,
-    CAST(CAST(floor(n_chars / 500) AS BIGINT) AS VARCHAR)) AS raw
+  SELECT d.doc_id AS obs_id, {_fields("','", "CAST(quality AS VARCHAR)", *_DOCUMENT)} AS raw
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)""",
+    "all documents": f"""
+lines AS (SELECT doc_id AS obs_id, {_fields("','", "'0'", *_DOCUMENT)} AS raw FROM documents)""",
 }
 
 # split cuts: 0.8 and 0.9 of 2^32
@@ -102,6 +115,9 @@ SELECT obs_id, CAST(f[1] AS DOUBLE) AS label, CAST(len(f) - 1 AS INTEGER) AS n_f
 EXPLODE = "SELECT obs_id, label, feature_id, value FROM feats"
 CATEGORIES = "SELECT feature_id, count(DISTINCT value) AS n_categories FROM feats GROUP BY feature_id"
 DIMENSION = "SELECT count(*) AS dimension FROM dict"
+UNSEEN = """
+SELECT obs_id, feature_id, value FROM feats f
+WHERE NOT EXISTS (SELECT 1 FROM dict d WHERE d.feature_id = f.feature_id AND d.value = f.value)"""
 ENCODED = "SELECT obs_id, idx, val FROM enc"
 CLASS_RATE = "SELECT round(avg(label), 6) AS class_rate FROM labelled WHERE split = 'train'"
 BASELINE = f"""
@@ -203,11 +219,29 @@ base AS (
   FROM labelled, (SELECT avg(label) AS rate FROM labelled WHERE split = 'train') GROUP BY split)"""
 
 
-def search(select: str) -> str:
-    gd = descent("enc", "train", "32768", SEARCH, 500, 1e-3)
+def search(
+    select: str, models: list[tuple[float, float]] = SEARCH, iterations: int = 500, tol: float = 1e-3
+) -> str:
+    gd = descent("enc", "train", "32768", models, iterations, tol)
     return query("events", OBSERVATIONS, hashed(32768), gd, SEARCHED, select=select, recursive=True)
 
 
+# the one-hot model of fit_sgd, with the score of every row
+TRAINED_SCORES = """
+weight AS (SELECT unnest(w) AS x, unnest(range(len(w))) AS pos FROM fitted),
+dot AS (SELECT obs_id, sum(val * x) AS m FROM enc JOIN weight ON idx = pos GROUP BY obs_id),
+scored AS (
+  SELECT l.obs_id, l.split, l.label, 1 / (1 + exp(-least(greatest(coalesce(m, 0) + w[-1], -20), 20))) AS p
+  FROM fitted CROSS JOIN labelled l LEFT JOIN dot ON dot.obs_id = l.obs_id)"""
+
+
+def trained(*ctes: str, select: str) -> str:
+    gd = descent("enc", "train", "(SELECT count(*) FROM dict)", [(10.0, 1e-6)], 50, 1e-3)
+    return query(
+        "events", OBSERVATIONS, DICTIONARY, OHE, gd, TRAINED_SCORES, *ctes, select=select, recursive=True
+    )
+
+
 # ------------------------------------------------------------------ many fixed models
 
 
@@ -249,9 +283,16 @@ ORACLES = {
     "preview_k": query(
         "events", select="SELECT obs_id, replace(raw, chr(9), ',') AS line FROM lines ORDER BY obs_id LIMIT 5"
     ),
+    "load_lines_ids": query("events", select="SELECT count(*) AS n_lines, count(*) AS n_ids FROM lines"),
     "row_count_check": query(
         "events",
-        select="SELECT count(*) AS actual, CAST(10000 AS BIGINT) AS expected, count(*) = 10000 AS ok FROM lines",
+        select="""SELECT count(*) AS actual, (SELECT count(*) FROM events) AS expected,
+  count(*) = (SELECT count(*) FROM events) AS ok FROM lines""",
+    ),
+    "random_split": query(
+        "events",
+        select="""SELECT count(*) AS n_rows, count(DISTINCT obs_id) AS n_ids, 0::BIGINT AS n_shared,
+  true AS sizes_ok FROM lines""",
     ),
     "parse_observations": parsed("events", PARSE),
     "parse_observations_orders": parsed("orders", PARSE),
@@ -261,18 +302,16 @@ ORACLES = {
     "split_counts": parsed("events", "SELECT split, count(*) AS n FROM obs GROUP BY split"),
     "categories_per_feature": parsed("events", CATEGORIES),
     "categories_per_feature_orders": parsed("orders", CATEGORIES),
-    "categories_per_feature_documents": parsed("documents", CATEGORIES),
+    "categories_per_feature_documents": parsed("all documents", CATEGORIES),
     "ohe_dictionary": query("events", OBSERVATIONS, DICTIONARY, select="SELECT feature_id, value, idx FROM dict"),
     "ohe_dimension": query("events", OBSERVATIONS, DICTIONARY, select=DIMENSION),
     "ohe_dimension_orders": query("orders", OBSERVATIONS, DICTIONARY, select=DIMENSION),
     "encode_ohe": ohe("events", ENCODED),
     "encode_ohe_orders": ohe("orders", ENCODED),
+    "encode_ohe_shuffled": ohe("orders", ENCODED),
     "encode_ohe_unseen": ohe("orders", "SELECT obs_id, split, idx, val FROM enc WHERE split <> 'train'"),
-    "unseen_features": ohe(
-        "orders",
-        """SELECT obs_id, feature_id, value FROM feats f
-WHERE NOT EXISTS (SELECT 1 FROM dict d WHERE d.feature_id = f.feature_id AND d.value = f.value)""",
-    ),
+    "unseen_features": ohe("orders", UNSEEN),
+    "unseen_features_shuffled": ohe("orders", UNSEEN),
     "nnz_per_row": ohe(
         "orders",
         """SELECT l.obs_id, CAST(count(e.idx) AS INTEGER) AS nnz
@@ -327,6 +366,7 @@ FROM (SELECT *, value || CAST(feature_id AS VARCHAR) AS feature FROM feats)""",
     "encode_hashed_orders": query("orders", OBSERVATIONS, hashed(32768), select=ENCODED),
     "encode_hashed_collisions": query("events", OBSERVATIONS, hashed(7), select=ENCODED),
     "predict_proba": fixed_scored("SELECT obs_id, label, round(p, 6) AS p FROM scored"),
+    "predict_proba_shuffled": fixed_scored("SELECT obs_id, label, round(p, 6) AS p FROM scored"),
     "predict_proba_hashed": query(
         "orders", OBSERVATIONS, hashed(32768), FIXED_SCORES,
         select="SELECT obs_id, label, round(p, 6) AS p FROM scored",
@@ -346,6 +386,7 @@ FROM dict ORDER BY weight, idx LIMIT 5""",
     "roc_curve": query("events", OBSERVATIONS, DICTIONARY, OHE, FIXED_SCORES, ROC, select=ROC_CURVE),
     "gd_step_1": fit_ohe(1, 0.0),
     "gd_step_3": fit_ohe(3, 0.0),
+    "gd_step_shuffled": fit_ohe(2, 0.0),
     "fit_sgd": fit_ohe(50, 1e-3),
     "grid_search": search(
         """SELECT CAST(model_id AS INTEGER) AS grid_order, step AS step_size, reg AS reg_param,
@@ -357,6 +398,27 @@ FROM dict ORDER BY weight, idx LIMIT 5""",
 FROM losses JOIN base ON losses.split = base.split
 WHERE model_id = (SELECT model_id FROM losses WHERE split = 'validation' ORDER BY log_loss, model_id LIMIT 1)"""
     ),
+    "ohe_report": trained(
+        select=f"""SELECT s.split, round(avg({log_loss("p", "s.label")}), 6) AS log_loss,
+  round(any_value(baseline), 6) AS baseline_log_loss, round(sum(p), 4) AS sum_p
+FROM scored s JOIN (
+  SELECT split, avg({log_loss("rate", "label")}) AS baseline
+  FROM labelled, (SELECT avg(label) AS rate FROM labelled WHERE split = 'train') GROUP BY split) b
+  ON s.split = b.split GROUP BY s.split"""
+    ),
+    "roc_curve_trained": trained(
+        """
+ranked AS (SELECT obs_id, label, round(p, 6) AS p FROM scored WHERE split = 'validation'),
+totals AS (SELECT sum(label) AS pos, count(*) - sum(label) AS neg FROM ranked)""",
+        select=ROC_CURVE,
+    ),
+    "grid_matrix_fitted": search(
+        f"""SELECT step_size, {_MATRIX_COLUMNS} FROM (
+  SELECT step AS step_size, reg AS reg_param, log_loss FROM losses WHERE split = 'validation') GROUP BY step_size""",
+        [(s, r) for s in MATRIX_STEPS for r in MATRIX_REGS],
+        3,
+        0.0,
+    ),
     "grid_evaluate": grid_query(STEPS, REGS, CELLS),
     "grid_best": grid_query(STEPS, REGS, f"{CELLS} ORDER BY cells.log_loss, grid_order LIMIT 1"),
     "grid_matrix": grid_query(

@@ -91,7 +91,7 @@ def test_hot_rows_spread_in_the_shuffled_lookup(spark, skewed):
         # the hot value itself is unknown to the table
         table = dictionary.where("value <> 'hot'")
         single = explode_features(skewed).where("feature_id = 0")
-        hot = hot_keys(single.groupBy(*keys).agg(F.count("*").alias("n")), keys)
+        hot = hot_keys(single, keys)
         joined = left_lookup(single, table, keys, ["idx"], small=False, hot=hot)
         assert "SortMergeJoin" in joined._jdf.queryExecution().executedPlan().toString()
         sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
