@@ -120,3 +120,47 @@ def test_training_rows_keep_every_feature(spark, skewed):
 def test_first_k_sum_follows_the_key(spark, skewed):
     total = profile.first_k_sum(skewed.repartition(7), F.col("label"), 10).first()[0]
     assert total == 5.0
+
+
+def test_equal_observations_stay_apart_on_all_paths(spark, monkeypatch):
+    rows = [(7, 1.0, ["a", "c"])] * 2 + [(7, 1.0, ["b", "d"]), (8, 0.0, [])]
+    observed = spark.createDataFrame(rows, "obs_id bigint, label double, feats array<string>")
+    dictionary = onehot.fit_dictionary(observed)
+    expected = [[], [0, 2], [0, 2], [1, 3]]
+    for limit, joins in ((onehot.BROADCAST_BYTES, 64), (onehot.BROADCAST_BYTES, 1), (0, 64)):
+        monkeypatch.setattr(onehot, "MAX_POSITION_JOINS", joins)
+        encoded = onehot.encode_ohe(observed, dictionary, limit).collect()
+        assert sorted(r["indices"] for r in encoded) == expected
+
+
+def test_a_long_hot_key_is_spread(spark):
+    """A key of many bytes that a third of all rows hold is nobody's whole task."""
+    from clickweave.plans.lookup import hot_keys, left_lookup
+
+    text = F.when(F.col("id") % 3 == 0, F.repeat(F.lit("x"), 5000)).otherwise(F.col("id").cast("string"))
+    rows = spark.range(6000).select(F.col("id").alias("obs_id"), text.alias("value"))
+    table = rows.select("value").distinct().withColumn("idx", F.length("value"))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = left_lookup(rows, table, ["value"], ["idx"], small=False, hot=hot_keys(rows, ["value"]))
+        sizes = [r["n"] for r in joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 6000 and max(sizes) < 2 * 6000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert joined.where("idx = 5000").count() == 2000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_hashed_encoding_reads_each_digest_once(spark, skewed):
+    from clickweave.operators.hashed import encode_hashed
+
+    plan = encode_hashed(skewed, 7)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("md5(") == 1
+
+
+def test_total_nnz_by_group(spark, skewed):
+    encoded = onehot.encode_ohe(skewed, onehot.fit_dictionary(skewed))
+    assert {r["label"]: r["total_nnz"] for r in profile.total_nnz(encoded, ["label"]).collect()} == {0.0: 4500, 1.0: 4500}

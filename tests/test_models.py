@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickweave.operators import descent, grid, roc, scoring
 from clickweave.operators.descent import Setting
-from clickweave.workflow import report
+from clickweave.workflow import model_report, report, trained_scores
 
 DIMENSION = 12
 
@@ -118,10 +118,107 @@ def test_tasks_follow_the_row_count(spark, monkeypatch):
         assert descent._spread(kept, rows).rdd.getNumPartitions() == expected
 
 
-def test_session_settings_are_restored(spark, encoded):
-    before = spark.conf.get("spark.sql.adaptive.enabled")
-    descent.fit_sgd(encoded, DIMENSION, SETTINGS[:1], 1)
-    assert spark.conf.get("spark.sql.adaptive.enabled") == before
+def test_many_partitions_give_few_shares(spark):
+    cores = spark.sparkContext.defaultParallelism
+    kept = spark.range(0, 10**9, 1, 50 * cores)
+    assert descent._spread(kept, 10**9).rdd.getNumPartitions() == descent.TASKS_PER_CORE * cores
+
+
+PATHS = {
+    "broadcast": {},
+    "table": {"broadcast_parameters": 0},
+    "shuffled": {"broadcast_parameters": 0, "broadcast_bytes": 0},
+}
+
+
+@pytest.fixture(scope="module")
+def repeated(spark):
+    """Equal rows, under one id, and an id with different rows."""
+    rows = [(7, 1.0, [0, 2], [1.0, 1.0])] * 3 + [(7, 0.0, [1], [2.0]), (8, 0.0, [], []), (8, 0.0, [], [])]
+    return spark.createDataFrame(
+        rows, "obs_id bigint, label double, indices array<bigint>, values array<double>"
+    ).repartition(2)
+
+
+@pytest.mark.parametrize("path", PATHS)
+def test_equal_rows_count_singly_in_every_fit(repeated, path):
+    x = np.array([[1.0, 0, 1]] * 3 + [[0, 2.0, 0], [0, 0, 0], [0, 0, 0]])
+    w, _ = _loop(x, np.array([1.0, 1, 1, 0, 0, 0]), SETTINGS[0], 3, 0.0)
+    fitted = descent.fit_sgd(repeated, 3, SETTINGS[:1], 3, 0.0, **PATHS[path])
+    assert fitted.intercepts[0] == pytest.approx(w[-1], abs=1e-9)
+    assert np.allclose(sorted(r["weight"] for r in fitted.model().collect()), sorted(w[:-1]), atol=1e-9)
+
+
+@pytest.mark.parametrize("limit", [scoring.BROADCAST_BYTES, 0])
+def test_equal_rows_are_scored_singly(spark, repeated, limit):
+    found = scoring.predict_proba(repeated, _fixed(spark), 0.5, limit).collect()
+    assert len(found) == 6
+    sure, other, empty = (1 / (1 + math.exp(-m)) for m in (0.5 - 0.4 - 0.2, 0.5 - 2 * 0.3, 0.5))
+    expected = sorted([sure] * 3 + [other] + [empty] * 2)
+    assert np.allclose(sorted(r["p"] for r in found), expected)
+
+
+@pytest.mark.parametrize("path", PATHS)
+@pytest.mark.parametrize("dimension", [1, DIMENSION - 2])
+def test_wrong_dimension_is_an_error(encoded, path, dimension):
+    with pytest.raises(ValueError, match="does not fit"):
+        descent.fit_sgd(encoded, dimension, SETTINGS[:1], 1, **PATHS[path])
+
+
+def _executed(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scoring_moves_no_row(spark, encoded):
+    plan = _executed(scoring.predict_proba(encoded, _fixed(spark), 0.0))
+    # below the relation is how the rows were cached
+    assert "Exchange" not in plan.split("InMemoryRelation")[0]
+
+
+def test_large_weights_do_not_move_the_entries(spark, encoded):
+    """What is shuffled are weights, and sums per row or index; never the label-index-value entries."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    entries = descent.bias_entries(encoded).persist()
+    hot = descent.hot_keys(entries, ["idx"])
+    by_index = descent.entries_by_index(entries, hot).persist()
+    try:
+        weights = descent.initial_weights(spark, DIMENSION)
+        step = descent.gd_step(entries, weights, 400, 1, SETTINGS[:1], by_index=by_index, hot=hot)
+        plan = _executed(step).split("InMemoryRelation")[0]
+        depth = {}
+        for line in plan.splitlines():
+            indent = len(line) - len(line.lstrip(" :+-"))
+            depth = {d: l for d, l in depth.items() if d < indent} | {indent: line}
+            if "InMemoryTableScan" in line:
+                above = [depth[d] for d in sorted(depth, reverse=True)][1:]
+                first = next(l for l in above if "Exchange" in l or "Aggregate" in l or "Join" in l)
+                # on the way up an aggregate or the join comes before any exchange
+                assert "Exchange" not in first or "Broadcast" in first, plan
+        assert step.count() == DIMENSION + 1
+    finally:
+        entries.unpersist()
+        by_index.unpersist()
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_two_weight_tables_at_most(spark, encoded, tmp_path, monkeypatch):
+    seen = []
+    original = descent.materialize
+
+    def counting(df, name, path=None):
+        table = original(df, name, path)
+        seen.append(len(list(tmp_path.glob("weights-*"))))
+        return table
+
+    monkeypatch.setattr(descent, "scratch_path", lambda spark, name: f"{tmp_path}/{name}-{len(seen)}")
+    monkeypatch.setattr(descent, "materialize", counting)
+    descent.fit_sgd(encoded, DIMENSION, SETTINGS[:1], 6, 0.0, broadcast_parameters=0)
+    # the next one is written before the oldest goes
+    assert max(seen) <= 3 and len(list(tmp_path.glob("weights-*"))) == 2
 
 
 def _fixed(spark):
@@ -207,6 +304,20 @@ def test_first_of_equal_cells_wins(spark):
     assert matrix[1.0] == (0.5, 0.4) and matrix[10.0][0] == 0.4
 
 
+def test_roc_shuffles_rows_once(spark, encoded):
+    """Ranges are summed where they are: after the range exchange no row moves again."""
+    scored = scoring.predict_proba(encoded, _fixed(spark), 0.0)
+    points = _executed(roc.roc_points(scored).drop("tpr", "fpr"))
+    assert "Exchange" not in points and "Window" not in points
+
+
+def test_trained_report(encoded):
+    table = {r["split"]: r for r in model_report(encoded, DIMENSION, Setting(10.0, 1e-6), 20).collect()}
+    scored = trained_scores(encoded, DIMENSION, Setting(10.0, 1e-6), 20).where("split = 'train'").collect()
+    assert table["train"]["sum_p"] == pytest.approx(sum(r["p"] for r in scored))
+    assert table["train"]["log_loss"] < table["train"]["baseline_log_loss"]
+
+
 def test_report(encoded):
     table = {r["split"]: r for r in report(encoded, DIMENSION, iterations=20).collect()}
     assert set(table) == {"train", "validation", "test"}

@@ -2,9 +2,12 @@ import gzip
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from clickweave.operators.observations import explode_features, parse_observations
 from clickweave.operators.splits import hash_split, random_split, split_counts
+from clickweave.plans import scratch
+from clickweave.sources import derived
 from clickweave.sources.lines import load_lines, normalize_lines, preview, row_count_check
 
 
@@ -64,3 +67,61 @@ def test_random_split_covers(spark):
     rows = spark.range(5000).withColumnRenamed("id", "obs_id")
     parts = [{r["obs_id"] for r in part.collect()} for part in random_split(rows).values()]
     assert sum(map(len, parts)) == 5000 and len(set().union(*parts)) == 5000
+
+
+def test_random_split_draws_once(spark):
+    """All parts read one written table, so an unstable input cannot change between them."""
+    rows = spark.range(2000).repartition(5).withColumn("x", F.rand())
+    parts = random_split(rows)
+    files = {f for part in parts.values() for f in part.inputFiles()}
+    assert files == set(parts["train"].inputFiles())
+    assert sum(part.count() for part in parts.values()) == 2000
+
+
+def test_null_columns_keep_later_fields_in_place(spark, tmp_path):
+    documents = [(1, None, None, "src", 700), (2, None, "en", "src", 100)]
+    spark.createDataFrame(
+        documents, "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    ).write.parquet(f"{tmp_path}/documents.parquet")
+    lines = {r["obs_id"]: r["line"] for r in derived.document_features(spark, str(tmp_path)).collect()}
+    assert lines == {1: "0,,src,1", 2: "0,en,src,0"}
+
+
+def test_the_shared_folder_is_honoured(spark, tmp_path):
+    """The setting comes first, then the checkpoint folder; without either only local mode goes on."""
+
+    class Context:
+        master, applicationId = "spark://somewhere:1", "app"
+
+        def __init__(self, folder=None):
+            self.folder = folder
+
+        def getCheckpointDir(self):
+            return self.folder
+
+    class Conf:
+        def __init__(self, value=None):
+            self.value = value
+
+        def get(self, key, default=None):
+            return self.value or default
+
+    def session(conf=None, folder=None, master=None):
+        made = type("Session", (), {"conf": Conf(conf), "sparkContext": Context(folder)})()
+        made.sparkContext.master = master or made.sparkContext.master
+        return made
+
+    assert scratch.scratch_root(session("hdfs:/x/", "hdfs:/y")) == "hdfs:/x"
+    assert scratch.scratch_root(session(None, "hdfs:/y")) == "hdfs:/y"
+    for master in ("spark://h:1", "yarn", "local-cluster[2,1,512]"):
+        with pytest.raises(RuntimeError, match="shared folder"):
+            scratch.scratch_root(session(master=master))
+    for master in ("local", "local[4]", "local[*]"):
+        assert scratch.scratch_root(session(master=master))
+
+
+def test_discard(spark, tmp_path):
+    path = f"{tmp_path}/table"
+    scratch.materialize(spark.range(3).toDF("id"), "table", path)
+    scratch.discard(spark, path)
+    assert not (tmp_path / "table").exists()
