@@ -18,8 +18,9 @@ from clickweave.plans.scratch import materialize
 # a chunk ends where the rolling hash over so many lines is 0 modulo the divisor
 ROLLING_LINES = 2
 DIVISOR = 4
-# lists of chunks per document are broadcast to the text scan up to so many documents, else shuffled
-BROADCAST_ROWS = 1 << 18
+# lists of chunks per document are broadcast to the text scan up to this measured size, else shuffled
+BROADCAST_BYTES = 32 << 20
+_ROW_BYTES, _ENTRY_BYTES = 64, 64
 
 _NEWLINE = 10
 _ROLL = np.uint64(0x9E6C63D0876A9A47)
@@ -95,18 +96,19 @@ def _digests(docs: DataFrame, rolling: int, divisor: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, chunk int, digest binary")
 
 
-def _with_lists(docs: DataFrame, lists: DataFrame, how: str, broadcast_rows: int) -> DataFrame:
-    small = lists.count() <= broadcast_rows
+def _with_lists(docs: DataFrame, lists: DataFrame, column: str, how: str, broadcast_bytes: int) -> DataFrame:
+    size = F.sum(F.size(column).cast("bigint") * _ENTRY_BYTES + _ROW_BYTES)
+    small = lists.agg(F.coalesce(size, F.lit(0)).alias("bytes")).first()["bytes"] <= broadcast_bytes
     return docs.join(F.broadcast(lists) if small else lists.hint("shuffle_hash"), "doc_id", how)
 
 
-def _texts(docs: DataFrame, repeated: DataFrame, rolling: int, divisor: int, broadcast_rows: int) -> DataFrame:
+def _texts(docs: DataFrame, repeated: DataFrame, rolling: int, divisor: int, broadcast_bytes: int) -> DataFrame:
     """(doc_id, chunk, digest, first, body) of repeated chunks, with their bytes."""
     lists = materialize(
         repeated.groupBy("doc_id").agg(F.collect_list(F.struct("chunk", "digest", "first")).alias("found")),
         "line-candidates",
     )
-    rows = _with_lists(docs.select("doc_id", "text"), lists, "inner", broadcast_rows)
+    rows = _with_lists(docs.select("doc_id", "text"), lists, "found", "inner", broadcast_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,7 +143,7 @@ def line_dedup(
     *,
     rolling_lines: int = ROLLING_LINES,
     divisor: int = DIVISOR,
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Remove from ``docs(doc_id, text)`` chunks of two and more lines that also occur earlier.
 
@@ -169,13 +171,13 @@ def line_dedup(
     repeated = spread_lookup(found, groups, "digest", "doc_id").where("n is not null")
     first = F.col("keeper") == F.struct("doc_id", "chunk")
     repeated = repeated.select("doc_id", "chunk", "digest", first.alias("first"))
-    bodies = materialize(_texts(known, repeated, rolling_lines, divisor, broadcast_rows), "line-texts")
+    bodies = materialize(_texts(known, repeated, rolling_lines, divisor, broadcast_bytes), "line-texts")
     keepers = bodies.where("first").groupBy("digest").agg(F.min("body").alias("kept_body"))
     compared = spread_lookup(bodies.where("not first"), keepers, "digest", "doc_id")
     gone = materialize(
         compared.where("body = kept_body").groupBy("doc_id").agg(F.collect_set("chunk").alias("gone")), "line-gone"
     )
-    rows = _with_lists(docs.select("doc_id", "text"), gone, "left", broadcast_rows)
+    rows = _with_lists(docs.select("doc_id", "text"), gone, "gone", "left", broadcast_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -211,7 +211,8 @@ def pack_documents(
     offsets = counts.select("length", "_class", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("length", "_class").orderBy("doc_id", "part")
     ranked = (
-        parts.join(offsets, ["length", "_class"], "left")
+        # dealt as the window needs it, so the join costs no exchange of its own
+        parts.join(offsets.hint("shuffle_hash"), ["length", "_class"], "left")
         .withColumn("_rank", F.col("_before") + F.row_number().over(inside) - 1)
         .select("doc_id", "part", "start", "length", "_rank")
     )

@@ -124,10 +124,10 @@ def line_data():
     return data + [(100, None), (101, ""), (102, "\n\n\n\n\n\n"), (103, "\n\n\n\n\n\n"), (104, "shared line 1")]
 
 
-@pytest.mark.parametrize("broadcast_rows", [1000, -1])
-def test_lines(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_bytes", [1 << 20, -1])
+def test_lines(spark, broadcast_bytes):
     data = line_data()
-    found = line_dedup(frame(spark, data), broadcast_rows=broadcast_rows).collect()
+    found = line_dedup(frame(spark, data), broadcast_bytes=broadcast_bytes).collect()
     assert {r.doc_id: (r.n_lines, r.n_removed, r.kept_text) for r in found} == plain_lines(data)
     assert sum(r.n_removed for r in found) > 300
 
