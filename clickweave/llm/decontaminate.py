@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickweave.llm.text import LOWER, Words, byte_set, mix, pieces, word_hashes, words
+from clickweave.plans.scratch import materialize
 
 WINDOW_WORDS = 10
-# benchmark text per search pass; more text is searched for in further passes over the same rows
-BLOCK_BYTES = 16 << 20
+# benchmark text per search pass (its tables take some 60 times that); more text is searched for in further
+# passes over the same rows, so many of them in one stage
+BLOCK_BYTES = 2 << 20
+PASSES_PER_STAGE = 3
 # cursors advance over stretches of this many windows, all stretches of a piece at once
 STRETCH = 256
 _BLOCK_FACTOR = np.uint64(0x9FB21C651E98DF25)
@@ -47,17 +50,18 @@ def _read(data: np.ndarray, bounds: np.ndarray) -> _Text:
 class _Search:
     """All patterns of one length: shift table, suffix buckets, texts to compare with."""
 
-    def __init__(self, length: int, patterns: dict[bytes, tuple[np.ndarray, set[str]]]):
+    def __init__(self, length: int, patterns: dict[bytes, tuple[str, ...]]):
         self.length = length
         self.block = min(2, length)
         texts = list(patterns)
-        rows = np.array([patterns[t][0] for t in texts], dtype=np.uint64)
+        joined = np.frombuffer(b" ".join(texts), np.uint8)
+        rows = _read(joined, np.array([0, len(joined)])).hashes.reshape(-1, length)
         suffix = self._blocks(rows, np.full(len(rows), length - 1))
         order = np.argsort(suffix, kind="stable")
         self.suffix = suffix[order]
         self.rows = rows[order]
         self.texts = [texts[i] for i in order]
-        self.items = [patterns[t][1] for t in self.texts]
+        self.items = [patterns[t] for t in self.texts]
         bits = max(16, int(len(rows) * length * 4).bit_length())
         self.mask = np.uint64((1 << bits) - 1)
         # how far the window may move when it ends in a block: to the last place any pattern has it
@@ -98,7 +102,7 @@ class _Search:
 
 def _searches(rows: Iterable[tuple[str | None, str | None]], window: int) -> list[_Search]:
     rows = [(item, text) for item, text in rows if text]
-    lengths: dict[int, dict[bytes, tuple[np.ndarray, set[str]]]] = {}
+    lengths: dict[int, dict[bytes, tuple[str, ...]]] = {}
     for piece in pieces(pa.array([t for _, t in rows], pa.string())):
         text = _read(piece.data, piece.bounds)
         for i in range(piece.last - piece.first):
@@ -108,9 +112,10 @@ def _searches(rows: Iterable[tuple[str | None, str | None]], window: int) -> lis
                 continue
             patterns = lengths.setdefault(m, {})
             for at in range(begin, end - m + 1):
-                _, items = patterns.setdefault(text.normal(at, at + m), (text.hashes[at : at + m], set()))
-                if (item := rows[piece.first + i][0]) is not None:
-                    items.add(item)
+                passage, item = text.normal(at, at + m), rows[piece.first + i][0]
+                items = patterns.setdefault(passage, ())
+                if item is not None and item not in items:
+                    patterns[passage] = (*items, item)
     return [_Search(m, patterns) for m, patterns in sorted(lengths.items())]
 
 
@@ -205,7 +210,8 @@ def find_benchmark(
     how far the window can move; where it cannot, patterns with that suffix are
     compared, first by hash and then byte by byte.  No row moves between tasks.
     The benchmark is a query set: it is sent to the tasks in blocks of about
-    ``block_bytes``, each block being one more pass in the same stage.
+    ``block_bytes``, each block being one more pass; after every few passes the
+    rows are written, so the tables that a task holds stay bounded.
     """
     size = F.octet_length(F.coalesce("text", F.lit(""))).cast("bigint")
     total = benchmark.agg(F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()["bytes"]
@@ -221,6 +227,8 @@ def find_benchmark(
         rows = own.where(F.col("block") == block).select("item_id", "text").collect()
         keep_text = "text" in carry or block < blocks - 1
         found = _pass(found, [tuple(r) for r in rows], window, keep_text)
+        if block % PASSES_PER_STAGE == PASSES_PER_STAGE - 1 and block < blocks - 1:
+            found = materialize(found, "benchmark-passes")
     doc = F.struct(*[F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in carry])
     return found.select(doc.alias("doc"), "n_words", "spans", "items")
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from clickweave.llm.spread import components, spread_lookup, tasks
 from clickweave.llm.text import LOWER, WHITE_SPACE, Words, mix, pieces, window_hashes, word_hashes, words
 from clickweave.llm.text import _word_powers as _powers
-from clickweave.plans.scratch import materialize
+from clickweave.plans.scratch import discard, materialize, scratch_path
 
 SHINGLE_WORDS = 5
 # two sets link when 100 * intersection >= PERCENT * union
@@ -584,11 +584,13 @@ def jaccard_components(
     source = docs.select("doc_id", "text")
     texts = source.join(_small(held, broadcast_rows), "doc_id", "left_semi")
     texts = texts.unionByName(source.where("doc_id is null"))
-    sets = materialize(_full_sets(texts, shingle_words, parts), "jaccard-sets")
-    candidates = components(_candidate_edges(sets, percent, parts), materialize)
+    sets_path = scratch_path(spark, "jaccard-sets")
+    sets = materialize(_full_sets(texts, shingle_words, parts), "jaccard-sets", sets_path)
+    candidates = components(_candidate_edges(sets, percent, parts))
     places = materialize(_places(candidates, chosen.drop("doc_id"), tile_shingles), "jaccard-places")
     linked = materialize(_verified(sets, _small(places, broadcast_rows), parts, percent), "jaccard-links")
-    roots = components(linked, materialize).withColumnRenamed("node", "digest")
+    discard(spark, sets_path)
+    roots = components(linked).withColumnRenamed("node", "digest")
     n_links = linked.groupBy(F.col("a").alias("digest")).agg(F.sum("links").alias("links"))
     first = classes.join(roots, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
     smallest = first.groupBy("root").agg(F.min("first_id").alias("component_id"))

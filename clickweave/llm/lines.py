@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from clickweave.llm.spread import spread_lookup
 from clickweave.llm.text import SpanHashes, mix, pieces
-from clickweave.plans.scratch import materialize
+from clickweave.plans.scratch import discard, materialize, scratch_path
 
 # a chunk ends where the rolling hash over so many lines is 0 modulo the divisor
 ROLLING_LINES = 2
@@ -171,12 +171,14 @@ def line_dedup(
     repeated = spread_lookup(found, groups, "digest", "doc_id").where("n is not null")
     first = F.col("keeper") == F.struct("doc_id", "chunk")
     repeated = repeated.select("doc_id", "chunk", "digest", first.alias("first"))
-    bodies = materialize(_texts(known, repeated, rolling_lines, divisor, broadcast_bytes), "line-texts")
+    path = scratch_path(docs.sparkSession, "line-texts")
+    bodies = materialize(_texts(known, repeated, rolling_lines, divisor, broadcast_bytes), "line-texts", path)
     keepers = bodies.where("first").groupBy("digest").agg(F.min("body").alias("kept_body"))
     compared = spread_lookup(bodies.where("not first"), keepers, "digest", "doc_id")
     gone = materialize(
         compared.where("body = kept_body").groupBy("doc_id").agg(F.collect_set("chunk").alias("gone")), "line-gone"
     )
+    discard(docs.sparkSession, path)
     rows = _with_lists(docs.select("doc_id", "text"), gone, "gone", "left", broadcast_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickweave.plans.scratch import discard, materialize, scratch_path
+
 
 def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -26,33 +26,39 @@ def spread_lookup(rows: DataFrame, table: DataFrame, key: str, spread: str) -> D
     return dealt.join(answers, [key, "_slot"], "left").drop("_slot")
 
 
-def components(edges: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges(a, b)``: one row (node, root) per node, any root of its own.
 
     Every round moves each node to its smallest neighbour and contracts the
     edges, so they shrink geometrically; combination happens before each
-    exchange.  ``keep`` writes a small table to shared storage and rereads it,
-    which ends the lineage of a round.
+    exchange.  The tables of a round are written to the shared folder, which
+    ends its lineage, and go when the next round is written.
     """
+    spark = edges.sparkSession
+    written: dict[str, str] = {}
+
+    def keep(table: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(spark, f"components-{name}")
+        kept = materialize(table, name, path)
+        if name in written:
+            discard(spark, written[name])
+        written[name] = path
+        return kept
+
     edges = keep(edges.select("a", "b").where("a <> b").distinct(), "edges")
-    mapping = None
+    mapping = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    first = True
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         parents = keep(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("p")), "parents")
-        if mapping is None:
-            mapping = parents.select(F.col("a").alias("node"), F.col("p").alias("root"))
+        if first:
+            moved = parents.select(F.col("a").alias("node"), F.col("p").alias("root"))
         else:
             step = parents.select(F.col("a").alias("root"), "p")
-            moved = mapping.join(step, "root", "left")
-            mapping = moved.select("node", F.coalesce("p", "root").alias("root"))
-        mapping = keep(mapping, "mapping")
-        first = parents.select("a", F.col("p").alias("pa"))
-        second = parents.select(F.col("a").alias("b"), F.col("p").alias("pb"))
-        moved = edges.join(first, "a").join(second, "b").where("pa <> pb")
-        edges = keep(
-            moved.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges"
-        )
-    if mapping is None:
-        mapping = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            moved = mapping.join(step, "root", "left").select("node", F.coalesce("p", "root").alias("root"))
+        mapping, first = keep(moved, "mapping"), False
+        one = parents.select("a", F.col("p").alias("pa"))
+        other = parents.select(F.col("a").alias("b"), F.col("p").alias("pb"))
+        ends = edges.join(one, "a").join(other, "b").where("pa <> pb")
+        edges = keep(ends.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), "edges")
     return mapping
-

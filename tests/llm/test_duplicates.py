@@ -10,7 +10,6 @@ from clickweave.llm.jaccard import jaccard_components
 from clickweave.llm.lines import chunks, line_dedup
 from clickweave.llm.spread import components, spread_lookup
 from clickweave.llm.substring import substring_dedup
-from clickweave.plans.scratch import materialize
 from tests.llm import brute
 from tests.llm.corpus import SCHEMA, frame, rows
 
@@ -164,8 +163,9 @@ def test_only_empty_texts(spark, operator):
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30)] + [(100, 101), (102, 101), (7, 7)]
     df = spark.createDataFrame([(str(a).zfill(4), str(b).zfill(4)) for a, b in edges], "a string, b string")
-    found = components(df, materialize).groupBy("root").count().collect()
+    found = components(df).groupBy("root").count().collect()
     assert sorted(r["count"] for r in found) == [3, 31]
+    assert components(df.limit(0)).count() == 0
 
 
 def test_spread_lookup_of_a_hot_key(spark):

@@ -59,7 +59,7 @@ def items():
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 150])
+@pytest.mark.parametrize("block_bytes", [1 << 20, 300])
 def test_benchmark(spark, block_bytes):
     bench = frame(spark, items(), "item_id bigint, text string")
     found = find_benchmark(frame(spark, DATA), bench, block_bytes=block_bytes)
