@@ -26,6 +26,7 @@ BROADCAST_ROWS = 1 << 19
 SUFFIX_PARTS = 16
 
 _KEY = np.dtype("V16")
+_COUNTED = np.dtype([("key", _KEY), ("n", np.int64), ("c", np.int64)])
 
 
 def _least(n, percent: int):
@@ -142,7 +143,7 @@ def _low_shingles(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFr
             local = np.bincount(owner[~single], minlength=len(keys))
             seen = values[begin[length > 1]]
             at = np.flatnonzero(local)
-            known = np.zeros(len(at), dtype=[("key", _KEY), ("n", np.int64), ("c", np.int64)])
+            known = np.zeros(len(at), dtype=_COUNTED)
             known["key"], known["n"], known["c"] = keys[at], sizes[at], local[at]
             values, owner = values[single], owner[single]
             to = (values % np.uint64(buckets)).astype(np.int64)
@@ -187,36 +188,56 @@ def _key_numbers(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order[begin], numbers
 
 
-def _shared_counts(table: pa.Table) -> pa.Table:
-    """Per set of a bucket: how many of its low shingles another set has too."""
-    keys, sizes = _joined(table, "digests", _KEY), _joined(table, "sizes", np.int64)
-    counts = _joined(table, "counts", np.int64)
-    shingles, seen = _joined(table, "shingles", np.uint64), _joined(table, "seen", np.uint64)
-    known = _joined(table, "known", [("key", _KEY), ("n", np.int64), ("c", np.int64)])
-    one, numbers = _key_numbers(keys)
-    owner = np.repeat(numbers, counts)
-    # a set that several batches hold counts once per shingle
-    order = np.lexsort((owner, shingles))
-    shingles, owner = shingles[order], owner[order]
-    first = _runs(shingles, owner)
-    shingles, owner = shingles[first], owner[first]
-    begin = _runs(shingles)
-    length = np.diff(np.append(begin, len(shingles)))
-    seen = np.unique(seen)
-    heads = shingles[begin]
-    place = np.minimum(np.searchsorted(seen, heads), max(0, len(seen) - 1))
-    elsewhere = seen[place] == heads if len(seen) else np.zeros(len(heads), dtype=bool)
-    shared = np.repeat((length > 1) | elsewhere, length)
-    found = np.bincount(owner[shared], minlength=len(one))
-    at = np.flatnonzero(found)
-    return pa.table(
-        {
-            "digest": [k.tobytes() for k in keys[one[at]]] + [k.tobytes() for k in known["key"]],
-            "n": np.concatenate((sizes[one[at]], known["n"])),
-            "shared": np.concatenate((found[at], known["c"])),
-        },
-        schema=pa.schema([("digest", pa.binary()), ("n", pa.int64()), ("shared", pa.int64())]),
-    )
+def _shared_counts(units: int):
+    """How many of its low shingles each set of a bucket shares, dealt by set."""
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, sizes = _joined(table, "digests", _KEY), _joined(table, "sizes", np.int64)
+        counts = _joined(table, "counts", np.int64)
+        shingles, seen = _joined(table, "shingles", np.uint64), _joined(table, "seen", np.uint64)
+        known = _joined(table, "known", _COUNTED)
+        one, numbers = _key_numbers(keys)
+        owner = np.repeat(numbers, counts)
+        # a set that several batches hold counts once per shingle
+        order = np.lexsort((owner, shingles))
+        shingles, owner = shingles[order], owner[order]
+        first = _runs(shingles, owner)
+        shingles, owner = shingles[first], owner[first]
+        begin = _runs(shingles)
+        length = np.diff(np.append(begin, len(shingles)))
+        seen = np.unique(seen)
+        heads = shingles[begin]
+        place = np.minimum(np.searchsorted(seen, heads), max(0, len(seen) - 1))
+        elsewhere = seen[place] == heads if len(seen) else np.zeros(len(heads), dtype=bool)
+        shared = np.repeat((length > 1) | elsewhere, length)
+        found = np.bincount(owner[shared], minlength=len(one))
+        at = np.flatnonzero(found)
+        own = np.zeros(len(at), dtype=_COUNTED)
+        own["key"], own["n"], own["c"] = keys[one[at]], sizes[one[at]], found[at]
+        all_counts = np.concatenate((own, known))
+        halves = np.ascontiguousarray(all_counts["key"]).view(np.uint64).reshape(-1, 2)
+        to = (halves[:, 0] % np.uint64(units)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        cuts = np.searchsorted(to[order], np.arange(units + 1))
+        parts = [(u, all_counts[order[cuts[u] : cuts[u + 1]]].tobytes()) for u in np.flatnonzero(np.diff(cuts)).tolist()]
+        return pa.Table.from_batches([_rows(["unit", "counts"], [[u for u, _ in parts], [b for _, b in parts]])])
+
+    return run
+
+
+def _open_sets(percent: int):
+    """Of a unit of sets, those that share enough low shingles to link to any other."""
+
+    def run(table: pa.Table) -> pa.Table:
+        counts = _joined(table, "counts", _COUNTED)
+        keys = np.ascontiguousarray(counts["key"])
+        one, numbers = _key_numbers(keys)
+        shared = np.bincount(numbers, weights=counts["c"], minlength=len(one))
+        keys, n = keys[one], counts["n"][one]
+        ok = shared >= _allowance(_least(n, percent))
+        return pa.table({"digest": pa.array([k.tobytes() for k in keys[ok]], pa.binary())})
+
+    return run
 
 
 # ------------------------------------------------------------------ candidates among those
@@ -564,15 +585,13 @@ def jaccard_components(
     classes = ids.where("n > 0").groupBy("digest").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")
     )
-    counts = (
+    open_sets = (
         _low_shingles(docs, shingle_words, percent, parts)
         .groupBy("bucket")
-        .applyInArrow(_shared_counts, "digest binary, n bigint, shared bigint")
-        .groupBy("digest", "n")
-        .agg(F.sum("shared").alias("shared"))
+        .applyInArrow(_shared_counts(parts), "unit int, counts binary")
+        .groupBy("unit")
+        .applyInArrow(_open_sets(percent), "digest binary")
     )
-    least = F.ceil(F.col("n") * percent / 100)
-    open_sets = counts.where(F.col("shared") >= 1 + F.floor(least / 20)).select("digest")
     # one row that holds each open set
     chosen = materialize(
         ids.join(open_sets, "digest")

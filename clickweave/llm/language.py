@@ -21,6 +21,10 @@ UNDETERMINED = "und"
 SAMPLE_ROWS = 4000
 SAMPLE_ROWS_PER_LANGUAGE = 600
 
+# classes of id hashes; how many times the wanted rows of a language are looked at
+_DRAWS = 1 << 31
+_SURPLUS = 4
+
 _SLOT_BITS = 12
 _GRAMS = (1, 2, 3)
 _PIECE_BYTES = 1 << 19
@@ -146,12 +150,14 @@ def fit_languages(
     length (8 KB each) reach the driver.  Without rows nothing is ever recognised.
     """
     usable = labelled.where("lang is not null and text is not null")
-    n = usable.select("lang").distinct().count()
-    share = min(rows_per_language, max(2, sample_rows // max(1, n)))
-    lowest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        usable.select("doc_id", "lang").withColumn("_nth", F.row_number().over(lowest)).where(F.col("_nth") <= share)
-    )
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    share = min(rows_per_language, max(2, sample_rows // max(1, counts.count())))
+    # of each language a few times as many rows as are wanted, by the hash of their ids; then exactly those
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(_DRAWS))
+    likely = usable.select("doc_id", "lang", draw.alias("_draw")).join(F.broadcast(counts), "lang")
+    likely = likely.where(F.col("_draw") * F.col("_n") < F.lit(float(_DRAWS)) * (_SURPLUS * share))
+    lowest = Window.partitionBy("lang").orderBy("_draw", "doc_id")
+    chosen = likely.withColumn("_nth", F.row_number().over(lowest)).where(F.col("_nth") <= share)
     # bounded by sample_rows
     rows = usable.select("doc_id", "text", "lang").join(
         F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"], "left_semi"
