@@ -219,8 +219,9 @@ def _shared_counts(units: int):
         to = (halves[:, 0] % np.uint64(units)).astype(np.int64)
         order = np.argsort(to, kind="stable")
         cuts = np.searchsorted(to[order], np.arange(units + 1))
-        parts = [(u, all_counts[order[cuts[u] : cuts[u + 1]]].tobytes()) for u in np.flatnonzero(np.diff(cuts)).tolist()]
-        return pa.Table.from_batches([_rows(["unit", "counts"], [[u for u, _ in parts], [b for _, b in parts]])])
+        full = np.flatnonzero(np.diff(cuts)).tolist()
+        blobs = [all_counts[order[cuts[u] : cuts[u + 1]]].tobytes() for u in full]
+        return pa.Table.from_batches([_rows(["unit", "counts"], [full, blobs])])
 
     return run
 
@@ -582,8 +583,10 @@ def jaccard_components(
     spark = docs.sparkSession
     parts = tasks(spark)
     ids = materialize(_identities(docs, shingle_words), "jaccard-ids")
-    classes = ids.where("n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")
+    classes = (
+        ids.where("n > 0")
+        .groupBy("digest", "n")
+        .agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     )
     open_sets = (
         _low_shingles(docs, shingle_words, percent, parts)
@@ -592,21 +595,17 @@ def jaccard_components(
         .groupBy("unit")
         .applyInArrow(_open_sets(percent), "digest binary")
     )
-    # one row that holds each open set
-    chosen = materialize(
-        ids.join(open_sets, "digest")
-        .groupBy("digest", "n")
-        .agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")),
-        "jaccard-open",
-    )
-    held = materialize(chosen.select("doc_id").where("doc_id is not null").distinct(), "jaccard-held")
+    # of each open set, one row that holds it
+    chosen = materialize(classes.join(open_sets, "digest"), "jaccard-open")
+    held = chosen.select(F.col("first_id").alias("doc_id")).where("doc_id is not null").distinct()
+    held = materialize(held, "jaccard-held")
     source = docs.select("doc_id", "text")
     texts = source.join(_small(held, broadcast_rows), "doc_id", "left_semi")
     texts = texts.unionByName(source.where("doc_id is null"))
     sets_path = scratch_path(spark, "jaccard-sets")
     sets = materialize(_full_sets(texts, shingle_words, parts), "jaccard-sets", sets_path)
     candidates = components(_candidate_edges(sets, percent, parts))
-    places = materialize(_places(candidates, chosen.drop("doc_id"), tile_shingles), "jaccard-places")
+    places = materialize(_places(candidates, chosen.drop("first_id"), tile_shingles), "jaccard-places")
     linked = materialize(_verified(sets, _small(places, broadcast_rows), parts, percent), "jaccard-links")
     discard(spark, sets_path)
     roots = components(linked).withColumnRenamed("node", "digest")

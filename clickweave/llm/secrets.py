@@ -130,7 +130,8 @@ def token_features(data: np.ndarray, bounds: np.ndarray, found: Words) -> list[n
 def _hex_runs(data: np.ndarray, bounds: np.ndarray) -> Words:
     runs = words(data, bounds, _NOT_HEX)
     long = runs.end - runs.start >= _HEX_LENGTH
-    return Words(runs.start[long], runs.end[long], runs.text[long], np.searchsorted(runs.text[long], np.arange(len(bounds))))
+    text = runs.text[long]
+    return Words(runs.start[long], runs.end[long], text, np.searchsorted(text, np.arange(len(bounds))))
 
 
 def _pattern_spans(text: str) -> list[tuple[Span, int]]:
