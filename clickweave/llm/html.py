@@ -21,7 +21,7 @@ LINK_SHARE = 0.5
 # one alternative per kind of markup; a comment, an element of raw text or a tag that never ends takes the rest
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|canvas|object)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?P<raw>script|style|noscript|template|textarea|title|svg|iframe|canvas|object)\b[^>]*(?<!/)>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)"
     r"|</?[a-z][^>]*(?:>|\Z)",
@@ -71,7 +71,8 @@ class _Skip:
             self.depth += -1 if closing else 1
             # a paragraph or list item that was never closed ends where the next begins
             return self.depth == 0 or (self.name in ("p", "li", "dd", "dt") and not closing)
-        return self.name == "p" and name in _BLOCKS and name != "br"
+        # what cannot stand inside ends a paragraph or a head that was never closed
+        return self.name in ("p", "head") and name in _BLOCKS and name != "br"
 
 
 def _named(rest: str) -> set[str]:
@@ -81,7 +82,7 @@ def _named(rest: str) -> set[str]:
     return found
 
 
-def _lines(page: str) -> list[_Line]:
+def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
     """Lines of text without markup; where something was left out, a gap of empty lines."""
     lines: list[_Line] = []
     pieces: list[str] = []
@@ -132,14 +133,15 @@ def _lines(page: str) -> list[_Line]:
                 links = max(0, links - 1)
             continue
         words = _named(m["rest"]) if m["rest"] else set()
-        aside = name in _ASIDE or bool(words & _ASIDE_WORDS)
+        aside = name in asides or bool(words & _ASIDE_WORDS)
         if not articles:
             aside |= name == "header" or bool(words & _PAGE_HEADER_WORDS)
         if aside and name not in _VOID and name not in ("html", "body") and not m["rest"].endswith("/"):
             if not (name in ("article", "main") and not words & _TALK):
                 end_line()
                 lines += gap
-                skip = _Skip(name, name in _ASIDE or bool(words & _TALK))
+                # a form may be wrapped around the whole page
+                skip = _Skip(name, (name in asides and name != "form") or bool(words & _TALK))
                 continue
         if name in ("article", "main"):
             articles += 1
@@ -169,6 +171,9 @@ def _between(lengths: list[int], surge: int) -> list[bool]:
 def main_text(page: str | None) -> str:
     """The article of a page: its blocks joined by single spaces."""
     lines = _lines(page or "")
+    if not any(line.text for line in lines):
+        # nothing outside of forms: then the form is the page
+        lines = _lines(page or "", _ASIDE - {"form"})
     marked = any(line.marked for line in lines)
     lengths = [
         0

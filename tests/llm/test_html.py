@@ -33,6 +33,11 @@ LONG = "These are many words of an article that goes on for a good while, longer
         ("<article><p title='a > b'>t</p><img alt='x>y'><hr/>u</article>", "t u"),
         ("<ARTICLE><P>Big</P></ARTICLE>", "Big"),
         ("<header>site</header><article><header><h1>Head</h1></header><p>t</p></article>", "Head t"),
+        ("<head><title>T</title><meta name=x><article><p>no end of head</p></article>", "no end of head"),
+        ("<article><p>a<svg class='icon'/>b</p><svg><text>no</text></svg><p>c</p></article>", "ab c"),
+        ("<form id=f><nav>menu</nav><article><p>wrapped</p></article></form>", "wrapped"),
+        ("<form id=f><div>wrapped</div></form>", "wrapped"),
+        ("<article><p>a</p></article><aside><article><p>teaser</p></article></aside>", "a"),
         ("<article><ul><li>one<li>two</ul><table><tr><td>c<td>d</table></article>", "one two c d"),
     ],
 )
