@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 
 # texts of a batch are worked on in pieces of about this many bytes; one longer text is one piece
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _BYTE_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _WORD_FACTOR = np.uint64(0xC2B2AE3D27D4EB4F)
