@@ -18,8 +18,8 @@ from clickweave.llm.text import pieces
 
 UNDETERMINED = "und"
 # rows a model is fitted on: at most so many in all, and so many of a language
-SAMPLE_ROWS = 4000
-SAMPLE_ROWS_PER_LANGUAGE = 600
+SAMPLE_ROWS = 8000
+SAMPLE_ROWS_PER_LANGUAGE = 1000
 
 # classes of id hashes; how many times the wanted rows of a language are looked at
 _DRAWS = 1 << 31

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickweave.llm.linear import fit_logistic, sigmoid
-from clickweave.llm.text import LOWER, SpanHashes, byte_set, mix, pieces, words
+from clickweave.llm.text import LOWER, Piece, SpanHashes, byte_set, mix, pieces, words
 
 # rows the model is learned from: at most so many of either label, those whose ids hash lowest
-SAMPLE_ROWS_PER_LABEL = 2500
+SAMPLE_ROWS_PER_LABEL = 6000
 # terms the lexicons and the classifier know, at most
 TERMS = 4096
 # a term enters a lexicon if, drawing toxic and clean rows equally often, a row that has it is toxic at
@@ -106,8 +106,14 @@ class Votes(NamedTuple):
     votes: np.ndarray
 
 
-def _vote(rows: np.ndarray, terms: np.ndarray, n: int, lexicons: dict[str, np.ndarray]) -> Votes:
-    """Votes of the lexicons, and of patterns in how often and how densely they speak up."""
+def _vote(
+    rows: np.ndarray, terms: np.ndarray, distinct: np.ndarray, lexicons: dict[str, np.ndarray]
+) -> Votes:
+    """Votes of the lexicons, and of patterns in how often and how densely they speak up.
+
+    ``rows`` and ``terms`` are the hits on the lexicons, ``distinct`` the number of terms of each row.
+    """
+    n = len(distinct)
     names, columns = [], []
     hits = {}
     for name, lexicon in lexicons.items():
@@ -117,7 +123,6 @@ def _vote(rows: np.ndarray, terms: np.ndarray, n: int, lexicons: dict[str, np.nd
         columns.append((hits[name] > 0).astype(np.int8))
     total = np.sum(list(hits.values()), axis=0) if hits else np.zeros(n)
     kinds = np.sum([h > 0 for h in hits.values()], axis=0) if hits else np.zeros(n)
-    distinct = np.bincount(rows, minlength=n)
     for name, vote in {
         "two terms": total >= 2,
         "five terms": total >= 5,
@@ -179,22 +184,58 @@ def fit_label_model(votes: np.ndarray, gold: np.ndarray, *, rounds: int = EM_ROU
     return LabelModel(posterior, accuracy, correlation)
 
 
-def _lexicons(kind: np.ndarray, rows: np.ndarray, terms: np.ndarray, gold: np.ndarray) -> dict[str, np.ndarray]:
-    """Terms that speak for toxicity, in several lexicons of each kind, and the fixed one."""
-    values, number = np.unique(terms, return_inverse=True)
-    kinds = np.zeros(len(values), dtype=np.int64)
-    kinds[number] = kind
-    toxic = np.bincount(number, weights=gold[rows], minlength=len(values))
-    clean = np.bincount(number, weights=1 - gold[rows], minlength=len(values))
+def _signed(hashes: np.ndarray) -> np.ndarray:
+    """Hashes as Spark's integers, in the same order."""
+    return (hashes ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def _distinct_terms(piece: Piece) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, hash and kind of the distinct terms of each text, texts in order."""
+    found = list(_terms(piece.data, piece.bounds))
+    text = np.concatenate([t for _, t, _ in found])
+    kind = np.repeat(np.arange(_KINDS, dtype=np.uint8), [len(t) for _, t, _ in found])
+    terms = np.concatenate([h for _, _, h in found])
+    order = np.lexsort((terms, text))
+    text, terms, kind = text[order], terms[order], kind[order]
+    first = np.ones(len(text), dtype=bool)
+    first[1:] = (text[1:] != text[:-1]) | (terms[1:] != terms[:-1])
+    return text[first], terms[first], kind[first]
+
+
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of every term of a piece of texts, its kind and the number of toxic and of clean rows that have it."""
+    names = ["term", "kind", "toxic", "clean"]
+    for batch in batches:
+        toxic = batch.column("toxic").to_numpy(zero_copy_only=False)
+        for piece in pieces(batch.column("text")):
+            text, terms, kind = _distinct_terms(piece)
+            values, first, number = np.unique(terms, return_index=True, return_inverse=True)
+            rows = np.bincount(number, minlength=len(values))
+            bad = np.bincount(number, weights=toxic[piece.first + text], minlength=len(values)).astype(np.int64)
+            columns = [_signed(values), kind[first].astype(np.int32), bad, rows - bad]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+
+def _lexicons(rows: DataFrame) -> dict[str, np.ndarray]:
+    """Terms of ``rows(text, toxic)`` that speak for toxicity, in several lexicons of each kind, and the fixed one.
+
+    Terms are counted where the rows are; those that enter a lexicon reach the driver.
+    """
+    sizes = dict(rows.groupBy("toxic").count().collect())
+    counts = rows.select("text", "toxic").mapInArrow(_count_terms, "term bigint, kind int, toxic bigint, clean bigint")
+    counts = counts.groupBy("term").agg(F.max("kind").alias("kind"), *[F.sum(c).alias(c) for c in ("toxic", "clean")])
+    toxic, clean = F.col("toxic").cast("double"), F.col("clean").cast("double")
     # shares of either label, so that the number of rows of each does not matter
-    a = np.maximum(toxic - CAUTION * np.sqrt(toxic), 0) / max(1, gold.sum())
-    b = (clean + 1 + CAUTION * np.sqrt(clean + 1)) / max(1, (1 - gold).sum() + 1)
-    strength = np.where(a / (a + b) >= MIN_PRECISION, toxic * np.log(np.maximum(a, 1e-12) / b), -1.0)
-    best = np.argsort(-strength, kind="stable")[:TERMS]
-    best = best[strength[best] > 0]
+    a = F.greatest(toxic - CAUTION * F.sqrt(toxic), F.lit(0.0)) / max(1, sizes.get(1, 0))
+    b = (clean + 1 + CAUTION * F.sqrt(clean + 1)) / (sizes.get(0, 0) + 1)
+    strength = toxic * F.log(F.greatest(a, F.lit(1e-12)) / b)
+    best = counts.where(a / (a + b) >= MIN_PRECISION).withColumn("strength", strength).where("strength > 0")
+    best = best.orderBy(F.desc("strength"), "term").limit(TERMS).select("term", "kind").collect()
+    values = np.array([r["term"] for r in best], dtype=np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+    kinds = np.array([r["kind"] for r in best], dtype=np.int64)
     found = {"abuse": _abuse_hashes()}
     for k in range(_KINDS):
-        own = values[best[kinds[best] == k]]
+        own = values[kinds == k]
         for part in range(LEXICONS_PER_KIND):
             lexicon = own[(own >> np.uint64(40)) % np.uint64(LEXICONS_PER_KIND) == part]
             if len(lexicon):
@@ -208,10 +249,10 @@ def fit_toxicity(
     """Learn from ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``; null labels teach nothing.
 
     At most ``rows_per_label`` rows of each label are used, those whose ids hash
-    lowest.  Their term hashes are all that reaches the driver.  Lexicons are
-    drawn from the sample, voters vote on it, the label model weighs the votes,
-    and the classifier is trained on its posterior.  Without rows every score
-    is one half at most.
+    lowest.  Terms are counted in Spark; the lexicons and each row's hits on
+    them are all that reaches the driver.  Lexicons are drawn from the sample,
+    voters vote on it, the label model weighs the votes, and the classifier is
+    trained on its posterior.  Without rows every score is one half at most.
     """
     given = labels.where("doc_id is not null and toxic is not null").select(
         "doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")
@@ -224,38 +265,36 @@ def fit_toxicity(
     # bounded by twice rows_per_label
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id")
 
+    lexicons = _lexicons(rows)
+    known = np.unique(np.concatenate(list(lexicons.values())))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = []
+            sizes, blobs = [], []
             for piece in pieces(batch.column("text")):
-                found = list(_terms(piece.data, piece.bounds))
-                text = np.concatenate([t for _, t, _ in found])
-                kind = np.repeat(np.arange(_KINDS, dtype=np.uint8), [len(t) for _, t, _ in found])
-                terms = np.concatenate([h for _, _, h in found])
-                order = np.argsort(text, kind="stable")
-                cuts = np.searchsorted(text[order], np.arange(piece.last - piece.first + 1))
-                for a, b in zip(cuts[:-1], cuts[1:]):
-                    own, first = np.unique(terms[order[a:b]], return_index=True)
-                    blobs.append(own.tobytes() + kind[order[a:b]][first].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(blobs, pa.binary())], ["toxic", "x"])
-
-    found = rows.select("text", "toxic").mapInArrow(run, "toxic int, x binary").collect()
+                text, terms, _ = _distinct_terms(piece)
+                place = np.minimum(np.searchsorted(known, terms), len(known) - 1)
+                hit = known[place] == terms
+                borders = np.arange(piece.last - piece.first + 1)
+                sizes.append(np.diff(np.searchsorted(text, borders)))
+                cuts = np.searchsorted(text[hit], borders)
+                place = place[hit].astype(np.uint16)
+                blobs += [place[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+            if blobs:
+                columns = [batch.column("toxic"), pa.array(np.concatenate(sizes)), pa.array(blobs, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["toxic", "n", "x"])
+
+    found = rows.select("text", "toxic").mapInArrow(run, "toxic int, n bigint, x binary").collect()
     none = np.zeros(0)
     if not found:
         return ToxicityModel(none.astype(np.uint64), none, -1.0, none, none)
-    found.sort(key=lambda r: (r["toxic"], bytes(r["x"])))
-    sizes = np.array([len(r["x"]) // 9 for r in found])
-    terms = np.concatenate([np.frombuffer(r["x"], np.uint64, n) for r, n in zip(found, sizes)])
-    kind = np.concatenate([np.frombuffer(r["x"], np.uint8, n, 8 * int(n)) for r, n in zip(found, sizes)])
-    at = np.repeat(np.arange(len(found)), sizes)
+    found.sort(key=lambda r: (r["toxic"], bytes(r["x"]), r["n"]))
+    columns = np.concatenate([np.frombuffer(r["x"], np.uint16) for r in found]).astype(np.int64)
+    at = np.repeat(np.arange(len(found)), [len(r["x"]) // 2 for r in found])
     gold = np.array([r["toxic"] for r in found], dtype=float)
-    lexicons = _lexicons(kind, at, terms, gold)
-    votes = _vote(at, terms, len(found), lexicons)
+    votes = _vote(at, known[columns], np.array([r["n"] for r in found]), lexicons)
     labels_ = fit_label_model(votes.votes, gold)
-    known = np.unique(np.concatenate(list(lexicons.values())))
-    inside = np.isin(terms, known)
-    columns = np.searchsorted(known, terms[inside])
-    weights, bias = fit_logistic(at[inside], columns, labels_.posterior, len(known))
+    weights, bias = fit_logistic(at, columns, labels_.posterior, len(known))
     return ToxicityModel(known, weights, bias, labels_.accuracies, labels_.correlations)
 
 

@@ -253,6 +253,17 @@ def test_toxicity_learns_from_noisy_labels(spark):
     assert len(found) > 100 and len(wrong) <= 0.03 * len(found)
 
 
+def test_toxicity_learns_terms_of_few_toxic_documents(spark):
+    """Of 5 000 toxic rows 70 hold the term: with half of the rows it would be too rare for a lexicon."""
+    docs = spark.range(10_000).selectExpr(
+        "id AS doc_id", "concat('some plain words', if(id % 142 = 1, ' zuxqa', '')) AS text"
+    )
+    model = fit_toxicity(docs, docs.selectExpr("doc_id", "int(doc_id % 2) AS toxic"))
+    found = score_toxicity(docs.where("text LIKE '%zuxqa'").limit(1), model).first()
+    plain = score_toxicity(docs.where("text NOT LIKE '%zuxqa'").limit(1), model).first()
+    assert found.score > plain.score
+
+
 def test_toxicity_odd_tables(spark):
     docs = frame(spark, [(1, None), (2, ""), (3, "x " * 100_000), (3, "idiot")])
     labels = frame(spark, [(1, None), (2, 0), (None, 1), (3, 1), (3, 1)], "doc_id bigint, toxic int")
