@@ -21,7 +21,7 @@ UNDETERMINED = "und"
 SAMPLE_ROWS = 8000
 SAMPLE_ROWS_PER_LANGUAGE = 1000
 
-# classes of id hashes; how many times the wanted rows of a language are looked at
+# classes of hashes; how many times the wanted rows of a language are looked at
 _DRAWS = 1 << 31
 _SURPLUS = 4
 
@@ -146,22 +146,23 @@ def fit_languages(
     """Learn from ``labelled(doc_id, text, lang)``; rows without a language or text teach nothing.
 
     The model is fitted on at most ``sample_rows`` rows and ``rows_per_language``
-    of each language, those whose ids hash lowest.  Only vectors of fixed
+    of each language, those that hash lowest by id and text: rows without an id
+    take part like others, and equal rows count once.  Only vectors of fixed
     length (8 KB each) reach the driver.  Without rows nothing is ever recognised.
     """
-    usable = labelled.where("lang is not null and text is not null")
-    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    key = F.xxhash64("doc_id", "text").alias("_key")
+    usable = labelled.where("lang is not null and text is not null").select("text", "lang", key)
+    counts = usable.groupBy("lang").agg(F.approx_count_distinct("_key").alias("_n"))
     share = min(rows_per_language, max(2, sample_rows // max(1, counts.count())))
-    # of each language a few times as many rows as are wanted, by the hash of their ids; then exactly those
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(_DRAWS))
-    likely = usable.select("doc_id", "lang", draw.alias("_draw")).join(F.broadcast(counts), "lang")
-    likely = likely.where(F.col("_draw") * F.col("_n") < F.lit(float(_DRAWS)) * (_SURPLUS * share))
-    lowest = Window.partitionBy("lang").orderBy("_draw", "doc_id")
+    # of each language a few times as many texts as are wanted, by their hash; then exactly those
+    draw = F.pmod("_key", F.lit(_DRAWS))
+    likely = usable.select("lang", "_key").join(F.broadcast(counts), "lang")
+    likely = likely.where(draw * F.col("_n") < F.lit(float(_DRAWS)) * (_SURPLUS * share)).select("lang", "_key").distinct()
+    lowest = Window.partitionBy("lang").orderBy(draw, "_key")
     chosen = likely.withColumn("_nth", F.row_number().over(lowest)).where(F.col("_nth") <= share)
-    # bounded by sample_rows
-    rows = usable.select("doc_id", "text", "lang").join(
-        F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"], "left_semi"
-    )
+    rows = usable.join(F.broadcast(chosen.select("lang", "_key")), ["lang", "_key"], "left_semi")
+    # repeated rows teach once: bounded by sample_rows
+    rows = rows.groupBy("lang", "_key").agg(F.first("text").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

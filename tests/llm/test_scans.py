@@ -217,6 +217,30 @@ def test_language_odd_texts(spark):
     assert predict_languages(docs.limit(0), nothing).count() == 0
 
 
+def test_language_rows_without_an_id(spark):
+    """A third of the rows has no id; they neither displace the others nor are lost."""
+    alphabets = {"de": "abcd", "fr": "mnop"}
+    rng = random.Random(6)
+    data = [
+        (None if i % 3 == 0 else i, "".join(rng.choice(alphabets[lang] + " ") for _ in range(60)), lang)
+        for i, lang in enumerate(sorted(alphabets) * 60)
+    ]
+    docs = frame(spark, data, "doc_id bigint, text string, lang string")
+    for train in (docs, docs.where("doc_id is null")):
+        model = fit_languages(train, rows_per_language=15)
+        found = predict_languages(docs, model, carry=["lang"]).collect()
+        assert sum(r.lang_pred == r.doc.lang for r in found) / len(found) > 0.95
+
+
+def test_language_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    """Twenty ids for all rows, in part with the same text."""
+    sizes = []
+    monkeypatch.setattr("clickweave.llm.language._fit_machine", lambda x, names: sizes.append(len(x)))
+    data = [(i // 30, "ab" * (i % 25 + 1), "de") for i in range(600)]
+    fit_languages(frame(spark, data, "doc_id bigint, text string, lang string"), rows_per_language=40)
+    assert set(sizes) == {40}
+
+
 def test_svm_separates():
     rng = np.random.default_rng(2)
     x = np.vstack([rng.normal(1, 1, (80, 5)), rng.normal(-1, 1, (20, 5))])
