@@ -48,6 +48,9 @@ _ASIDE_WORDS = frozenset(
     "sponsor sponsored subscribe toolbar widget widgets".split()
 )
 _PAGE_HEADER_WORDS = frozenset(["header", "topbar"])
+_HOLDING = frozenset("has have no not show hide with without".split())
+# fixed values: elements that are never left out for what they are called
+_KEPT = frozenset("html body h1 h2 h3 h4 h5 h6 hgroup".split())
 _TALK = frozenset("comment comments discussion disqus replies reply respond".split())
 
 
@@ -75,10 +78,23 @@ class _Skip:
         return self.name in ("p", "head") and name in _BLOCKS and name != "br"
 
 
-def _named(rest: str) -> set[str]:
+def _named(rest: str, inside: bool) -> set[str]:
+    """Whole names in class, id and role, and outside of an article the last part of a compound class.
+
+    Inside an article an id is an anchor: it says what a section is about.
+    """
     found: set[str] = set()
-    for _, *value in _NAMING.findall(rest):
-        found.update(part.lower() for part in _PARTS.findall("".join(value)))
+    for kind, *value in _NAMING.findall(rest):
+        kind = kind.lower()
+        if inside and kind == "id":
+            continue
+        for token in "".join(value).split():
+            found.add(token.lower())
+            if kind == "class" and not inside:
+                parts = [part.lower() for part in _PARTS.findall(token)]
+                # what an element has is inside of it
+                if parts and not _HOLDING.intersection(parts):
+                    found.add(parts[-1])
     return found
 
 
@@ -86,7 +102,7 @@ def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
     """Lines of text without markup; where something was left out, a gap of empty lines."""
     lines: list[_Line] = []
     pieces: list[str] = []
-    linked = links = articles = 0
+    linked = links = articles = seen = 0
     skip: _Skip | None = None
     gap = [_Line("", 0, False)] * BLOCK_LINES
 
@@ -105,6 +121,10 @@ def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
             if links:
                 linked += len(html.unescape(text).strip())
 
+    def talk(rest: str) -> bool:
+        # the first article is the page's own, whatever it is called
+        return seen > 0 and bool(_named(rest, True) & _TALK)
+
     at = 0
     for m in _MARKUP.finditer(page):
         take(page[at : m.start()])
@@ -119,7 +139,7 @@ def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
                 lines += gap
                 if closing:
                     continue
-            elif name in ("article", "main") and not closing and not skip.firm and not _named(m["rest"]) & _TALK:
+            elif name in ("article", "main") and not closing and not skip.firm and not talk(m["rest"]):
                 skip = None
             else:
                 continue
@@ -132,12 +152,12 @@ def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
             elif name == "a":
                 links = max(0, links - 1)
             continue
-        words = _named(m["rest"]) if m["rest"] else set()
+        words = _named(m["rest"], articles > 0) if m["rest"] else set()
         aside = name in asides or bool(words & _ASIDE_WORDS)
         if not articles:
             aside |= name == "header" or bool(words & _PAGE_HEADER_WORDS)
-        if aside and name not in _VOID and name not in ("html", "body") and not m["rest"].endswith("/"):
-            if not (name in ("article", "main") and not words & _TALK):
+        if aside and name not in _VOID | _KEPT and not m["rest"].endswith("/"):
+            if name not in ("article", "main") or talk(m["rest"]):
                 end_line()
                 lines += gap
                 # a form may be wrapped around the whole page
@@ -145,6 +165,7 @@ def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
                 continue
         if name in ("article", "main"):
             articles += 1
+            seen += 1
         elif name == "a" and not m["rest"].endswith("/"):
             links += 1
     take(page[at:])

@@ -45,6 +45,24 @@ def test_marked_pages(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<article><h2 id='related-work'>Related work</h2><p>a</p></article>", "Related work a"),
+        ("<article><h2 class='notice'>Head</h2><p>a</p></article>", "Head a"),
+        ("<article><section id='discussion'><p>a</p></section><p>b</p></article>", "a b"),
+        ("<article><section id=social-history><p>a</p></section><p>b</p></article>", "a b"),
+        ("<article class='post comments-open'><p>a</p></article>", "a"),
+        ("<article class='discussion'><p>a</p></article>", "a"),
+        ("<article><p>a</p></article><article class='comment'><p>talk</p></article>", "a"),
+        (f"<body><div class='content has-sidebar'><p>{LONG}</p></div></body>", LONG),
+        (f"<body><div class='site-footer'>{LONG}</div><p>{LONG}</p></body>", LONG),
+    ],
+)
+def test_names_of_elements(page, text):
+    assert main_text(page) == text
+
+
 def test_unmarked_page_keeps_the_surge():
     menu = "".join(f"<li><a href='/{i}'>entry {i}</a></li>" for i in range(20))
     page = (
