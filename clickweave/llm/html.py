@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# lines of a block, and the characters a block needs to rise above the boilerplate of an unmarked page
+# lines of a block, and the characters a block needs to rise above the boilerplate of a page
 BLOCK_LINES = 3
 SURGE_CHARS = 80
+# a character inside of article or main counts so many times
+MARK_WEIGHT = 2
 # a line is navigation if more of its characters than this share are link text
 LINK_SHARE = 0.5
 
@@ -36,6 +38,7 @@ _BLOCKS = frozenset(
     "figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p "
     "pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
+_BOXES = frozenset("article blockquote center div main section table tbody td th tr ul ol li".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # fixed values: elements that never hold the article
 _ASIDE = frozenset("aside button dialog footer form head menu nav search select".split())
@@ -58,6 +61,8 @@ class _Line(NamedTuple):
     text: str
     linked: int
     marked: bool
+    # number of the innermost container around it
+    box: int
 
 
 class _Skip:
@@ -104,13 +109,16 @@ def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
     pieces: list[str] = []
     linked = links = articles = seen = 0
     skip: _Skip | None = None
-    gap = [_Line("", 0, False)] * BLOCK_LINES
+    boxes: list[tuple[str, int]] = [("", 0)]
+
+    def gap() -> list[_Line]:
+        return [_Line("", 0, False, boxes[-1][1])] * BLOCK_LINES
 
     def end_line() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            lines.append(_Line(text, linked, articles > 0))
+            lines.append(_Line(text, linked, articles > 0, boxes[-1][1]))
         pieces.clear()
         linked = 0
 
@@ -136,7 +144,7 @@ def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
         if skip is not None:
             if skip.over(closing, name):
                 skip = None
-                lines += gap
+                lines += gap()
                 if closing:
                     continue
             elif name in ("article", "main") and not closing and not skip.firm and not talk(m["rest"]):
@@ -145,10 +153,15 @@ def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
                 continue
         if name in _BLOCKS:
             end_line()
+        if name in _BOXES:
+            if closing:
+                open_ = next((k for k in range(len(boxes) - 1, 0, -1) if boxes[k][0] == name), 0)
+                if open_:
+                    del boxes[open_:]
         if closing:
             if name in ("article", "main"):
                 articles = max(0, articles - 1)
-                lines += gap
+                lines += gap()
             elif name == "a":
                 links = max(0, links - 1)
             continue
@@ -159,34 +172,51 @@ def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
         if aside and name not in _VOID | _KEPT and not m["rest"].endswith("/"):
             if name not in ("article", "main") or talk(m["rest"]):
                 end_line()
-                lines += gap
+                lines += gap()
                 # a form may be wrapped around the whole page
                 skip = _Skip(name, (name in asides and name != "form") or bool(words & _TALK))
                 continue
         if name in ("article", "main"):
+            lines += gap() if not articles else []
             articles += 1
             seen += 1
         elif name == "a" and not m["rest"].endswith("/"):
             links += 1
+        if name in _BOXES and not m["rest"].endswith("/"):
+            boxes.append((name, m.start() + 1))
     take(page[at:])
     end_line()
     return lines
 
 
-def _between(lengths: list[int], surge: int) -> list[bool]:
-    """Lines between a surge and the dive after it, by the sums of blocks of lines."""
+def _runs(lines: list[_Line], lengths: list[int], surge: int) -> list[list[int]]:
+    """Lines between a surge and the dive after it, by the sums of blocks of lines.
+
+    What was left out inside of a container is no dive: the run goes on behind
+    it with the next line of the same container.
+    """
     n = len(lengths)
     sums = [sum(lengths[i : i + BLOCK_LINES]) for i in range(n)] + [0]
-    keep = [False] * n
+    runs = []
     i = 0
     while i < n:
-        if sums[i] > surge and lengths[i]:
+        if not (sums[i] > surge and lengths[i]):
+            i += 1
+            continue
+        run: list[int] = []
+        while i < n:
             while i < n and sums[i]:
-                keep[i] = True
+                run += [i] if lengths[i] else []
                 i += 1
-        else:
-            i += 1
-    return keep
+            after = i
+            while after < n and not lines[after].text:
+                after += 1
+            box = lines[run[-1]].box
+            if after == n or not lengths[after] or any(line.box != box for line in lines[run[-1] + 1 : after + 1]):
+                break
+            i = after
+        runs.append(run)
+    return runs
 
 
 def main_text(page: str | None) -> str:
@@ -195,18 +225,21 @@ def main_text(page: str | None) -> str:
     if not any(line.text for line in lines):
         # nothing outside of forms: then the form is the page
         lines = _lines(page or "", _ASIDE - {"form"})
-    marked = any(line.marked for line in lines)
+    # links inside an article are text; elsewhere a line of links is navigation
     lengths = [
-        0
-        if marked and not line.marked
-        # links inside an article are text; elsewhere a line of links is navigation
-        else len(line.text) * (marked or line.linked <= LINK_SHARE * len(line.text))
-        for line in lines
+        len(line.text) * (MARK_WEIGHT if line.marked else line.linked <= LINK_SHARE * len(line.text)) for line in lines
     ]
-    keep = _between(lengths, 0 if marked else SURGE_CHARS)
-    if not any(keep) and any(lengths):
-        keep = _between(lengths, max(sum(lengths[i : i + BLOCK_LINES]) for i in range(len(lengths))) - 1)
-    return " ".join(line.text for line, k, n in zip(lines, keep, lengths) if k and n)
+    inside = [n if line.marked else 0 for n, line in zip(lengths, lines)]
+    outside = [0 if line.marked else n for n, line in zip(lengths, lines)]
+    around = _runs(lines, outside, SURGE_CHARS)
+    if sum(inside) >= max((sum(outside[i] for i in run) for run in around), default=1):
+        # the marks hold the largest rise of the page: they say where it begins and ends
+        keep = _runs(lines, inside, 0)
+    else:
+        keep = _runs(lines, lengths, SURGE_CHARS)
+    if not keep and any(lengths):
+        keep = _runs(lines, lengths, max(sum(lengths[i : i + BLOCK_LINES]) for i in range(len(lengths))) - 1)
+    return " ".join(lines[i].text for run in keep for i in run)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -220,8 +253,11 @@ def extract_text(pages: DataFrame) -> DataFrame:
     what class, id and role call them) leave a gap of empty lines, and every
     block-level element begins a line.  Sums of text lengths over windows of
     lines rise where the article begins and fall to nothing where it ends; text
-    between such points is kept.  Where a page marks its article, only lines
-    inside count; else a rise takes ``SURGE_CHARS`` and lines of links count nothing.
+    between such points is kept, and goes on behind a gap in the same container.
+    A line inside article or main weighs ``MARK_WEIGHT`` times its length, a line
+    of links elsewhere nothing.  Where the marked lines weigh at least as much as
+    any rise outside of them, only they count, however short; else every rise of
+    more than ``SURGE_CHARS`` does, marked or not.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -74,6 +74,23 @@ def test_unmarked_page_keeps_the_surge():
     assert "entry" not in text and "imprint" not in text
 
 
+def test_body_outside_of_a_teaser_card():
+    body = "".join(f"<p>{LONG}</p>" for _ in range(5))
+    for card in ("<article><p>Read this too</p></article>", "<article><h3>Next</h3></article>"):
+        text = main_text(f"<body><div>Top</div><aside>x</aside><div>{body}</div>{card}</body>")
+        assert text == " ".join([LONG] * 5)
+    # boilerplate that is less than the article does not displace it
+    assert main_text(f"<article>{body}</article><div>{LONG}</div>") == " ".join([LONG] * 5)
+
+
+def test_unmarked_article_goes_on_behind_an_advert():
+    advert = "<div class='ad'>buy</div>"
+    page = f"<body><div><p>{LONG}</p>{advert}<p>Short end.</p></div>{advert}<div>imprint</div></body>"
+    assert main_text(page) == f"{LONG} Short end."
+    page = f"<body><div><p>{LONG}</p><p>{LONG}</p><aside>x</aside><p>a</p>{advert}<p>b</p></div></body>"
+    assert main_text(page) == f"{LONG} {LONG} a b"
+
+
 def test_short_unmarked_page_keeps_its_fullest_block():
     assert main_text("<body><div>just a line</div></body>") == "just a line"
 
