@@ -331,9 +331,12 @@ def substring_dedup(
     smallest hash of the word runs inside a window is its anchor; units tell
     buckets of anchors which they have, and only windows whose anchor occurs
     twice anywhere are indexed.  Each unit sends one occurrence of such a window
-    to its bucket and learns of an earlier one elsewhere.  A document is then
-    parsed greedily into the longest stretches that follow an earlier place;
-    windows across the border of two stretches are looked up like all others.
+    to its bucket and learns of the earliest one elsewhere.  A document is then
+    parsed into stretches of windows whose earliest places follow each other: a
+    stretch ends where the earliest place changes, even if another earlier place
+    matches on, so it need not be the longest match.  Windows are equal if 96 bits
+    of their hashes are; words are not compared.  Windows across the border of two
+    stretches are looked up like all others.
     """
     parts = tasks(docs.sparkSession)
     units = 2 * parts
