@@ -14,11 +14,11 @@ from clickweave.llm.jaccard import jaccard_components
 from clickweave.llm.language import LanguageModel, fit_languages, predict_languages
 from clickweave.llm.lines import line_dedup
 from clickweave.llm.oracles import ORACLES
-
 from clickweave.llm.packing import pack_documents, word_lengths
 from clickweave.llm.secrets import find_secrets, fit_tagger
 from clickweave.llm.substring import substring_dedup
 from clickweave.llm.toxicity import fit_toxicity, score_toxicity
+from clickweave.llm.whitening import fit_whitening, whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -115,6 +115,24 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    model = fit_whitening(vectors)
+    found = whiten(vectors, model)
+    share = [float(e / model.trace) for e in model.eigenvalues] if model else []
+    explained = F.array(*[F.lit(s) for s in share]).cast("array<double>")
+    return found.select("doc.vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id",
+        (F.col("at") + 1).cast("int").alias("component"),
+        F.lit(model.n if model else 0).cast("bigint").alias("n"),
+        # a long holds it while n is under some ten million
+        F.col("deviation").try_cast("bigint").alias("deviation"),
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(model.identity_error if model else 0.0).alias("identity_error"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
@@ -127,6 +145,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_embedding_whitening": op11_embedding_whitening,
     }
 
 
