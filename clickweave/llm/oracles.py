@@ -73,7 +73,42 @@ SELECT page_id, url, text, length(text) AS n_chars FROM (
     FROM pages)
 """
 
+# crc32 byte by byte; words near by a replacement share what is left without one place, by an insertion a whole word
+OP13 = r"""
+WITH RECURSIVE
+steps AS (SELECT list_transform(range(256), lambda i : list_reduce(list_concat([i], range(8)),
+    lambda c, k : xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))) AS crc),
+runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(
+    unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]{7,}')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+own AS (SELECT id, run, count(*) AS n FROM runs GROUP BY id, run),
+hashed AS (SELECT run, n, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(
+    string_split(id || ':' || run, ''),
+    lambda c : CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195::BIGINT, unicode(c)::BIGINT - 64] END))),
+    lambda c, b : xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) AS h FROM own, steps),
+spoiled AS (SELECT n, CASE WHEN h % 31 = 0
+    THEN run[1 : (h % length(run))::INT] || run[(h % length(run))::INT + 2 :] ELSE run END AS word FROM hashed),
+words AS MATERIALIZED (SELECT word, sum(n)::BIGINT AS n FROM spoiled
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+holes AS MATERIALIZED (SELECT word, n, i, word[1 : i] || word[i + 2 :] AS rest FROM (
+    SELECT *, unnest(range(length(word))) AS i FROM words)),
+near AS (SELECT a.word, b.word AS other, b.n FROM holes a JOIN holes b
+        ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT holes.word, words.word, words.n FROM holes JOIN words ON rest = words.word
+    UNION SELECT words.word, holes.word, holes.n FROM holes JOIN words ON rest = words.word),
+best AS (SELECT word, count(*) AS n_near, min({'less': -n, 'other': other}) AS top FROM near GROUP BY word),
+judged AS MATERIALIZED (SELECT word, n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -top.less >= 10 * n THEN top.other END AS form, CASE WHEN -top.less >= 10 * n THEN -top.less END AS form_n
+    FROM words LEFT JOIN best USING (word)),
+follow AS (SELECT word, form AS root FROM judged WHERE form IS NOT NULL
+    UNION SELECT follow.word, form FROM follow JOIN judged ON root = judged.word WHERE form IS NOT NULL),
+roots AS (SELECT word, arg_max(root, n) AS root FROM (
+    SELECT follow.word, root, words.n FROM follow JOIN words ON root = words.word) GROUP BY word)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM judged LEFT JOIN roots USING (word)
+"""
+
 ORACLES = {
+    "op13_spelling_variants": OP13,
     "op1_html_extraction": OP1,
     "op10_substring_dedup": OP10,
     "op5_ngram_jaccard_join": OP5,

@@ -18,6 +18,7 @@ from clickweave.llm.packing import pack_documents, word_lengths
 from clickweave.llm.secrets import find_secrets, fit_tagger
 from clickweave.llm.substring import substring_dedup
 from clickweave.llm.toxicity import fit_toxicity, score_toxicity
+from clickweave.llm.variants import count_words, group_variants
 from clickweave.llm.whitening import fit_whitening, whiten
 
 
@@ -133,6 +134,15 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# every word whose hash this divides is spoiled, so that there are variants to find
+TYPO_EVERY = 31
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = count_words(_table(spark, sf_dir, "documents"), typo_every=TYPO_EVERY)
+    return group_variants(counts).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_html_extraction": op1_html_extraction,
@@ -146,6 +156,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_substring_dedup": op10_substring_dedup,
         "op11_embedding_whitening": op11_embedding_whitening,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
