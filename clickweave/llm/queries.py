@@ -15,6 +15,7 @@ from clickweave.llm.language import LanguageModel, fit_languages, predict_langua
 from clickweave.llm.lines import line_dedup
 from clickweave.llm.oracles import ORACLES
 from clickweave.llm.packing import pack_documents, word_lengths
+from clickweave.llm.personal import BASE_KINDS, find_personal, fit_personal
 from clickweave.llm.secrets import find_secrets, fit_tagger
 from clickweave.llm.substring import substring_dedup
 from clickweave.llm.toxicity import fit_toxicity, score_toxicity
@@ -134,6 +135,21 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = find_personal(docs, fit_personal(docs))
+    kinds = [
+        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in BASE_KINDS
+    ]
+    base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
+    return found.select(
+        "doc.doc_id",
+        *kinds,
+        F.sha2(_joined_spans(base), 256).alias("base_sha256"),
+        _joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
 # every word whose hash this divides is spoiled, so that there are variants to find
 TYPO_EVERY = 31
 
@@ -156,6 +172,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_exact_dedup": op9_exact_dedup,
         "op10_substring_dedup": op10_substring_dedup,
         "op11_embedding_whitening": op11_embedding_whitening,
+        "op12_personal_data": op12_personal_data,
         "op13_spelling_variants": op13_spelling_variants,
     }
 
