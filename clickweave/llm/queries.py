@@ -36,19 +36,19 @@ def _joined_spans(spans: Column) -> Column:
     return F.array_join(written, ",")
 
 
+def _count(kind: str) -> Column:
+    return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = find_secrets(docs, fit_tagger(docs))
-
-    def count(kind: str) -> Column:
-        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
-
     base = F.filter("spans", lambda s: s["kind"] != "tagged")
     return found.select(
         "doc.doc_id",
-        count("assign"),
-        count("access"),
-        count("hex"),
+        _count("assign"),
+        _count("access"),
+        _count("hex"),
         F.sha2(_joined_spans(base), 256).alias("base_sha256"),
         _joined_spans(F.col("spans")).alias("spans"),
     )
@@ -138,13 +138,10 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = find_personal(docs, fit_personal(docs))
-    kinds = [
-        F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in BASE_KINDS
-    ]
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
     return found.select(
         "doc.doc_id",
-        *kinds,
+        *[_count(kind) for kind in BASE_KINDS],
         F.sha2(_joined_spans(base), 256).alias("base_sha256"),
         _joined_spans(F.col("spans")).alias("spans"),
     )
