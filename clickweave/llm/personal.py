@@ -24,7 +24,8 @@ from clickweave.llm.skipchain import (
     join_edges,
     skip_edges,
 )
-from clickweave.llm.text import LOWER, Words, byte_set, pieces, word_hashes, words
+from clickweave.llm.text import LOWER, SpanHashes, byte_set, pieces, words
+from clickweave.plans.scratch import discard, materialize, scratch_path
 
 # texts the tagger learns from, those that hash lowest: of texts that may hold personal data, and of the others
 SAMPLE_LIKELY, SAMPLE_OTHER = 400, 300
@@ -44,8 +45,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9]++(?:[\x20-][0-9]++)*+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _IP_LARGEST, _CARD_DIGITS, _PHONE_DIGITS = 255, (12, 19), (9, 15)
-# texts that may match
-_LIKELY = r"@[A-Za-z0-9-]+\.|\+[0-9]|[0-9]\.[0-9]+\.[0-9]|[0-9][0-9 -]{10}"
+# texts that may match hold an at sign or a number like these
+_LIKELY = "[0-9][0-9. -]{6}"
 
 _DIGITS, _NOT_DIGITS = "0123456789", re.compile(r"[^0-9]+")
 _DOUBLED = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
@@ -108,6 +109,9 @@ _MARKS = [
     byte_set((0x20, 0x20)),
 ]
 _ELSE = ~np.any(_MARKS, axis=0)
+# one bit per class, and per mark, of every byte
+_CLASS_BITS = sum(table.astype(np.uint8) << i for i, table in enumerate(_CLASSES)).astype(np.uint8)
+_MARK_BITS = sum(table.astype(np.uint8) << i for i, table in enumerate([*_MARKS, _ELSE])).astype(np.uint8)
 _GAPS = 1 << (len(_MARKS) + 1)
 # digits of neighbouring numbers belong together over gaps of these, up to this many
 _JOINTS, _JOINT_LENGTH = ~byte_set((0x20, 0x20), (0x28, 0x29), (0x2D, 0x2E)), 3
@@ -131,7 +135,20 @@ _WIDTHS = [
 
 
 def _sums(marks: np.ndarray) -> np.ndarray:
-    return np.concatenate(([0], np.cumsum(marks)))
+    out = np.zeros(len(marks) + 1, np.int64)
+    np.cumsum(marks, out=out[1:])
+    return out
+
+
+def _bits(padded: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """All bits of ``padded[start:end]`` together, per span; ``padded`` has one byte too many."""
+    borders = np.empty(2 * len(start), np.int64)
+    borders[0::2], borders[1::2] = start, end
+    if not len(borders):
+        return np.zeros(0, np.int64)
+    found = np.bitwise_or.reduceat(padded, borders)[::2].astype(np.int64)
+    found[start >= end] = 0
+    return found
 
 
 class _Tokens:
@@ -141,27 +158,22 @@ class _Tokens:
         self.found = found = words(data, bounds, _SEPARATORS)
         start, end, text = found.start, found.end, found.text
         n = len(start)
-        has = []
-        for table in _CLASSES:
-            counts = _sums(table[data])
-            has.append(counts[end] > counts[start])
-            if table is _CLASSES[_DIGIT]:
-                digits = counts
-        shape = sum((h.astype(np.int64) << i for i, h in enumerate(has)), np.zeros(n, np.int64))
+        padded = np.append(data, np.uint8(0))
+        shape = _bits(_CLASS_BITS[padded], start, end)
         form = shape * (len(_LENGTHS) + 1) + np.searchsorted(_LENGTHS, end - start, "right")
-        index = np.arange(n)
-        first, last = index == found.first[text], index + 1 == found.first[text + 1]
-        before = np.where(first, bounds[text], np.concatenate(([0], end[:-1])) if n else 0)
-        gap = np.zeros(n, np.int64)
-        for i, table in enumerate([*_MARKS, _ELSE]):
-            counts = _sums(table[data])
-            gap |= (counts[start] > counts[before]).astype(np.int64) << i
-            if i == 0:
-                tail = np.zeros(n, np.int64)
-            tail |= np.where(last, counts[bounds[text + 1]] > counts[end], 0).astype(np.int64) << i
-        after = np.where(last, tail, np.append(gap[1:], 0))
+        first, last = np.zeros(n, dtype=bool), np.zeros(n, dtype=bool)
+        filled = found.first[1:] > found.first[:-1]
+        first[found.first[:-1][filled]] = True
+        last[found.first[1:][filled] - 1] = True
+        before = np.concatenate(([0], end[:-1])) if n else np.zeros(0, np.int64)
+        before[first] = bounds[text[first]]
+        marks = _MARK_BITS[padded]
+        gap = _bits(marks, before, start)
+        after = np.append(gap[1:], 0) if n else gap
+        after[last] = _bits(marks, end[last], bounds[text[last] + 1])
         self.gap = start - before
-        hashes = word_hashes(LOWER[data], start, end)
+        spans = SpanHashes(LOWER[data])
+        hashes = spans.of(start, end)
         word = (hashes >> np.uint64(64 - _WORD_BITS)).astype(np.int64)
 
         def moved(values: np.ndarray, by: int, rest: int) -> np.ndarray:
@@ -172,7 +184,7 @@ class _Tokens:
                 out[:by] = np.where(text[:by] == text[-by:], values[-by:], rest)
             return out
 
-        only = shape == 1 << _DIGIT
+        only, with_digit = shape == 1 << _DIGIT, (shape >> _DIGIT & 1) > 0
         self.features = [
             form,
             gap * _GAPS + after,
@@ -181,34 +193,37 @@ class _Tokens:
             moved(word, 1, 0),
             moved(word, -1, 0),
             moved(gap, 1, 0) * _SHAPES + shape,
-            self._digit_chains(data, only, digits, ~first),
+            self._digit_chains(data, only, ~first),
         ]
         joined = ((gap | after) & 0b1011) > 0
-        capital = np.zeros(n, dtype=bool)
-        capital[:] = _CLASSES[_UPPER][data[start]] if n else False
-        with_digit = has[_DIGIT] & (end - start >= 3)
-        linked = with_digit | (~has[_DIGIT] & (end - start >= 4) & (joined | capital))
-        part = word_hashes(
-            LOWER[data],
-            np.where(with_digit, np.maximum(start, end - _LIKE[0]), start),
-            np.where(with_digit, end, np.minimum(end, start + _LIKE[1])),
+        capital = _CLASSES[_UPPER][data[start]] if n else joined
+        linked = np.where(with_digit, end - start >= 3, (end - start >= 4) & (joined | capital))
+        part = np.zeros(n, np.uint64)
+        at, numbers = np.flatnonzero(linked), with_digit[linked]
+        part[at] = spans.of(
+            np.where(numbers, np.maximum(start[at], end[at] - _LIKE[0]), start[at]),
+            np.where(numbers, end[at], np.minimum(end[at], start[at] + _LIKE[1])),
         )
         self.edges = join_edges(
             chain_edges(text), skip_edges(text, hashes, linked, REPEAT), skip_edges(text, part, linked, SIMILAR)
         )
 
-    def _digit_chains(self, data: np.ndarray, only: np.ndarray, digits: np.ndarray, inner: np.ndarray) -> np.ndarray:
+    def _digit_chains(self, data: np.ndarray, only: np.ndarray, inner: np.ndarray) -> np.ndarray:
         """Digits of the numbers that a number stands among, and whether they pass the card checksum."""
         start, end = self.found.start, self.found.end
         out = np.zeros(len(start), np.int64)
         at = np.flatnonzero(only)
         if not len(at):
             return out
-        odd = _sums(_JOINTS[data])
+        digits = _sums(_CLASSES[_DIGIT][data])
         follows = np.zeros(len(at), dtype=bool)
         follows[1:] = (np.diff(at) == 1) & inner[at[1:]]
         between = end[at[:-1]], start[at[1:]]
-        follows[1:] &= (between[1] - between[0] <= _JOINT_LENGTH) & (odd[between[1]] == odd[between[0]])
+        follows[1:] &= between[1] - between[0] <= _JOINT_LENGTH
+        for step in range(_JOINT_LENGTH):
+            # behind the gap stands a digit, which is no joint
+            inside = between[0] + step < between[1]
+            follows[1:] &= ~(inside & _JOINTS[data[np.minimum(between[0] + step, len(data) - 1)]])
         chain = np.cumsum(~follows) - 1
         heads = np.flatnonzero(~follows)
         tails = np.append(heads[1:], len(at)) - 1
@@ -301,13 +316,13 @@ def fit_personal(
     is nothing to learn from.
     """
     # a text counts once however many rows have it, and copies are combined in the map task
-    hashed = docs.where("text is not null").select(
-        F.xxhash64("text").alias("h"), F.col("text").rlike(_LIKELY).alias("likely")
-    ).distinct()
-    bounds = {True: sample_likely, False: sample_other}
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "personal-texts")
+    likely = F.col("text").contains("@") | F.col("text").rlike(_LIKELY)
+    hashed = docs.where("text is not null").select(F.xxhash64("text").alias("h"), likely.alias("likely")).distinct()
+    hashed = materialize(hashed, "personal-texts", path)
     drawn = [
-        hashed.where(F.col("likely") == likely).orderBy(F.xxhash64("h"), "h").limit(n).select("h")
-        for likely, n in bounds.items()
+        hashed.where(F.col("likely") == kind).orderBy(F.xxhash64("h"), "h").limit(n).select("h")
+        for kind, n in ((True, sample_likely), (False, sample_other))
     ]
     chosen = drawn[0].unionByName(drawn[1])
     # bounded by sample_likely + sample_other
@@ -325,6 +340,7 @@ def fit_personal(
 
     lessons = rows.select("h", "text").mapInArrow(run, "h bigint, text string, marks array<int>")
     found = sorted(lessons.dropDuplicates(["h"]).collect())
+    discard(spark, path)
     tagged = [_tagged_lesson(r["text"], list(zip(*[iter(r["marks"])] * 3))) for r in found]
     tagged = [(tokens, labels) for tokens, labels in tagged if len(labels)]
     if not tagged or not any(labels.any() for _, labels in tagged):

@@ -91,7 +91,12 @@ class _Messages:
         for k, at in enumerate(self.of_kind):
             link = links[k] if k < EDGE_KINDS else links[k - EDGE_KINDS].T
             if best:
-                fresh[at] = np.max(left[at][:, :, None] + link, axis=1)
+                told = left[at]
+                for y in range(link.shape[1]):
+                    most = told[:, 0] + link[0, y]
+                    for x in range(1, link.shape[0]):
+                        np.maximum(most, told[:, x] + link[x, y], out=most)
+                    fresh[at, y] = most
             else:
                 fresh[at] = np.log(np.exp(left[at]) @ np.exp(link))
         fresh -= fresh.max(axis=1, keepdims=True)
@@ -166,29 +171,43 @@ def _doubtful(links: np.ndarray, unary: np.ndarray, edges: Edges, rounds: int =
     For all others the usual label leads by more than their edges can make up,
     so the best labelling has it there for certain.
     """
-    doubt = np.ones(len(unary), dtype=bool)
-    one, other, kind = edges
+    n, labels = unary.shape
     # most that an edge can add to a label over the usual one, whatever stands at its far end, or if the usual one does
     forward = links - links[:, :, REST : REST + 1]
     backward = links - links[:, REST : REST + 1, :]
     any_forward, any_backward = forward.max(axis=1), backward.max(axis=2)
     rest_forward, rest_backward = forward[:, REST, :], backward[:, :, REST]
-    lead = unary - unary[:, REST : REST + 1]
+    # first as if every token had two neighbours in its chain, and with its own number of skip edges
+    skips = edges.kind != CHAIN
+    kind = edges.kind[skips]
+    doubt = np.zeros(n, dtype=bool)
+    for y in range(labels):
+        if y != REST:
+            most = unary[:, y] - unary[:, REST] + (any_forward[CHAIN, y] + any_backward[CHAIN, y])
+            most += np.bincount(edges.other[skips], any_forward[kind, y], minlength=n)
+            most += np.bincount(edges.one[skips], any_backward[kind, y], minlength=n)
+            doubt |= most > 0
+    one, other, kind = edges
     for _ in range(rounds):
         # edges with no doubtful end say nothing new
         live = doubt[one] | doubt[other]
         one, other, kind = one[live], other[live], kind[live]
+        at = np.flatnonzero(doubt)
+        place = np.full(n, len(at))
+        place[at] = np.arange(len(at))
+        ends = np.concatenate((place[other], place[one]))
         to_other = np.where(doubt[one][:, None], any_forward[kind], rest_forward[kind])
         to_one = np.where(doubt[other][:, None], any_backward[kind], rest_backward[kind])
-        at, gain = np.concatenate((other, one)), np.concatenate((to_other, to_one))
-        most = np.full(len(unary), -np.inf)
-        for y in range(unary.shape[1]):
+        gain = np.concatenate((to_other, to_one))
+        lead = unary[at] - unary[at, REST][:, None]
+        most = np.full(len(at), -np.inf)
+        for y in range(labels):
             if y != REST:
-                most = np.maximum(most, lead[:, y] + np.bincount(at, gain[:, y], minlength=len(unary)))
-        fewer = doubt & (most > 0)
-        if fewer.sum() == doubt.sum():
+                added = np.bincount(ends, gain[:, y], minlength=len(at) + 1)[: len(at)]
+                most = np.maximum(most, lead[:, y] + added)
+        if (most > 0).all():
             break
-        doubt = fewer
+        doubt[at[most <= 0]] = False
     return doubt
 
 
