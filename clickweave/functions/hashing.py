@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MAX_BUCKETS = 1 << 31
+# odd, and small enough that its product with 32 bits is a long
+MIX_FACTOR = 0x45D9F3B
 _HEX_PER_CHUNK = 8
 
 
@@ -19,6 +21,14 @@ def md5_u32(text: Column) -> Column:
     return _chunk(F.md5(text.cast("binary")), 0)
 
 
+def mixed_u32(bits: Column) -> Column:
+    """Spread 32 bits, given as a BIGINT, over all places (a bijection)."""
+    for _ in range(2):
+        folded = bits.bitwiseXOR(F.shiftright(bits, 16)) * F.lit(MIX_FACTOR).cast("bigint")
+        bits = folded.bitwiseAND(F.lit((1 << 32) - 1).cast("bigint"))
+    return bits.bitwiseXOR(F.shiftright(bits, 16))
+
+
 def md5_hex(text: Column) -> Column:
     """MD5 of the UTF-8 text as 32 hexadecimal digits."""
     return F.md5(text.cast("binary"))

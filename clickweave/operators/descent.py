@@ -1,21 +1,33 @@
-"""Logistic regression by full-batch gradient descent with L2 shrinkage.
+"""Logistic regression by gradient descent, whole or in mini-batches.
 
-The update rule, for n rows, weights w (zeros) and intercept b (starting at 1)::
+The update rule, for the n rows of the batch, weights w (zeros) and intercept b
+(starting at 1)::
 
     p      = 1 / (1 + exp(-(w.x + b)))
     g_j    = mean((p - y) x_j),  g_b = mean(p - y)
     eta_i  = step / sqrt(i)
-    w, b   = (w, b) (1 - eta_i reg) - eta_i (g, g_b)
+    w, b   = shrink((w, b) - eta_i (g, g_b))
     stop at i > 1 when |new - old| < tol max(|new|, 1), both over (w, b)
 
+``shrink`` depends on the kind of regularisation: ``l2`` takes eta_i reg (w, b)
+of the old values off, ``l1`` moves every new value towards zero by eta_i reg
+and no further than zero (the proximal step), ``None`` does nothing.
+
 The intercept is the weight of a bias entry that every row carries, so rows
-without any non-zero count too.  Any number of models (step, reg) is fitted
-together: each iteration is one pass over the data for all of them.
+without any non-zero count too; without an intercept there is no such entry,
+and it is part neither of the stop rule nor of the model.  Any number of models
+(step, reg, kind) is fitted together: each iteration is one pass over the data
+for all of them.
+
+With a batch fraction below 1, step i uses the rows whose draw, a function of
+seed, step and row key alone, falls below the fraction: the same rows on every
+retry and on every path.  A step whose batch is empty changes nothing.
 
 * :func:`gd_step` is one iteration as a lazy plan over DataFrames only.
 * :func:`fit_sgd` iterates.  While all weights together stay below a checked
   bound they are sent out as one broadcast and every task returns its share of
-  the gradient; beyond it they stay a distributed table.
+  the gradient, from rows packed once into blocks of arrays; beyond it they stay
+  a distributed table.
 """
 
 from __future__ import annotations
@@ -28,9 +40,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.core.broadcast import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from clickweave.functions.hashing import MIX_FACTOR, md5_u32, mixed_u32
 from clickweave.functions.scalar import sigmoid
 from clickweave.plans.lookup import (
     BROADCAST_BYTES,
@@ -51,9 +64,14 @@ BROADCAST_PARAMETERS = 1 << 22
 # gradient numbers one reduce task adds up
 SHARES_PER_REDUCER = 4_000_000
 # fewer rows than this are not worth a task of their own
-ROWS_PER_TASK = 20_000
+ROWS_PER_TASK = 5_000
 # gradient shares per core
 TASKS_PER_CORE = 2
+# rows and entries of a block of packed rows, and entries that a task works on at once
+ROWS_PER_BLOCK, ENTRIES_PER_BLOCK = 2_048, 1 << 17
+ENTRIES_AT_ONCE = 1 << 21
+REG_TYPES = ("l2", "l1", None)
+SEED = 42
 
 
 @dataclass(frozen=True)
@@ -62,6 +80,56 @@ class Setting:
 
     step_size: float
     reg_param: float
+    reg_type: str | None = "l2"
+
+    def __post_init__(self):
+        if self.reg_type not in REG_TYPES:
+            raise ValueError(f"regularisation must be one of {REG_TYPES}, got {self.reg_type!r}")
+
+
+@dataclass(frozen=True)
+class Batches:
+    """Which rows a step uses: a share of them, drawn by the hash of ``key``."""
+
+    fraction: float = 1.0
+    seed: int = SEED
+    key: str = "obs_id"
+
+    def __post_init__(self):
+        if not 0.0 < self.fraction <= 1.0:
+            raise ValueError(f"a batch is a share in (0, 1], got {self.fraction}")
+
+    @property
+    def whole(self) -> bool:
+        return self.fraction >= 1.0
+
+    @property
+    def cut(self) -> int:
+        return round(self.fraction * (1 << 32))
+
+    def base(self) -> Column:
+        """32 bits per row; rows with one key are drawn together, and so are rows without a key."""
+        text = F.concat(F.lit(f"batch:{self.seed}:"), F.coalesce(F.col(self.key).cast("string"), F.lit("")))
+        return md5_u32(text)
+
+    def drawn(self, base: Column, step: int) -> Column:
+        """Whether step ``step`` uses a row."""
+        return mixed_u32(base.bitwiseXOR(F.lit(mixed(step)).cast("bigint"))) < F.lit(self.cut)
+
+    def drawn_array(self, base: np.ndarray, step: int) -> np.ndarray:
+        """The same for an array."""
+        return mixed(base ^ np.uint64(mixed(step))) < np.uint64(self.cut)
+
+
+WHOLE = Batches()
+
+
+def mixed(x):
+    """:func:`mixed_u32` for a number or an array of unsigned 64-bit numbers."""
+    low = (1 << 32) - 1
+    for _ in range(2):
+        x = ((x ^ (x >> 16)) * MIX_FACTOR) & low
+    return x ^ (x >> 16)
 
 
 @dataclass(frozen=True)
@@ -85,21 +153,31 @@ def _eta(setting: Setting, iteration: int) -> float:
 # ---------------------------------------------------------------- DataFrame step
 
 
-def bias_entries(encoded: DataFrame) -> DataFrame:
-    """Non-zeros plus one bias entry per row, laid out so that a row's entries sit together.
+def training_rows(encoded: DataFrame, batches: Batches = WHOLE) -> DataFrame:
+    """The rows with an id of their own (``_row``), fixed by writing them once, so equal rows stay apart.
 
-    Rows get an id of their own (``_row``), fixed by writing them once, so equal
-    rows stay apart.
+    With mini-batches they also carry ``_base``, what their draws depend on.
     """
-    rows = encoded.select("label", "indices", "values").withColumn("_row", F.monotonically_increasing_id())
-    pairs = F.arrays_zip(
-        F.concat(F.array(F.lit(BIAS_INDEX).cast("bigint")), F.col("indices")).alias("idx"),
-        F.concat(F.array(F.lit(1.0)), F.col("values")).alias("val"),
-    )
+    base = [] if batches.whole else [batches.base().alias("_base")]
+    rows = encoded.select("label", "indices", "values", *base)
+    return materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "training-rows")
+
+
+def bias_entries(rows: DataFrame, intercept: bool = True) -> DataFrame:
+    """Non-zeros of :func:`training_rows`, laid out so that a row's entries sit together.
+
+    With an intercept every row has one bias entry more.
+    """
+    idx, val = F.col("indices"), F.col("values")
+    if intercept:
+        idx = F.concat(F.array(F.lit(BIAS_INDEX).cast("bigint")), idx)
+        val = F.concat(F.array(F.lit(1.0)), val)
+    carried = [c for c in rows.columns if c not in ("indices", "values")]
+    pairs = F.arrays_zip(idx.alias("idx"), val.alias("val"))
     return (
-        materialize(rows, "training-rows")
-        .repartition(reduce_tasks(encoded.sparkSession), "_row")
-        .select("_row", "label", F.inline_outer(pairs).alias("idx", "val"))
+        rows.repartition(reduce_tasks(rows.sparkSession), "_row")
+        .select(*carried, F.inline_outer(pairs).alias("idx", "val"))
+        .where(F.col("idx").isNotNull())
         .sortWithinPartitions("_row")
     )
 
@@ -107,14 +185,14 @@ def bias_entries(encoded: DataFrame) -> DataFrame:
 def entries_by_index(entries: DataFrame, hot: DataFrame) -> DataFrame:
     """The same entries where the weights of their index will be; frequent indices are spread."""
     n = reduce_tasks(entries.sparkSession)
-    salted = salted_rows(entries.select("_row", "idx", "val"), ["idx"], hot, "_row")
+    salted = salted_rows(entries.drop("label"), ["idx"], hot, "_row")
     return salted.repartition(n, "idx", "_salt")
 
 
-def initial_weights(spark: SparkSession, dimension: int, n_models: int = 1) -> DataFrame:
-    """Zero weights, bias at its start value."""
+def initial_weights(spark: SparkSession, dimension: int, n_models: int = 1, intercept: bool = True) -> DataFrame:
+    """Zero weights, bias (if there is one) at its start value."""
     start = F.when(F.col("id") == BIAS_INDEX, F.lit(INITIAL_INTERCEPT)).otherwise(F.lit(0.0))
-    return spark.range(BIAS_INDEX, dimension).select(
+    return spark.range(BIAS_INDEX if intercept else 0, dimension).select(
         F.col("id").alias("idx"), F.array_repeat(start, n_models).alias("weights")
     )
 
@@ -160,7 +238,8 @@ def gd_step(
 ) -> DataFrame:
     """Weights after one more iteration, ``(idx, weights, previous)``.
 
-    ``entries`` comes from :func:`bias_entries`.  Weights that may be broadcast
+    ``entries`` comes from :func:`bias_entries`; for a mini-batch it, ``by_index``
+    and ``n_rows`` are those of the batch.  Weights that may be broadcast
     need no more; for larger ones ``by_index`` is the second layout of the
     entries and ``hot`` their frequent indices.  Either way the entries do not
     move: only margins added per row and gradients added per index do.
@@ -180,7 +259,11 @@ def gd_step(
     updated = []
     for k, setting in enumerate(settings):
         old, eta = F.col("weights")[k], _eta(setting, iteration)
-        new = old * F.lit(1.0 - eta * setting.reg_param) - F.lit(eta) * F.coalesce(f"_g{k}", F.lit(0.0))
+        shrinkage = eta * setting.reg_param
+        kept = 1.0 - shrinkage if setting.reg_type == "l2" else 1.0
+        new = old * F.lit(kept) - F.lit(eta) * F.coalesce(f"_g{k}", F.lit(0.0))
+        if setting.reg_type == "l1":
+            new = F.signum(new) * F.greatest(F.abs(new) - F.lit(shrinkage), F.lit(0.0))
         updated.append(new if active[k] else old)
     return weights.join(gradient, "idx", "left").select(
         "idx", F.array(*updated).alias("weights"), F.col("weights").alias("previous")
@@ -201,16 +284,27 @@ def _converged(change2: float, size2: float, tol: float) -> bool:
     return math.sqrt(change2) < tol * max(math.sqrt(size2), 1.0)
 
 
+def _check_top(top: int | None, dimension: int) -> None:
+    if top is not None and top >= dimension:
+        raise ValueError(f"index {top} does not fit the dimension {dimension}")
+
+
 def _checked_rows(encoded: DataFrame, dimension: int) -> int:
     """Number of rows, after a check that no index lies outside of the dimension."""
     counted = encoded.agg(F.count("*").alias("n"), F.max(F.array_max("indices")).alias("top")).first()
-    if counted["top"] is not None and counted["top"] >= dimension:
-        raise ValueError(f"index {counted['top']} does not fit the dimension {dimension}")
+    _check_top(counted["top"], dimension)
     return counted["n"]
 
 
 def _fit_distributed(
-    encoded: DataFrame, dimension: int, settings: Sequence[Setting], iterations: int, tol: float, broadcast_bytes: int
+    encoded: DataFrame,
+    dimension: int,
+    settings: Sequence[Setting],
+    iterations: int,
+    tol: float,
+    broadcast_bytes: int,
+    intercept: bool,
+    batches: Batches,
 ) -> Fitted:
     """Weights stay a table; every iteration writes the next one, so plans do not grow.
 
@@ -219,17 +313,25 @@ def _fit_distributed(
     spark = encoded.sparkSession
     n_models = len(settings)
     n_rows = _checked_rows(encoded, dimension)
-    entries = bias_entries(encoded).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = training_rows(encoded, batches)
+    entries = bias_entries(rows, intercept).persist(StorageLevel.MEMORY_AND_DISK)
     by_index = hot = None
     try:
-        weights = initial_weights(spark, dimension, n_models)
+        weights = initial_weights(spark, dimension, n_models, intercept)
         if not fits(weights, broadcast_bytes, row_bytes=64 + 8 * n_models):
             hot = hot_keys(entries, ["idx"])
             by_index = entries_by_index(entries, hot).persist(StorageLevel.MEMORY_AND_DISK)
         active, used = [True] * n_models, [0] * n_models
         written: list[str] = []
         for i in range(1, iterations + 1):
-            step = gd_step(entries, weights, n_rows, i, settings, active=active, by_index=by_index, hot=hot)
+            size, batch, batch_by_index = n_rows, entries, by_index
+            if not batches.whole:
+                drawn = batches.drawn(F.col("_base"), i)
+                size = rows.where(drawn).count()
+                batch, batch_by_index = entries.where(drawn), by_index.where(drawn) if by_index is not None else None
+            if not size:
+                continue
+            step = gd_step(batch, weights, size, i, settings, active=active, by_index=batch_by_index, hot=hot)
             written.append(scratch_path(spark, "weights"))
             table = materialize(step, "weights", written[-1])
             if len(written) > 2:
@@ -245,58 +347,120 @@ def _fit_distributed(
         entries.unpersist()
         if by_index is not None:
             by_index.unpersist()
-    bias = weights.where(F.col("idx") == BIAS_INDEX).first()["weights"]
+    bias = weights.where(F.col("idx") == BIAS_INDEX).first()["weights"] if intercept else [0.0] * n_models
     return Fitted(list(settings), weights.where(F.col("idx") != BIAS_INDEX), list(bias), used)
 
 
 # ---------------------------------------------------------------- bounded model
 
 
-def _gradient_shares(sent: Broadcast, models: Sequence[int]):
-    """Task function: what the rows of one task add to the gradient of each given model."""
+_BLOCKS = "n int, top bigint, labels binary, sizes binary, idx binary, val binary, base binary"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows as blocks of arrays: every later pass reads a few blobs in place of many lists."""
+    for batch in batches:
+        lists = batch.column("indices")
+        sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        idx, val = lists.flatten().to_numpy(), batch.column("values").flatten().to_numpy()
+        label, base = batch.column("label").to_numpy(), batch.column("_base").to_numpy(zero_copy_only=False)
+        before = np.concatenate(([0], np.cumsum(sizes)))
+        low, blocks = 0, []
+        while low < batch.num_rows:
+            high = int(np.searchsorted(before, before[low] + ENTRIES_PER_BLOCK, "right")) - 1
+            high = min(max(high, low + 1), low + ROWS_PER_BLOCK, batch.num_rows)
+            own = slice(before[low], before[high])
+            top = int(idx[own].max()) if before[high] > before[low] else None
+            parts = label[low:high], sizes[low:high], idx[own], val[own], base[low:high]
+            blocks.append((high - low, top, *[np.ascontiguousarray(p).tobytes() for p in parts]))
+            low = high
+        columns = list(zip(*blocks)) if blocks else [()] * 7
+        kinds = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+        names = ["n", "top", "labels", "sizes", "idx", "val", "base"]
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names)
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """Labels, sizes, indices, values and bases of as many blocks as are worked on at once."""
+    kinds = np.float64, np.int64, np.int64, np.float64, np.int64
+    for batch in batches:
+        columns = [batch.column(c) for c in ("labels", "sizes", "idx", "val", "base")]
+        held: list[list[np.ndarray]] = []
+        entries = 0
+        for row in zip(*columns):
+            parts = [np.frombuffer(blob.as_buffer(), kind) for blob, kind in zip(row, kinds)]
+            held.append(parts)
+            entries += len(parts[2])
+            if entries >= ENTRIES_AT_ONCE:
+                yield tuple(np.concatenate(p) for p in zip(*held))
+                held, entries = [], 0
+        if held:
+            yield tuple(np.concatenate(p) for p in zip(*held))
+
+
+def _gradient_shares(sent: Broadcast, models: Sequence[int], intercept: bool, drawn: tuple[Batches, int] | None):
+    """Task function: what the rows of one task add to the gradient of each given model.
+
+    The bias has the index behind all others; the number of rows used stands behind it, once per task.
+    """
 
     def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = sent.value
         bias = weights.shape[1] - 1
         gradient = np.zeros((len(models), bias + 1))
-        for batch in batches:
-            lists, label = batch.column("indices"), batch.column("label").to_numpy()
-            idx = lists.flatten().to_numpy()
-            val = batch.column("values").flatten().to_numpy()
-            row = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy()))
+        used = 0
+        for label, sizes, idx, val, base in _unpacked(batches):
+            row = np.repeat(np.arange(len(label)), sizes)
+            inside = np.ones(len(label), dtype=bool)
+            if drawn:
+                inside = drawn[0].drawn_array(base.astype(np.uint64), drawn[1])
+                chosen = inside[row]
+                row, idx, val = row[chosen], idx[chosen], val[chosen]
+            used += int(inside.sum())
             for g, k in zip(gradient, models):
-                dot = np.bincount(row, weights=val * weights[k, idx], minlength=batch.num_rows)
+                dot = np.bincount(row, weights=val * weights[k, idx], minlength=len(label))
                 with np.errstate(over="ignore"):
-                    residual = 1.0 / (1.0 + np.exp(-(dot + weights[k, bias]))) - label
-                np.add.at(g, idx, val * residual[row])
-                g[bias] += residual.sum()
-        for g, k in zip(gradient, models):
+                    residual = (1.0 / (1.0 + np.exp(-(dot + weights[k, bias]))) - label) * inside
+                g[:bias] += np.bincount(idx, weights=val * residual[row], minlength=bias)
+                if intercept:
+                    g[bias] += residual.sum()
+        for i, (g, k) in enumerate(zip(gradient, models)):
             touched = np.flatnonzero(g)
+            at, share = np.append(touched, bias + 1), np.append(g[touched], used if i == 0 else 0)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(touched.size, k, np.int32)), pa.array(touched), pa.array(g[touched])],
+                [pa.array(np.full(at.size, k, np.int32)), pa.array(at), pa.array(share)],
                 names=["model_id", "idx", "g"],
             )
 
     return shares
 
 
-def _gradient(rows: DataFrame, weights: np.ndarray, models: Sequence[int], reducers: int) -> np.ndarray:
-    """Summed gradient of every given model; its size is that of the weights.
+def _gradient(
+    blocks: DataFrame,
+    weights: np.ndarray,
+    models: Sequence[int],
+    reducers: int,
+    intercept: bool,
+    drawn: tuple[Batches, int] | None,
+) -> tuple[np.ndarray, int]:
+    """Summed gradient of every given model, of the size of the weights, and the number of rows used.
 
     ``reducers`` is 0 where all shares together are few enough to be added here.
     """
-    sent = rows.sparkSession.sparkContext.broadcast(weights)
+    sent = blocks.sparkSession.sparkContext.broadcast(weights)
     try:
-        shares = rows.mapInArrow(_gradient_shares(sent, models), "model_id int, idx bigint, g double")
+        task = _gradient_shares(sent, models, intercept, drawn)
+        shares = blocks.mapInArrow(task, "model_id int, idx bigint, g double")
         if reducers:
             keys = ["model_id", "idx"]
             shares = shares.repartition(reducers, *keys).groupBy(*keys).agg(F.sum("g").alias("g"))
         total = shares.toArrow()
     finally:
         sent.destroy()
-    gradient = np.zeros_like(weights)
-    np.add.at(gradient, (total["model_id"].to_numpy(), total["idx"].to_numpy()), total["g"].to_numpy())
-    return gradient
+    width = weights.shape[1] + 1
+    flat = total["model_id"].to_numpy() * np.int64(width) + total["idx"].to_numpy()
+    summed = np.bincount(flat, weights=total["g"].to_numpy(), minlength=len(weights) * width).reshape(-1, width)
+    return summed[:, :-1], int(summed[:, -1].sum())
 
 
 def _reducers(tasks: int, parameters: int, limit: int) -> int:
@@ -305,60 +469,82 @@ def _reducers(tasks: int, parameters: int, limit: int) -> int:
     return 0 if shares <= SHARES_PER_REDUCER else min(limit, -(-shares // SHARES_PER_REDUCER))
 
 
-def _spread(kept: DataFrame, n_rows: int) -> DataFrame:
-    """The cached rows in a sensible number of tasks, as every iteration reads them.
+def _spread(blocks: DataFrame, n_rows: int) -> DataFrame:
+    """The cached blocks in a sensible number of tasks, as every iteration reads them.
 
     Every task returns a share of the gradient, so their number follows the
     cores, not the partitions of the input: more partitions than a few per core
-    are merged in place.  Rows in fewer partitions than there are cores are
+    are merged in place.  Blocks in fewer partitions than there are cores are
     spread once.
     """
-    cores = kept.sparkSession.sparkContext.defaultParallelism
+    cores = blocks.sparkSession.sparkContext.defaultParallelism
     tasks = max(1, min(-(-n_rows // ROWS_PER_TASK), TASKS_PER_CORE * cores))
-    present = kept.rdd.getNumPartitions()
+    present = blocks.rdd.getNumPartitions()
     enough = min(tasks, cores)
     if present > tasks:
-        return kept.coalesce(tasks)
+        return blocks.coalesce(tasks)
     if present < enough:
-        spread = kept.repartition(enough).persist(StorageLevel.MEMORY_AND_DISK)
+        spread = blocks.repartition(enough).persist(StorageLevel.MEMORY_AND_DISK)
         spread.count()
         return spread
-    return kept
+    return blocks
+
+
+def _updated(old: np.ndarray, gradient: np.ndarray, setting: Setting, iteration: int) -> np.ndarray:
+    eta = _eta(setting, iteration)
+    shrinkage = eta * setting.reg_param
+    if setting.reg_type == "l2":
+        return old * (1.0 - shrinkage) - eta * gradient
+    new = old - eta * gradient
+    if setting.reg_type == "l1":
+        new = np.sign(new) * np.maximum(np.abs(new) - shrinkage, 0.0)
+    return new
 
 
 def _fit_broadcast(
-    encoded: DataFrame, dimension: int, settings: Sequence[Setting], iterations: int, tol: float
+    encoded: DataFrame,
+    dimension: int,
+    settings: Sequence[Setting],
+    iterations: int,
+    tol: float,
+    intercept: bool,
+    batches: Batches,
 ) -> Fitted:
     """Weights of all models fit a broadcast: one narrow pass and one small aggregate per iteration."""
     spark = encoded.sparkSession
     n_models = len(settings)
-    # stays where it is: no shuffle just to fit
-    kept = encoded.select("label", "indices", "values").persist(StorageLevel.MEMORY_AND_DISK)
+    base = F.lit(0).cast("bigint") if batches.whole else batches.base()
+    # packed where they are: no shuffle just to fit
+    rows = encoded.select("label", "indices", "values", base.alias("_base"))
+    packed = rows.mapInArrow(_pack, _BLOCKS).persist(StorageLevel.MEMORY_AND_DISK)
     weights = np.zeros((n_models, dimension + 1))
-    weights[:, dimension] = INITIAL_INTERCEPT
+    weights[:, dimension] = INITIAL_INTERCEPT if intercept else 0.0
     active, used = list(range(n_models)), [0] * n_models
-    rows = kept
+    blocks = packed
     try:
-        n_rows = _checked_rows(kept, dimension)
-        rows = _spread(kept, n_rows)
+        counted = packed.agg(F.sum("n").alias("n"), F.max("top").alias("top")).first()
+        _check_top(counted["top"], dimension)
+        blocks = _spread(packed, counted["n"] or 0)
         limit = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        reducers = _reducers(rows.rdd.getNumPartitions(), weights.size, limit)
+        reducers = _reducers(blocks.rdd.getNumPartitions(), weights.size, limit)
         for i in range(1, iterations + 1):
-            gradient = _gradient(rows, weights, active, reducers)
+            drawn = None if batches.whole else (batches, i)
+            gradient, size = _gradient(blocks, weights, active, reducers, intercept, drawn)
+            if not size:
+                continue
             moved = weights.copy()
             for k in active:
-                eta = _eta(settings[k], i)
-                moved[k] = weights[k] * (1.0 - eta * settings[k].reg_param) - eta * gradient[k] / n_rows
+                moved[k] = _updated(weights[k], gradient[k] / size, settings[k], i)
                 used[k] = i
             if tol > 0 and i > 1:
-                change, size = ((moved - weights) ** 2).sum(axis=1), (moved**2).sum(axis=1)
-                active = [k for k in active if not _converged(change[k], size[k], tol)]
+                change, length = ((moved - weights) ** 2).sum(axis=1), (moved**2).sum(axis=1)
+                active = [k for k in active if not _converged(change[k], length[k], tol)]
             weights = moved
             if not active:
                 break
     finally:
-        kept.unpersist()
-        rows.unpersist()
+        packed.unpersist()
+        blocks.unpersist()
     columns = weights[:, :dimension]
     flat = pa.array(np.ascontiguousarray(columns.T).ravel())
     offsets = pa.array(np.arange(dimension + 1, dtype=np.int32) * n_models)
@@ -376,8 +562,18 @@ def fit_sgd(
     tol: float = TOLERANCE,
     broadcast_parameters: int = BROADCAST_PARAMETERS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    *,
+    intercept: bool = True,
+    batches: Batches = WHOLE,
 ) -> Fitted:
-    """Fit one model per setting, at most ``iterations`` steps each, all in the same passes."""
+    """Fit one model per setting, at most ``iterations`` steps each, all in the same passes.
+
+    Without ``intercept`` the models have none (0.0 is returned for it).
+    ``batches`` says which rows each step uses; only fractions below 1 need
+    their key column in ``encoded``.
+    """
     if len(settings) * (dimension + 1) <= broadcast_parameters:
-        return _fit_broadcast(encoded, dimension, settings, iterations, tol)
-    return _fit_distributed(encoded, dimension, settings, iterations, tol, broadcast_bytes)
+        return _fit_broadcast(encoded, dimension, settings, iterations, tol, intercept, batches)
+    return _fit_distributed(
+        encoded, dimension, settings, iterations, tol, broadcast_bytes, intercept, batches
+    )

@@ -36,15 +36,22 @@ def _dense(encoded):
     return x, np.array([r["label"] for r in rows])
 
 
-def _loop(x, y, setting, iterations, tol):
-    """The update rule, written out densely."""
+def _loop(x, y, setting, iterations, tol, intercept=True, drawn=None):
+    """The update rule, written out densely; ``drawn`` says which rows a step uses."""
     w = np.zeros(x.shape[1] + 1)
-    w[-1] = 1.0
-    x = np.hstack([x, np.ones((len(x), 1))])
+    w[-1] = 1.0 if intercept else 0.0
+    x = np.hstack([x, np.full((len(x), 1), float(intercept))])
     for i in range(1, iterations + 1):
-        p = 1 / (1 + np.exp(-x @ w))
+        inside = np.ones(len(y), dtype=bool) if drawn is None else drawn(i)
+        if not inside.any():
+            continue
+        p = 1 / (1 + np.exp(-x[inside] @ w))
         eta = setting.step_size / math.sqrt(i)
-        new = w * (1 - eta * setting.reg_param) - eta * x.T @ (p - y) / len(y)
+        new = w - eta * x[inside].T @ (p - y[inside]) / inside.sum()
+        if setting.reg_type == "l2":
+            new -= eta * setting.reg_param * w
+        if setting.reg_type == "l1":
+            new = np.sign(new) * np.maximum(0, np.abs(new) - eta * setting.reg_param)
         stop = i > 1 and np.linalg.norm(new - w) < tol * max(np.linalg.norm(new), 1)
         w = new
         if stop:
@@ -59,6 +66,11 @@ def _weights(fitted, k=0):
     return w
 
 
+PATHS = {
+    "broadcast": {},
+    "table": {"broadcast_parameters": 0},
+    "shuffled": {"broadcast_parameters": 0, "broadcast_bytes": 0},
+}
 SETTINGS = [Setting(1.0, 1e-6), Setting(10.0, 1e-3), Setting(3.0, 0.1)]
 
 
@@ -111,6 +123,109 @@ def test_fit_matches_mllib(spark, encoded):
     assert fitted.intercepts[0] == pytest.approx(model.intercept, abs=1e-9)
 
 
+OTHER_SETTINGS = [Setting(1.0, 1e-2, "l1"), Setting(10.0, 0.05, "l1"), Setting(2.0, 0.3, None), Setting(1.0, 1e-2)]
+
+
+@pytest.mark.parametrize("intercept", [True, False])
+@pytest.mark.parametrize("path", ["broadcast", "table", "shuffled"])
+def test_kinds_of_regularisation(encoded, path, intercept):
+    iterations = 25 if path == "broadcast" else 3
+    fitted = descent.fit_sgd(encoded, DIMENSION, OTHER_SETTINGS, iterations, 1e-3, intercept=intercept, **PATHS[path])
+    x, y = _dense(encoded)
+    for k, setting in enumerate(OTHER_SETTINGS):
+        w, used = _loop(x, y, setting, iterations, 1e-3, intercept)
+        assert np.allclose(_weights(fitted, k), w[:-1], atol=1e-9)
+        assert fitted.intercepts[k] == (pytest.approx(w[-1], abs=1e-9) if intercept else 0.0)
+        assert fitted.iterations[k] == used
+    if path == "broadcast":
+        # the proximal step makes weights exactly zero
+        assert np.count_nonzero(_weights(fitted, 1)) < np.count_nonzero(_weights(fitted, 2))
+    assert fitted.weights.count() == DIMENSION
+
+
+@pytest.mark.parametrize("intercept", [True, False])
+@pytest.mark.parametrize("reg_type", ["l1", "l2", None])
+def test_other_fits_match_mllib(spark, encoded, reg_type, intercept):
+    from pyspark.mllib.classification import LogisticRegressionWithSGD
+    from pyspark.mllib.linalg import SparseVector
+    from pyspark.mllib.regression import LabeledPoint
+
+    points = encoded.rdd.map(lambda r: LabeledPoint(r.label, SparseVector(DIMENSION, r.indices, r["values"]))).cache()
+    model = LogisticRegressionWithSGD.train(points, 15, 5.0, regParam=1e-2, regType=reg_type, intercept=intercept)
+    for path in ("broadcast", "table"):
+        fitted = descent.fit_sgd(
+            encoded, DIMENSION, [Setting(5.0, 1e-2, reg_type)], 15, intercept=intercept, **PATHS[path]
+        )
+        assert np.allclose(_weights(fitted), model.weights.toArray(), atol=1e-9)
+        assert fitted.intercepts[0] == pytest.approx(model.intercept, abs=1e-9)
+
+
+def test_draws_agree_and_have_their_share(spark):
+    ids = spark.range(20000).select(F.col("id").alias("obs_id"))
+    batches = descent.Batches(0.3)
+    masks = []
+    for step in (1, 2, 500):
+        table = ids.select("obs_id", batches.base().alias("b")).withColumn("d", batches.drawn(F.col("b"), step))
+        rows = table.orderBy("obs_id").collect()
+        mask = np.array([r.d for r in rows])
+        assert (batches.drawn_array(np.array([r.b for r in rows]).astype(np.uint64), step) == mask).all()
+        assert abs(mask.mean() - 0.3) < 0.02
+        masks.append(mask)
+    # steps draw independently of each other
+    assert abs((masks[0] & masks[1]).mean() - 0.09) < 0.02
+
+
+@pytest.mark.parametrize("path", ["broadcast", "table", "shuffled"])
+def test_batches(spark, encoded, path):
+    batches = descent.Batches(0.25, seed=7)
+    iterations = 12 if path == "broadcast" else 3
+    settings = [Setting(1.0, 1e-2, "l1"), Setting(3.0, 1e-3)]
+    # another layout of the rows draws the same
+    again = encoded.repartition(2, "label")
+    bases = [r.b for r in encoded.select("obs_id", batches.base().alias("b")).orderBy("obs_id").collect()]
+    bases = np.array(bases).astype(np.uint64)
+    x, y = _dense(encoded)
+    for table in (encoded, again):
+        fitted = descent.fit_sgd(table, DIMENSION, settings, iterations, 1e-3, batches=batches, **PATHS[path])
+        for k, setting in enumerate(settings):
+            w, used = _loop(x, y, setting, iterations, 1e-3, drawn=lambda i: batches.drawn_array(bases, i))
+            assert np.allclose(_weights(fitted, k), w[:-1], atol=1e-9)
+            assert fitted.iterations[k] == used
+
+
+@pytest.mark.parametrize("path", ["broadcast", "table"])
+def test_batches_of_nothing_change_nothing(encoded, path):
+    few = encoded.where("obs_id < 3")
+    batches = descent.Batches(1e-9)
+    fitted = descent.fit_sgd(few, DIMENSION, [Setting(1.0, 0.1)], 3, batches=batches, **PATHS[path])
+    assert fitted.intercepts == [descent.INITIAL_INTERCEPT] and not _weights(fitted).any()
+    assert fitted.iterations == [0]
+
+
+@pytest.mark.parametrize("path", ["broadcast", "table"])
+def test_fit_on_no_rows(encoded, path):
+    fitted = descent.fit_sgd(encoded.limit(0), DIMENSION, [Setting(1.0, 0.1)], 2, **PATHS[path])
+    assert fitted.iterations == [0] and not _weights(fitted).any()
+
+
+def test_wrong_choices_are_errors():
+    with pytest.raises(ValueError, match="regularisation"):
+        Setting(1.0, 0.1, "l3")
+    for fraction in (0.0, 1.5):
+        with pytest.raises(ValueError, match="share"):
+            descent.Batches(fraction)
+
+
+def test_blocks_are_cut_by_rows_and_entries(encoded, monkeypatch):
+    """Any cut of the rows into blocks, and any number of blocks at once, gives the same weights."""
+    plain = _weights(descent.fit_sgd(encoded, DIMENSION, SETTINGS[:1], 5))
+    for rows, entries, at_once in [(1, 1 << 17, 1), (7, 3, 10), (10**6, 1 << 17, 1 << 21)]:
+        monkeypatch.setattr(descent, "ROWS_PER_BLOCK", rows)
+        monkeypatch.setattr(descent, "ENTRIES_PER_BLOCK", entries)
+        monkeypatch.setattr(descent, "ENTRIES_AT_ONCE", at_once)
+        assert np.allclose(_weights(descent.fit_sgd(encoded, DIMENSION, SETTINGS[:1], 5)), plain, atol=1e-12)
+
+
 def test_tasks_follow_the_row_count(spark, monkeypatch):
     monkeypatch.setattr(descent, "ROWS_PER_TASK", 100)
     for parts, rows, expected in [(1, 50, 1), (1, 350, 4), (7, 350, 4), (3, 250, 3)]:
@@ -124,13 +239,6 @@ def test_many_partitions_give_few_shares(spark):
     assert descent._spread(kept, 10**9).rdd.getNumPartitions() == descent.TASKS_PER_CORE * cores
 
 
-PATHS = {
-    "broadcast": {},
-    "table": {"broadcast_parameters": 0},
-    "shuffled": {"broadcast_parameters": 0, "broadcast_bytes": 0},
-}
-
-
 @pytest.fixture(scope="module")
 def repeated(spark):
     """Equal rows, under one id, and an id with different rows."""
@@ -181,7 +289,7 @@ def test_large_weights_do_not_move_the_entries(spark, encoded):
     before = {k: spark.conf.get(k) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
-    entries = descent.bias_entries(encoded).persist()
+    entries = descent.bias_entries(descent.training_rows(encoded)).persist()
     hot = descent.hot_keys(entries, ["idx"])
     by_index = descent.entries_by_index(entries, hot).persist()
     try:
