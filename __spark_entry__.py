@@ -17,9 +17,21 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from clickweave.operators import descent, grid, hashed, observations, onehot, profile, roc, scoring, splits
+from clickweave.operators import (
+    descent,
+    grid,
+    hashed,
+    mlencode,
+    observations,
+    onehot,
+    profile,
+    roc,
+    scoring,
+    splits,
+    vectors,
+)
 from clickweave.plans.scratch import scratch_path
-from clickweave.sources import derived, lines
+from clickweave.sources import derived, lines, store
 from clickweave.workflow import model_report, report, trained_scores
 from oracle_queries import ORACLES
 
@@ -39,10 +51,14 @@ DIGITS = 6
 SCORE_DIGITS = 9
 INTERCEPT = -1.0
 PREVIEW_ROWS = 5
+LOAD_PARTITIONS = 4
 FIRST_ROWS = 20
 SMALLEST = 5
 FIT = descent.Setting(step_size=10.0, reg_param=1e-6)
-FIT_ITERATIONS = 50
+SPARSE = descent.Setting(step_size=10.0, reg_param=1e-3, reg_type="l1")
+FREE = descent.Setting(step_size=10.0, reg_param=1e-6, reg_type=None)
+HALF = descent.Batches(fraction=0.5)
+FIT_ITERATIONS, SHORT_ITERATIONS, BATCH_ITERATIONS = 50, 20, 10
 MATRIX_STEPS = [3.0, 6.0, 9.0, 12.0, 15.0, 18.0]
 MATRIX_ITERATIONS = 3
 MATRIX_REGS = [1e-7, 1e-6, 1e-5, 1e-4, 1e-3, 1e-2]
@@ -124,6 +140,23 @@ def q_load_lines_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded.agg(F.count("*").alias("n_lines"), F.countDistinct("obs_id").alias("n_ids"))
 
 
+def q_load_lines_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One gzip stream, read by several even tasks afterwards, each line under an id of its own."""
+    folder = scratch_path(spark, "text")
+    one = derived.ctr_events(spark, sf_dir).select("line").coalesce(1)
+    one.write.option("compression", "gzip").text(folder)
+    loaded = lines.load_lines(spark, folder, min_partitions=LOAD_PARTITIONS)
+    shares = loaded.groupBy(F.spark_partition_id().alias("part")).agg(
+        F.count("*").alias("n"), F.countDistinct("obs_id").alias("ids")
+    )
+    return shares.agg(
+        F.sum("n").alias("n_lines"),
+        F.sum("ids").alias("n_ids"),
+        (F.count("*") >= LOAD_PARTITIONS).alias("enough"),
+        (F.max("n") <= 2 * F.min("n")).alias("even"),
+    )
+
+
 def q_normalize_lines(spark, sf_dir):
     return _lines(spark, sf_dir)
 
@@ -133,8 +166,9 @@ def q_preview_k(spark, sf_dir):
 
 
 def q_row_count_check(spark, sf_dir):
+    """Lines that came back from text files against the rows of the table they were made of."""
     expected = spark.read.parquet(f"{sf_dir}/events.parquet").count()
-    return lines.row_count_check(_lines(spark, sf_dir), expected)
+    return lines.row_count_check(q_load_lines(spark, sf_dir), expected)
 
 
 def _q_parse(source):
@@ -181,6 +215,27 @@ def q_split_counts(spark, sf_dir):
     return splits.split_counts(splits.hash_split(_lines(spark, sf_dir)))
 
 
+def q_cached_splits(spark, sf_dir):
+    with splits.CachedSplits(_observations(spark, sf_dir)) as parts:
+        counted = parts.counts().collect()
+    return spark.createDataFrame(counted, "split string, n bigint, is_cached boolean")
+
+
+def q_encoded_store(spark, sf_dir):
+    """Encoded rows written by split and bucket, and read again."""
+    table = store.write_encoded(_ohe(spark, sf_dir)[0])
+    return profile.explode_encoded(store.read_encoded(spark, table)).select("obs_id", "split", "idx", "val")
+
+
+def q_encoded_store_join(spark, sf_dir):
+    """Two stored encodings of the validation rows side by side, joined bucket by bucket."""
+    sides = []
+    for name, encoded in (("ohe", _ohe(spark, sf_dir)[0]), ("hashed", _hashed(spark, sf_dir))):
+        rows = store.read_encoded(spark, store.write_encoded(encoded), "validation")
+        sides.append(rows.select("obs_id", F.size("indices").alias(f"nnz_{name}")))
+    return sides[0].join(sides[1], "obs_id")
+
+
 def _q_categories(source):
     return lambda spark, sf_dir: profile.categories_per_feature(
         observations.explode_features(_observations(spark, sf_dir, source))
@@ -204,6 +259,18 @@ def _q_encode_ohe(source):
     return lambda spark, sf_dir: profile.explode_encoded(_ohe(spark, sf_dir, source)[0]).select("obs_id", "idx", "val")
 
 
+def _q_encode_ohe_ml(*names):
+    """As encode_ohe, by pyspark.ml stages; rows of the given splits, or all."""
+
+    def query(spark, sf_dir):
+        rows = _observations(spark, sf_dir)
+        model = mlencode.fit_ml_encoder(_of(rows, "train"))
+        encoded = vectors.from_vectors(mlencode.encode_ml(_of(rows, *names) if names else rows, model))
+        return profile.explode_encoded(encoded).select("obs_id", "idx", "val")
+
+    return query
+
+
 def q_encode_ohe_unseen(spark, sf_dir):
     rest = _of(_observations(spark, sf_dir, "orders"), "validation", "test")
     encoded = onehot.encode_ohe(rest, _dictionary(spark, sf_dir, "orders"))
@@ -319,6 +386,15 @@ def q_predict_proba_hashed(spark, sf_dir):
     return _rounded(scored.select("obs_id", "label", "p"), "p")
 
 
+def q_predict_proba_ml(spark, sf_dir):
+    """As predict_proba, by a pyspark.ml model that was given the weights."""
+    encoded, dictionary = _ohe(spark, sf_dir)
+    dimension = dictionary.count()
+    model = vectors.to_ml_model(_fixed_model(dictionary), INTERCEPT, dimension)
+    scored = model.transform(vectors.to_vectors(encoded, dimension))
+    return _rounded(scored.select("obs_id", "label", vectors.positive_probability().alias("p")), "p")
+
+
 def q_prediction_sum(spark, sf_dir):
     return _rounded(scoring.prediction_sum(_scored(spark, sf_dir)), "sum_p")
 
@@ -340,28 +416,25 @@ def q_roc_curve(spark, sf_dir):
     return _rounded(roc.roc_curve(_ranked_input(spark, sf_dir)), "tpr", "fpr")
 
 
-def _q_gd(iterations, **limits):
+def _q_fit(iterations, tol=descent.TOLERANCE, setting=FIT, **options):
+    """Weights of one model fitted on the one-hot training rows, the intercept under an index of its own."""
+
     def query(spark, sf_dir):
         encoded, dictionary = _ohe(spark, sf_dir)
-        dimension = dictionary.count()
-        # the all-DataFrame path, with every step run
         fitted = descent.fit_sgd(
-            _of(encoded, "train"), dimension, [FIT], iterations, tol=0.0, broadcast_parameters=0, **limits
+            _of(encoded, "train"), dictionary.count(), [setting], iterations, tol, **options
         )
-        return _with_intercept(spark, fitted)
+        if not options.get("intercept", True):
+            return _rounded(fitted.model(), "weight")
+        bias = spark.createDataFrame([(descent.BIAS_INDEX, fitted.intercepts[0])], "idx bigint, weight double")
+        return _rounded(fitted.model().unionByName(bias), "weight")
 
     return query
 
 
-def _with_intercept(spark: SparkSession, fitted: descent.Fitted) -> DataFrame:
-    bias = spark.createDataFrame([(descent.BIAS_INDEX, fitted.intercepts[0])], "idx bigint, weight double")
-    return _rounded(fitted.model().unionByName(bias), "weight")
-
-
-def q_fit_sgd(spark, sf_dir):
-    encoded, dictionary = _ohe(spark, sf_dir)
-    fitted = descent.fit_sgd(_of(encoded, "train"), dictionary.count(), [FIT], FIT_ITERATIONS)
-    return _with_intercept(spark, fitted)
+def _q_gd(iterations, **options):
+    """The all-DataFrame path, with every step run."""
+    return _q_fit(iterations, 0.0, broadcast_parameters=0, **options)
 
 
 def _grid_fixed(spark, sf_dir, settings):
@@ -435,6 +508,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "load_lines": q_load_lines,
         "load_lines_ids": q_load_lines_ids,
+        "load_lines_partitions": q_load_lines_partitions,
         "normalize_lines": q_normalize_lines,
         "preview_k": q_preview_k,
         "row_count_check": q_row_count_check,
@@ -445,6 +519,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "hash_split": q_hash_split,
         "random_split": q_random_split,
         "split_counts": q_split_counts,
+        "cached_splits": q_cached_splits,
         "categories_per_feature": _q_categories("events"),
         "categories_per_feature_orders": _q_categories("orders"),
         "categories_per_feature_documents": q_categories_documents,
@@ -455,6 +530,10 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "encode_ohe_orders": _q_encode_ohe("orders"),
         "encode_ohe_shuffled": q_encode_ohe_shuffled,
         "encode_ohe_unseen": q_encode_ohe_unseen,
+        "encode_ohe_ml": _q_encode_ohe_ml(),
+        "encode_ohe_ml_unseen": _q_encode_ohe_ml("validation", "test"),
+        "encoded_store": q_encoded_store,
+        "encoded_store_join": q_encoded_store_join,
         "unseen_features": q_unseen_features,
         "unseen_features_shuffled": q_unseen_features_shuffled,
         "nnz_per_row": q_nnz_per_row,
@@ -478,6 +557,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "predict_proba": q_predict_proba,
         "predict_proba_shuffled": q_predict_proba_shuffled,
         "predict_proba_hashed": q_predict_proba_hashed,
+        "predict_proba_ml": q_predict_proba_ml,
         "prediction_sum": q_prediction_sum,
         "evaluate_logloss": q_evaluate_logloss,
         "bottom_k_weights": q_bottom_k_weights,
@@ -487,7 +567,13 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gd_step_1": _q_gd(1),
         "gd_step_3": _q_gd(3),
         "gd_step_shuffled": _q_gd(2, broadcast_bytes=0),
-        "fit_sgd": q_fit_sgd,
+        "fit_sgd": _q_fit(FIT_ITERATIONS),
+        "fit_sgd_l1": _q_fit(SHORT_ITERATIONS, setting=SPARSE),
+        "fit_sgd_unregularised": _q_fit(SHORT_ITERATIONS, setting=FREE),
+        "fit_sgd_no_intercept": _q_fit(SHORT_ITERATIONS, intercept=False),
+        "fit_sgd_batches": _q_fit(BATCH_ITERATIONS, batches=HALF),
+        "gd_step_l1_shuffled": _q_gd(2, setting=SPARSE, intercept=False, broadcast_bytes=0),
+        "gd_step_batches_shuffled": _q_gd(2, batches=HALF, broadcast_bytes=0),
         "grid_search": q_grid_search,
         "grid_evaluate": q_grid_evaluate,
         "grid_best": q_grid_best,

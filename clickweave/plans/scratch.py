@@ -48,6 +48,13 @@ def materialize(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files of a folder."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()).getContentSummary(target).getLength()
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a table written by :func:`materialize` that nothing reads any more."""
     context = spark.sparkContext

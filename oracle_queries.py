@@ -150,42 +150,79 @@ FROM (
 # ------------------------------------------------------------------ gradient descent
 
 
-def descent(encoded: str, split: str, dimension: str, models: list[tuple[float, float]], iterations: int, tol: float):
-    """CTEs ending in ``fitted(model_id, w, steps)``; w is a list with the intercept last.
+def _mixed(x: str) -> str:
+    """32 bits spread over all places, as the row draws of mini-batches do."""
+    for _ in range(2):
+        x = f"(xor({x}, {x} >> 16) * 73244475 & 4294967295)"
+    return f"xor({x}, {x} >> 16)"
+
+
+def descent(
+    encoded: str,
+    split: str,
+    dimension: str,
+    models: list[tuple[float, float]],
+    iterations: int,
+    tol: float,
+    reg_type: str | None = "l2",
+    intercept: bool = True,
+    fraction: float = 1.0,
+):
+    """CTEs ending in ``fitted(model_id, w, steps)``; w is a list with the intercept, if there is one, last.
 
     The state of all models is one row per model; a model that has converged
     stops producing rows.
     """
     cells = ", ".join(f"({k}, {s!r}::DOUBLE, {r!r}::DOUBLE)" for k, (s, r) in enumerate(models))
+    bias = f"UNION ALL SELECT obs_id, label, d, 1 FROM labelled, dim WHERE split = '{split}'" if intercept else ""
+    eta, g = "step / sqrt(i + 1)", "coalesce(g, 0) / n"
+    new = {
+        "l2": f"x * (1 - {eta} * reg) - {eta} * {g}",
+        "l1": f"sign(x - {eta} * {g}) * greatest(abs(x - {eta} * {g}) - {eta} * reg, 0)",
+        None: f"x - {eta} * {g}",
+    }[reg_type]
+    size = f"size AS (SELECT count(*) AS n FROM labelled WHERE split = '{split}')"
+    drawn, sizes = "true", "size"
+    if fraction < 1:
+        size = f"""draws AS MATERIALIZED (
+  SELECT obs_id, CAST('0x' || substr(md5('batch:42:' || CAST(obs_id AS VARCHAR)), 1, 8) AS BIGINT) AS base
+  FROM labelled WHERE split = '{split}'),
+batch AS MATERIALIZED (
+  SELECT turn, obs_id FROM (
+    SELECT k AS turn, obs_id, xor(base, {_mixed("k")}) AS bits FROM draws, range(1, {iterations + 1}) AS steps(k))
+  WHERE {_mixed("bits")} < {round(fraction * 2**32)}),
+sizes AS MATERIALIZED (SELECT turn, count(*) AS n FROM batch GROUP BY turn)"""
+        drawn = "EXISTS (SELECT 1 FROM batch WHERE turn = state.i + 1 AND batch.obs_id = entries.obs_id)"
+        sizes = "sizes"
     return f"""
 dim AS (SELECT {dimension} AS d),
 entries AS MATERIALIZED (
-  SELECT obs_id, label, idx, val FROM {encoded} WHERE split = '{split}'
-  UNION ALL SELECT obs_id, label, d, 1 FROM labelled, dim WHERE split = '{split}'),
-size AS (SELECT count(*) AS n FROM labelled WHERE split = '{split}'),
+  SELECT obs_id, label, idx, val FROM {encoded} WHERE split = '{split}' {bias}),
+{size},
 cells(model_id, step, reg) AS (VALUES {cells}),
 gd(model_id, step, reg, i, w, done) AS (
   SELECT model_id, step, reg, 0,
-    list_concat(list_transform(range((SELECT d FROM dim)), lambda x: 0::DOUBLE), [1::DOUBLE]), false
+    list_concat(list_transform(range((SELECT d FROM dim)), lambda x: 0::DOUBLE), [{"1::DOUBLE" if intercept else ""}]),
+    false
   FROM cells
   UNION ALL
   SELECT model_id, step, reg, i, w, i > 1 AND {tol!r} > 0
     AND sqrt(list_sum(list_transform(list_zip(w, old), lambda x: (x[1] - x[2]) * (x[1] - x[2]))))
       < {tol!r} * greatest(sqrt(list_sum(list_transform(w, lambda x: x * x))), 1)
   FROM (
-    SELECT model_id, step, reg, i + 1 AS i, list(x ORDER BY pos) AS old,
-      list(x * (1 - step / sqrt(i + 1) * reg) - step / sqrt(i + 1) * coalesce(g, 0) / n ORDER BY pos) AS w
+    SELECT model_id, step, reg, i + 1 AS i, list(x ORDER BY pos) AS old, list({new} ORDER BY pos) AS w
     FROM (
       WITH state AS (
         SELECT model_id, step, reg, i, unnest(w) AS x, unnest(range(len(w))) AS pos FROM gd
         WHERE NOT done AND i < {iterations}),
       margins AS (
         SELECT obs_id, model_id, any_value(label) AS label, sum(val * x) AS m
-        FROM entries JOIN (SELECT model_id, pos, x FROM state) ON idx = pos GROUP BY obs_id, model_id),
+        FROM entries JOIN state ON idx = pos WHERE {drawn} GROUP BY obs_id, model_id),
       gradient AS (
         SELECT model_id AS m_id, idx, sum(val * (1 / (1 + exp(-m)) - margins.label)) AS g
         FROM entries JOIN margins ON entries.obs_id = margins.obs_id GROUP BY ALL)
-      SELECT * FROM state LEFT JOIN gradient ON model_id = m_id AND pos = idx, size)
+      SELECT * FROM state LEFT JOIN gradient ON model_id = m_id AND pos = idx
+      JOIN {sizes} ON {"turn = state.i + 1" if fraction < 1 else "true"})
     GROUP BY model_id, step, reg, i)),
 fitted AS (
   SELECT model_id, step, reg, max(i) AS steps, arg_max(w, i) AS w FROM gd GROUP BY model_id, step, reg)"""
@@ -196,8 +233,8 @@ SELECT CASE WHEN pos = d THEN -1 ELSE pos END AS idx, round(x, 6) AS weight
 FROM (SELECT unnest(w) AS x, unnest(range(len(w))) AS pos FROM fitted), dim"""
 
 
-def fit_ohe(iterations: int, tol: float) -> str:
-    gd = descent("enc", "train", "(SELECT count(*) FROM dict)", [(10.0, 1e-6)], iterations, tol)
+def fit_ohe(iterations: int, tol: float, model: tuple[float, float] = (10.0, 1e-6), **kind) -> str:
+    gd = descent("enc", "train", "(SELECT count(*) FROM dict)", [model], iterations, tol, **kind)
     return query("events", OBSERVATIONS, DICTIONARY, OHE, gd, select=WEIGHTS, recursive=True)
 
 
@@ -284,6 +321,9 @@ ORACLES = {
         "events", select="SELECT obs_id, replace(raw, chr(9), ',') AS line FROM lines ORDER BY obs_id LIMIT 5"
     ),
     "load_lines_ids": query("events", select="SELECT count(*) AS n_lines, count(*) AS n_ids FROM lines"),
+    "load_lines_partitions": query(
+        "events", select="SELECT count(*) AS n_lines, count(*) AS n_ids, true AS enough, true AS even FROM lines"
+    ),
     "row_count_check": query(
         "events",
         select="""SELECT count(*) AS actual, (SELECT count(*) FROM events) AS expected,
@@ -300,6 +340,9 @@ ORACLES = {
     "explode_features_orders": parsed("orders", EXPLODE),
     "hash_split": parsed("events", "SELECT obs_id, split FROM obs"),
     "split_counts": parsed("events", "SELECT split, count(*) AS n FROM obs GROUP BY split"),
+    "cached_splits": parsed(
+        "events", "SELECT split, count(*) AS n, true AS is_cached FROM obs GROUP BY split"
+    ),
     "categories_per_feature": parsed("events", CATEGORIES),
     "categories_per_feature_orders": parsed("orders", CATEGORIES),
     "categories_per_feature_documents": parsed("all documents", CATEGORIES),
@@ -310,6 +353,16 @@ ORACLES = {
     "encode_ohe_orders": ohe("orders", ENCODED),
     "encode_ohe_shuffled": ohe("orders", ENCODED),
     "encode_ohe_unseen": ohe("orders", "SELECT obs_id, split, idx, val FROM enc WHERE split <> 'train'"),
+    "encode_ohe_ml": ohe("events", ENCODED),
+    "encode_ohe_ml_unseen": ohe("events", "SELECT obs_id, idx, val FROM enc WHERE split <> 'train'"),
+    "encoded_store": ohe("events", "SELECT obs_id, split, idx, val FROM enc"),
+    "encoded_store_join": query(
+        "events", OBSERVATIONS, DICTIONARY, OHE, hashed(32768).replace("enc AS", "henc AS"),
+        select="""
+SELECT l.obs_id, (SELECT count(*) FROM enc WHERE enc.obs_id = l.obs_id)::INTEGER AS nnz_ohe,
+  (SELECT count(*) FROM henc WHERE henc.obs_id = l.obs_id)::INTEGER AS nnz_hashed
+FROM labelled l WHERE split = 'validation'""",
+    ),
     "unseen_features": ohe("orders", UNSEEN),
     "unseen_features_shuffled": ohe("orders", UNSEEN),
     "nnz_per_row": ohe(
@@ -367,6 +420,7 @@ FROM (SELECT *, value || CAST(feature_id AS VARCHAR) AS feature FROM feats)""",
     "encode_hashed_collisions": query("events", OBSERVATIONS, hashed(7), select=ENCODED),
     "predict_proba": fixed_scored("SELECT obs_id, label, round(p, 6) AS p FROM scored"),
     "predict_proba_shuffled": fixed_scored("SELECT obs_id, label, round(p, 6) AS p FROM scored"),
+    "predict_proba_ml": fixed_scored("SELECT obs_id, label, round(p, 6) AS p FROM scored"),
     "predict_proba_hashed": query(
         "orders", OBSERVATIONS, hashed(32768), FIXED_SCORES,
         select="SELECT obs_id, label, round(p, 6) AS p FROM scored",
@@ -388,6 +442,12 @@ FROM dict ORDER BY weight, idx LIMIT 5""",
     "gd_step_3": fit_ohe(3, 0.0),
     "gd_step_shuffled": fit_ohe(2, 0.0),
     "fit_sgd": fit_ohe(50, 1e-3),
+    "fit_sgd_l1": fit_ohe(20, 1e-3, (10.0, 1e-3), reg_type="l1"),
+    "fit_sgd_unregularised": fit_ohe(20, 1e-3, reg_type=None),
+    "fit_sgd_no_intercept": fit_ohe(20, 1e-3, intercept=False),
+    "fit_sgd_batches": fit_ohe(10, 1e-3, fraction=0.5),
+    "gd_step_l1_shuffled": fit_ohe(2, 0.0, (10.0, 1e-3), reg_type="l1", intercept=False),
+    "gd_step_batches_shuffled": fit_ohe(2, 0.0, fraction=0.5),
     "grid_search": search(
         """SELECT CAST(model_id AS INTEGER) AS grid_order, step AS step_size, reg AS reg_param,
   round(log_loss, 6) AS log_loss FROM losses WHERE split = 'validation'"""

@@ -125,3 +125,45 @@ def test_discard(spark, tmp_path):
     scratch.materialize(spark.range(3).toDF("id"), "table", path)
     scratch.discard(spark, path)
     assert not (tmp_path / "table").exists()
+
+
+def write_gzip(spark, path, n):
+    text = spark.range(n).select(F.concat(F.lit("line "), F.col("id").cast("string")).alias("line"))
+    text.coalesce(1).write.option("compression", "gzip").text(path)
+
+
+@pytest.mark.parametrize("partitions", [2, 4, 13])
+def test_one_gzip_stream_is_shared(spark, tmp_path, partitions):
+    write_gzip(spark, f"{tmp_path}/in", 5000)
+    loaded = load_lines(spark, f"{tmp_path}/in", min_partitions=partitions)
+    assert loaded.rdd.getNumPartitions() >= partitions
+    found = loaded.withColumn("part", F.spark_partition_id()).collect()
+    sizes = [sum(r.part == k for r in found) for k in {r.part for r in found}]
+    assert len(sizes) >= partitions and max(sizes) <= 2 * min(sizes)
+    assert len({r.obs_id for r in found}) == 5000 == len({r.line for r in found})
+    # ids are fixed, in the order of the lines
+    again = {r.line: r.obs_id for r in loaded.collect()}
+    assert again == {r.line: r.obs_id for r in found}
+    assert sorted(again, key=again.get) == [f"line {i}" for i in range(5000)]
+
+
+def test_a_long_stream_is_cut_by_bytes_without_a_shuffle(spark, tmp_path):
+    text = spark.range(60000).select(F.concat_ws(" ", *[F.md5((F.col("id") * k).cast("string")) for k in range(1, 5)]))
+    text.coalesce(1).write.option("compression", "gzip").text(f"{tmp_path}/in")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        loaded = load_lines(spark, f"{tmp_path}/in", min_partitions=2, block_bytes=1 << 20)
+        assert "Exchange" not in loaded._jdf.queryExecution().executedPlan().toString()
+        parts = loaded.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(parts) >= 4 and max(r["count"] for r in parts) < 30000
+        assert sum(r["count"] for r in parts) == 60000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_staging_where_asked(spark, tmp_path):
+    write_gzip(spark, f"{tmp_path}/in", 10)
+    for partitions, name in ((1, "one"), (3, "three")):
+        loaded = load_lines(spark, f"{tmp_path}/in", stage_path=f"{tmp_path}/{name}", min_partitions=partitions)
+        assert loaded.count() == 10 and all(f"/{name}/" in f for f in loaded.inputFiles())
