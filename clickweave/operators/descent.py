@@ -64,7 +64,7 @@ BROADCAST_PARAMETERS = 1 << 22
 # gradient numbers one reduce task adds up
 SHARES_PER_REDUCER = 4_000_000
 # fewer rows than this are not worth a task of their own
-ROWS_PER_TASK = 5_000
+ROWS_PER_TASK = 10_000
 # gradient shares per core
 TASKS_PER_CORE = 2
 # rows and entries of a block of packed rows, and entries that a task works on at once
