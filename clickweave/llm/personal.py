@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +23,7 @@ from clickweave.llm.skipchain import (
     join_edges,
     skip_edges,
 )
-from clickweave.llm.text import LOWER, SpanHashes, byte_set, pieces, words
+from clickweave.llm.text import LOWER, Span, SpanHashes, apart, byte_set, pieces, words
 from clickweave.plans.scratch import discard, materialize, scratch_path
 
 # texts the tagger learns from, those that hash lowest: of texts that may hold personal data, and of the others
@@ -52,12 +51,6 @@ _DIGITS, _NOT_DIGITS = "0123456789", re.compile(r"[^0-9]+")
 _DOUBLED = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
 
 
-class Span(NamedTuple):
-    start: int
-    kind: int
-    end: int
-
-
 def luhn(digits: str) -> bool:
     odd, even = digits[-1::-2], digits[-2::-2]
     return (sum(map(int, odd)) + sum(_DOUBLED[int(d)] for d in even)) % 10 == 0
@@ -376,21 +369,6 @@ def _tag(model: SkipChain, data: np.ndarray, bounds: np.ndarray) -> Iterator[tup
         yield int(found.text[a]), int(labels[a]), int(found.start[a]), int(found.end[b])
 
 
-def _apart(base: list[Span], added: list[Span]) -> list[Span]:
-    """``added`` (in order) without those that overlap a span of ``base`` (by start)."""
-    # the furthest end so far makes one comparison per span enough
-    starts, ends, reach = [s.start for s in base], [], 0
-    for s in base:
-        reach = max(reach, s.end)
-        ends.append(reach)
-    out = []
-    for s in added:
-        before = bisect_left(starts, s.end)
-        if not before or ends[before - 1] <= s.start:
-            out.append(s)
-    return out
-
-
 _SPAN_TYPE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
 
@@ -433,7 +411,7 @@ def find_personal(docs: DataFrame, model: SkipChain | None, *, carry: Sequence[s
                         kind = len(BASE_KINDS) + label - 1
                         added[i].append(Span(int(points[low] - zero), kind, int(points[high] - zero)))
                 for own, more in zip(base, added):
-                    own = sorted(own + _apart(own, more))
+                    own = sorted(own + apart(own, more))
                     spans.append([{"kind": KINDS[s.kind], "start": s.start, "end": s.end} for s in own])
             columns = [*[batch.column(c) for c in kept], pa.array(spans, _SPAN_TYPE)]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "spans"])

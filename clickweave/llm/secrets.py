@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +12,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickweave.llm.crf import Crf, fit_crf, viterbi
-from clickweave.llm.text import LOWER, Words, byte_set, pieces, word_hashes, words
+from clickweave.llm.text import LOWER, Span, Words, apart, byte_set, pieces, word_hashes, words
+from clickweave.plans.scratch import discard, materialize, scratch_path
 
-# documents the tagger is trained on, those whose ids hash lowest; of each, the surroundings of its
-# secrets and one more stretch
-SAMPLE_DOCS = 2000
+# different texts the tagger is trained on, half of them such that may hold a secret, those that hash
+# lowest; of each, the surroundings of some secrets, evenly spread over it, and one more stretch
+SAMPLE_DOCS = 4000
+SECRETS_PER_TEXT = 8
 STRETCH = 24
+STEPS = 150
 
 KINDS = ("assign", "access", "hex", "tagged")
 BEGIN, INSIDE, OUTSIDE = 0, 1, 2
@@ -31,6 +33,9 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _ASSIGN_LENGTH, _ACCESS_LENGTH, _HEX_LENGTH = 12, 18, 16
 
+# texts that may match
+_LIKELY = r"(?i)(?:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{16}"
+
 _NOT_HEX = ~byte_set((0x30, 0x39), (0x61, 0x66))
 # tokens are runs of the characters of keys, and of all that is not ASCII
 _SEPARATORS = ~byte_set(
@@ -65,12 +70,6 @@ _WIDTHS = [
 ]
 
 
-class Span(NamedTuple):
-    start: int
-    kind: int
-    end: int
-
-
 def _sums(marks: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(marks)))
 
@@ -147,12 +146,16 @@ def _pattern_spans(text: str) -> list[tuple[Span, int]]:
 
 
 class _Scan:
-    """Base spans of a piece, in bytes of the piece, per text."""
+    """Base spans of a piece, and where the secrets in them are, per text; time is linear in the piece."""
 
     def __init__(self, data: np.ndarray, bounds: np.ndarray):
         self.data, self.bounds = data, bounds
+        begins = (data & 0xC0) != 0x80
+        # code points before every byte, and the first byte of every code point
+        self.points = _sums(begins)
+        first_bytes = np.append(np.flatnonzero(begins), len(data))
         binding = np.diff(_sums(_BINDING[data])[bounds])
-        # spans of secrets alone, for the tagger: start, end
+        # spans of secrets alone, for the tagger: start, end in bytes
         self.secrets: dict[int, list[tuple[int, int]]] = {}
         # spans in code points of each text
         self.spans: dict[int, list[Span]] = {}
@@ -161,76 +164,97 @@ class _Scan:
             a, b = int(bounds[i]), int(bounds[i + 1])
             if not binding[i] and raw.find(b"AKIA", a, b) < 0:
                 continue
-            text = raw[a:b].decode()
-            for span, secret in _pattern_spans(text):
+            zero = self.points[a]
+            for span, secret in _pattern_spans(raw[a:b].decode()):
                 self.spans.setdefault(int(i), []).append(span)
-                low = a + len(text[:secret].encode())
-                self.secrets.setdefault(int(i), []).append((low, low + len(text[secret : span.end].encode())))
+                self.secrets.setdefault(int(i), []).append(
+                    (int(first_bytes[zero + secret]), int(first_bytes[zero + span.end]))
+                )
         runs = _hex_runs(data, bounds)
-        for i, low, high in zip(runs.text.tolist(), runs.start.tolist(), runs.end.tolist()):
-            self.spans.setdefault(i, []).append(Span(self.point(i, low), 2, self.point(i, high)))
+        zero = self.points[bounds[runs.text]]
+        starts, ends = self.points[runs.start] - zero, self.points[runs.end] - zero
+        for i, low, high, start, end in zip(*[x.tolist() for x in (runs.text, runs.start, runs.end, starts, ends)]):
+            self.spans.setdefault(i, []).append(Span(start, 2, end))
             self.secrets.setdefault(i, []).append((low, high))
 
     def point(self, i: int, byte: int) -> int:
         """Code points of text ``i`` before a byte."""
-        part = self.data[self.bounds[i] : byte]
-        return int(((part & 0xC0) != 0x80).sum())
+        return int(self.points[byte] - self.points[self.bounds[i]])
 
     def labels(self, found: Words) -> np.ndarray:
         """Tags that the base spans give to tokens."""
         labels = np.full(len(found.start), OUTSIDE)
         for i, secrets in self.secrets.items():
-            low, high = found.first[i], found.first[i + 1]
-            for a, b in sorted(secrets, key=lambda s: (s[0], -s[1])):
-                own = low + np.flatnonzero((found.start[low:high] < b) & (found.end[low:high] > a))
-                fresh = own[labels[own] == OUTSIDE]
+            low, high = int(found.first[i]), int(found.first[i + 1])
+            starts, ends = found.start[low:high], found.end[low:high]
+            secrets = sorted(secrets, key=lambda s: (s[0], -s[1]))
+            # tokens neither overlap nor nest, so those of a secret are neighbours
+            heads = low + np.searchsorted(ends, [a for a, _ in secrets], "right")
+            tails = low + np.searchsorted(starts, [b for _, b in secrets], "left")
+            for a, b in zip(heads.tolist(), tails.tolist()):
+                fresh = a + np.flatnonzero(labels[a:b] == OUTSIDE)
                 labels[fresh] = INSIDE
                 if len(fresh) and (fresh[0] == low or labels[fresh[0] - 1] == OUTSIDE):
                     labels[fresh[0]] = BEGIN
         return labels
 
 
-def fit_tagger(docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS, stretch: int = STRETCH) -> Crf | None:
-    """Train the tagger on what the patterns find in ``docs(doc_id, text)``.
+def fit_tagger(
+    docs: DataFrame, *, sample_docs: int = SAMPLE_DOCS, stretch: int = STRETCH, steps: int = STEPS
+) -> Crf | None:
+    """Train the tagger on what the patterns find in ``docs(text)``.
 
-    ``sample_docs`` documents are read, those whose ids hash lowest; token
-    features of the stretches around their secrets, and of one stretch of every
-    document, reach the driver.  None if there is nothing to learn from.
+    Different texts are drawn by their hash over all rows, half of
+    ``sample_docs`` from those that may hold a secret, half from the others;
+    copies count once.  Token features of the stretches around some of their
+    secrets, and of one stretch of every text, reach the driver.  None if there
+    is nothing to learn from.
     """
-    chosen = (
-        docs.where("doc_id is not null")
-        .select("doc_id")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample_docs)
-        .distinct()
-    )
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "secret-texts")
+    # a text counts once however many rows have it, and copies are combined in the map task
+    hashed = docs.where("text is not null").select(
+        F.xxhash64("text").alias("h"), F.col("text").rlike(_LIKELY).alias("likely")
+    ).distinct()
+    hashed = materialize(hashed, "secret-texts", path)
+    drawn = [
+        hashed.where(F.col("likely") == kind).orderBy(F.xxhash64("h"), "h").limit(sample_docs // 2).select("h")
+        for kind in (True, False)
+    ]
     # bounded by sample_docs
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
+    chosen = F.broadcast(drawn[0].unionByName(drawn[1]))
+    rows = docs.select("text", F.xxhash64("text").alias("h")).join(chosen, "h", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blobs = []
+            keys, blobs = [], []
+            hashes = batch.column("h").to_pylist()
             for piece in pieces(batch.column("text")):
                 found = words(piece.data, piece.bounds, _SEPARATORS)
                 labels = _Scan(piece.data, piece.bounds).labels(found)
                 table = np.stack([*token_features(piece.data, piece.bounds, found), labels]).astype(np.int16)
-                for low, high in zip(found.first[:-1], found.first[1:]):
+                for i, (low, high) in enumerate(zip(found.first[:-1], found.first[1:])):
                     if low == high:
                         continue
                     middle = low + (high - low) // 2
-                    for at in [middle, *(low + np.flatnonzero(labels[low:high] == BEGIN))]:
+                    begins = low + np.flatnonzero(labels[low:high] == BEGIN)
+                    some = begins[:: max(1, len(begins) // SECRETS_PER_TEXT)][:SECRETS_PER_TEXT]
+                    for at in [middle, *some]:
                         a, b = max(low, at - stretch // 2), min(high, at + stretch // 2)
+                        keys.append(hashes[piece.first + i])
                         blobs.append(table[:, a:b].T.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary())], ["x"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(blobs, pa.binary())], ["h", "x"])
 
-    found = sorted(bytes(r["x"]) for r in rows.select("text").mapInArrow(run, "x binary").collect())
+    # rows that repeat a text have the same stretches
+    stretches = rows.select("h", "text").mapInArrow(run, "h bigint, x binary").distinct()
+    found = sorted(bytes(r["x"]) for r in stretches.collect())
+    discard(spark, path)
     if not found:
         return None
     columns = len(_WIDTHS) + 1
     table = np.frombuffer(b"".join(found), np.int16).reshape(-1, columns).astype(np.int64)
     first = np.concatenate(([0], np.cumsum([len(x) // (2 * columns) for x in found])))
     features = [table[:, i] for i in range(len(_WIDTHS))]
-    return fit_crf(features, _WIDTHS, table[:, -1], first, 3)
+    return fit_crf(features, _WIDTHS, table[:, -1], first, 3, steps=steps)
 
 
 def _tagged(model: Crf, data: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -258,9 +282,10 @@ def find_secrets(docs: DataFrame, model: Crf | None, *, carry: Sequence[str] = (
     Returns doc (a struct of the columns named in ``carry``) and spans: kind
     (assign, access or hex for the fixed patterns, tagged for what the tagger
     adds outside of those), start and end in code points, by start, then kind.
-    A null or empty text has none; ties of start keep the order of kinds;
-    columns not carried are ignored; an empty table gives no rows.  Without a
-    model only the patterns are looked for.
+    A null or empty text has none; a very long text is worked on whole, in time
+    linear in it; rows that repeat have a row each; ties of start keep the order
+    of kinds; columns not carried are ignored; an empty table gives no rows.
+    Without a model only the patterns are looked for.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rest = [c for c in carry if c != "text"]
@@ -278,11 +303,10 @@ def find_secrets(docs: DataFrame, model: Crf | None, *, carry: Sequence[str] = (
                 added: dict[int, list[Span]] = {}
                 if shared.value is not None:
                     for i, low, high in _tagged(shared.value, piece.data, piece.bounds):
-                        start, end = scan.point(i, low), scan.point(i, high)
-                        if all(end <= s.start or s.end <= start for s in scan.spans.get(i, ())):
-                            added.setdefault(i, []).append(Span(start, 3, end))
+                        added.setdefault(i, []).append(Span(scan.point(i, low), 3, scan.point(i, high)))
                 for i in range(piece.last - piece.first):
-                    own = sorted(scan.spans.get(i, []) + added.get(i, []))
+                    base = sorted(scan.spans.get(i, []))
+                    own = sorted(base + apart(base, added.get(i, [])))
                     spans.append([{"kind": KINDS[s.kind], "start": s.start, "end": s.end} for s in own])
             columns = [*[batch.column(c) for c in kept], pa.array(spans, _SPAN_TYPE)]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "spans"])

@@ -8,6 +8,7 @@ tasks, retries and machines.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -80,8 +81,10 @@ class Piece(NamedTuple):
     bounds: np.ndarray
 
 
-def pieces(column: pa.Array | pa.ChunkedArray, size: int = PIECE_BYTES) -> Iterator[Piece]:
-    """Cut a text column into buffers of about ``size`` bytes; null counts as empty."""
+def pieces(
+    column: pa.Array | pa.ChunkedArray, size: int = PIECE_BYTES, rows: int | None = None
+) -> Iterator[Piece]:
+    """Cut a text column into buffers of about ``size`` bytes, and of at most ``rows`` texts; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.fill_null("").cast(pa.large_binary())
@@ -93,7 +96,7 @@ def pieces(column: pa.Array | pa.ChunkedArray, size: int = PIECE_BYTES) -> Itera
     first = 0
     while first < len(column):
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1)
-        last = min(last, len(column))
+        last = min(last, len(column), first + rows if rows else len(column))
         bounds = offsets[first : last + 1] - offsets[first]
         yield Piece(first, last, data[offsets[first] : offsets[last]], bounds)
         first = last
@@ -155,3 +158,26 @@ def window_hashes(hashes: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndar
     np.cumsum(hashes * power, out=sums[1:])
     at = np.flatnonzero(text[:count] == text[n - 1 :])
     return mix((sums[at + n] - sums[at]) * inverse[at] + np.uint64(n)), at
+
+
+class Span(NamedTuple):
+    """Part of a text in code points, and the number of its kind."""
+
+    start: int
+    kind: int
+    end: int
+
+
+def apart(base: list[Span], added: list[Span]) -> list[Span]:
+    """``added`` (in order) without those that overlap a span of ``base`` (by start)."""
+    # the furthest end so far makes one comparison per span enough
+    starts, ends, reach = [s.start for s in base], [], 0
+    for s in base:
+        reach = max(reach, s.end)
+        ends.append(reach)
+    out = []
+    for s in added:
+        before = bisect_left(starts, s.end)
+        if not before or ends[before - 1] <= s.start:
+            out.append(s)
+    return out
