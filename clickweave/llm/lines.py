@@ -115,14 +115,18 @@ def _texts(docs: DataFrame, repeated: DataFrame, rolling: int, divisor: int, bro
             row, number, digest, first, body = [], [], [], [], []
             found = batch.column("found").to_pylist()
             for i, (data, table) in enumerate(_spans(batch, rolling, divisor)):
-                for f in {c["chunk"]: c for c in found[i]}.values():
+                for f in found[i]:
                     # rows that repeat an id may have other chunks
-                    if f["chunk"] < len(table):
-                        row.append(i)
-                        number.append(f["chunk"])
-                        digest.append(f["digest"])
-                        first.append(f["first"])
-                        body.append(data[table[f["chunk"], 0] : table[f["chunk"], 1]].tobytes())
+                    if f["chunk"] >= len(table):
+                        continue
+                    text = data[table[f["chunk"], 0] : table[f["chunk"], 1]].tobytes()
+                    if hashlib.blake2b(text, digest_size=16).digest() != f["digest"]:
+                        continue
+                    row.append(i)
+                    number.append(f["chunk"])
+                    digest.append(f["digest"])
+                    first.append(f["first"])
+                    body.append(text)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(row, pa.int64())),
@@ -170,9 +174,13 @@ def line_dedup(
     groups = materialize(groups.where("n > 1"), "line-groups")
     repeated = spread_lookup(found, groups, "digest", "doc_id").where("n is not null")
     first = F.col("keeper") == F.struct("doc_id", "chunk")
-    repeated = repeated.select("doc_id", "chunk", "digest", first.alias("first"))
+    # rows that repeat a document say the same of its chunks
+    repeated = repeated.select("doc_id", "chunk", "digest", first.alias("first")).distinct()
     path = scratch_path(docs.sparkSession, "line-texts")
-    bodies = materialize(_texts(known, repeated, rolling_lines, divisor, broadcast_bytes), "line-texts", path)
+    bodies = _texts(known, repeated, rolling_lines, divisor, broadcast_bytes)
+    # equal chunks of rows that repeat a document are compared once, and combined before they move
+    bodies = bodies.groupBy("doc_id", "chunk", "digest", "first").agg(F.min("body").alias("body"))
+    bodies = materialize(bodies, "line-texts", path)
     keepers = bodies.where("first").groupBy("digest").agg(F.min("body").alias("kept_body"))
     compared = spread_lookup(bodies.where("not first"), keepers, "digest", "doc_id")
     gone = materialize(
