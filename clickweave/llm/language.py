@@ -20,6 +20,8 @@ UNDETERMINED = "und"
 # rows a model is fitted on: at most so many in all, and so many of a language
 SAMPLE_ROWS = 8000
 SAMPLE_ROWS_PER_LANGUAGE = 1000
+# languages that are learned, the most frequent ones: the number of duels grows with its square
+LANGUAGES = 64
 
 # classes of hashes; how many times the wanted rows of a language are looked at
 _DRAWS = 1 << 31
@@ -28,6 +30,8 @@ _SURPLUS = 4
 _SLOT_BITS = 12
 _GRAMS = (1, 2, 3)
 _PIECE_BYTES = 1 << 19
+# a text takes a vector of 32 KB, however short it is
+_PIECE_ROWS = 256
 _MARGIN_SCALE = 4.0
 
 # fixed values: language families by ISO 639-1 code; a language not listed is a family of its own
@@ -142,18 +146,22 @@ def fit_languages(
     *,
     sample_rows: int = SAMPLE_ROWS,
     rows_per_language: int = SAMPLE_ROWS_PER_LANGUAGE,
+    languages: int = LANGUAGES,
 ) -> LanguageModel:
     """Learn from ``labelled(doc_id, text, lang)``; rows without a language or text teach nothing.
 
     The model is fitted on at most ``sample_rows`` rows and ``rows_per_language``
     of each language, those that hash lowest by id and text: rows without an id
-    take part like others, and equal rows count once.  Only vectors of fixed
+    take part like others, and equal rows count once.  Of more than ``languages``
+    languages those with most different rows are learned (ties: by name), and
+    texts in the others are taken for one of these.  Only vectors of fixed
     length (8 KB each) reach the driver.  Without rows nothing is ever recognised.
     """
     key = F.xxhash64("doc_id", "text").alias("_key")
     usable = labelled.where("lang is not null and text is not null").select("text", "lang", key)
     counts = usable.groupBy("lang").agg(F.approx_count_distinct("_key").alias("_n"))
-    share = min(rows_per_language, max(2, sample_rows // max(1, counts.count())))
+    counts = counts.orderBy(F.desc("_n"), "lang").limit(min(languages, sample_rows))
+    share = min(rows_per_language, sample_rows // max(1, counts.count()))
     # of each language a few times as many texts as are wanted, by their hash; then exactly those
     draw = F.pmod("_key", F.lit(_DRAWS))
     likely = usable.select("lang", "_key").join(F.broadcast(counts), "lang")
@@ -169,7 +177,7 @@ def fit_languages(
             texts = pc.utf8_lower(batch.column("text"))
             vectors = [
                 v.astype(np.float16).tobytes()
-                for piece in pieces(texts, _PIECE_BYTES)
+                for piece in pieces(texts, _PIECE_BYTES, _PIECE_ROWS)
                 for v in features(piece.data, piece.bounds)
             ]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(vectors, pa.binary())], ["lang", "x"])
@@ -190,8 +198,10 @@ def predict_languages(docs: DataFrame, model: LanguageModel, *, carry: Sequence[
 
     Returns doc (a struct of the columns named in ``carry``), lang_pred and
     score (0 to 1).  A null text, or one without any letter, is ``und`` with
-    score 0.  Whole texts count; nothing but the text is an input.  Columns not
-    carried are ignored; an empty table gives no rows.
+    score 0.  Whole texts count, however long; nothing but the text is an input,
+    so rows that repeat have equal answers; of languages that win equally many
+    duels the one with the clearest duel is taken, then the last by name.
+    Columns not carried are ignored; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rest = [c for c in carry if c != "text"]
@@ -203,7 +213,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel, *, carry: Sequence[
         for batch in batches:
             column = batch.column("text").fill_null("")
             languages, scores = [], []
-            for piece in pieces(pc.utf8_lower(column), _PIECE_BYTES):
+            for piece in pieces(pc.utf8_lower(column), _PIECE_BYTES, _PIECE_ROWS):
                 names, sure = shared.value.predict(features(piece.data, piece.bounds))
                 languages.append(names)
                 scores.append(sure)
