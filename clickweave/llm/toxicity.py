@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from clickweave.llm.linear import fit_logistic, sigmoid
 from clickweave.llm.text import LOWER, Piece, SpanHashes, byte_set, mix, pieces, words
+from clickweave.plans.scratch import discard, materialize, scratch_path
 
 # rows the model is learned from: at most so many of either label, those whose ids hash lowest
 SAMPLE_ROWS_PER_LABEL = 6000
@@ -216,7 +217,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
 
 
-def _lexicons(rows: DataFrame) -> dict[str, np.ndarray]:
+def _lexicons(rows: DataFrame, limit: int) -> dict[str, np.ndarray]:
     """Terms of ``rows(text, toxic)`` that speak for toxicity, in several lexicons of each kind, and the fixed one.
 
     Terms are counted where the rows are; those that enter a lexicon reach the driver.
@@ -230,7 +231,7 @@ def _lexicons(rows: DataFrame) -> dict[str, np.ndarray]:
     b = (clean + 1 + CAUTION * F.sqrt(clean + 1)) / (sizes.get(0, 0) + 1)
     strength = toxic * F.log(F.greatest(a, F.lit(1e-12)) / b)
     best = counts.where(a / (a + b) >= MIN_PRECISION).withColumn("strength", strength).where("strength > 0")
-    best = best.orderBy(F.desc("strength"), "term").limit(TERMS).select("term", "kind").collect()
+    best = best.orderBy(F.desc("strength"), "term").limit(limit).select("term", "kind").collect()
     values = np.array([r["term"] for r in best], dtype=np.int64).view(np.uint64) ^ np.uint64(1 << 63)
     kinds = np.array([r["kind"] for r in best], dtype=np.int64)
     found = {"abuse": _abuse_hashes()}
@@ -244,28 +245,35 @@ def _lexicons(rows: DataFrame) -> dict[str, np.ndarray]:
 
 
 def fit_toxicity(
-    docs: DataFrame, labels: DataFrame, *, rows_per_label: int = SAMPLE_ROWS_PER_LABEL
+    docs: DataFrame, labels: DataFrame, *, rows_per_label: int = SAMPLE_ROWS_PER_LABEL, terms: int = TERMS
 ) -> ToxicityModel:
     """Learn from ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``; null labels teach nothing.
 
-    At most ``rows_per_label`` rows of each label are used, those whose ids hash
-    lowest.  Terms are counted in Spark; the lexicons and each row's hits on
-    them are all that reaches the driver.  Lexicons are drawn from the sample,
-    voters vote on it, the label model weighs the votes, and the classifier is
-    trained on its posterior.  Without rows every score is one half at most.
+    At most ``rows_per_label`` ids of each label are used, those that hash
+    lowest.  An id with several labels is toxic if any of them says so; of an
+    id with several texts the one that hashes lowest teaches.  Terms are counted
+    in Spark; the lexicons, of at most ``terms`` terms that tell most, and each
+    row's hits on them are all that reaches the driver.  Lexicons are drawn from
+    the sample, voters vote on it, the label model weighs the votes, and the
+    classifier is trained on its posterior.  Without rows every score is one
+    half at most.
     """
-    given = labels.where("doc_id is not null and toxic is not null").select(
-        "doc_id", (F.col("toxic") > 0).cast("int").alias("toxic")
+    given = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
+        F.max((F.col("toxic") > 0).cast("int")).alias("toxic")
     )
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = None
     for label in (0, 1):
         part = given.where(F.col("toxic") == label).orderBy(*by_hash).limit(rows_per_label)
         chosen = part if chosen is None else chosen.unionByName(part)
-    # bounded by twice rows_per_label
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen.dropDuplicates(["doc_id"])), "doc_id")
-
-    lexicons = _lexicons(rows)
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # one row of an id: bounded by twice rows_per_label, and combined before it moves
+    lowest = F.min(F.struct(F.xxhash64("text").alias("h"), F.col("text"))).alias("row")
+    rows = rows.groupBy("doc_id", "toxic").agg(lowest).select("toxic", "row.text")
+    path = scratch_path(docs.sparkSession, "toxicity-sample")
+    rows = materialize(rows, "toxicity-sample", path)
+
+    lexicons = _lexicons(rows, terms)
     known = np.unique(np.concatenate(list(lexicons.values())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,6 +293,7 @@ def fit_toxicity(
                 yield pa.RecordBatch.from_arrays(columns, ["toxic", "n", "x"])
 
     found = rows.select("text", "toxic").mapInArrow(run, "toxic int, n bigint, x binary").collect()
+    discard(docs.sparkSession, path)
     none = np.zeros(0)
     if not found:
         return ToxicityModel(none.astype(np.uint64), none, -1.0, none, none)
@@ -301,9 +310,10 @@ def fit_toxicity(
 def score_toxicity(docs: DataFrame, model: ToxicityModel, *, carry: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Toxicity of every row of ``docs(text)``: doc (the columns of ``carry``) and score (0 to 1).
 
-    Whole texts count and nothing but the text is an input.  A null or empty
-    text has the score of a text without any known term.  Columns not carried
-    are ignored; an empty table gives no rows.
+    Whole texts count, however long, and nothing but the text is an input, so
+    rows that repeat have equal scores.  A null or empty text has the score of a
+    text without any known term.  Columns not carried are ignored; an empty
+    table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rest = [c for c in carry if c != "text"]
