@@ -29,6 +29,12 @@ _MARKUP = re.compile(
     r"|</?[a-z][^>]*(?:>|\Z)",
     re.IGNORECASE | re.DOTALL,
 )
+# fixed values: how the foot of a page begins
+_FOOT = re.compile(
+    r"^(?:©|\(c\)\s|copyright\b|imprint\b|impressum\b|privacy policy\b|terms of (?:use|service)\b|powered by\b)"
+    r"|\ball rights reserved\b",
+    re.IGNORECASE,
+)
 _NAMING = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
@@ -42,13 +48,25 @@ _BOXES = frozenset("article blockquote center div main section table tbody td th
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # fixed values: elements that never hold the article
 _ASIDE = frozenset("aside button dialog footer form head menu nav search select".split())
-# fixed values: words in class, id or role that name something beside the article
-_ASIDE_WORDS = frozenset(
-    "ad ads adsense advert advertisement adverts advertising alert banner breadcrumb breadcrumbs comment comments "
-    "complementary consent contentinfo cookie cookies copyright dialog disclaimer discussion disqus footer gdpr "
-    "login masthead menu menus modal nav navbar navigation newsletter notice notices pager pagination popup promo "
-    "promoted promotion related recommended replies reply respond search share sharing sidebar signup social "
-    "sponsor sponsored subscribe toolbar widget widgets".split()
+# fixed values: words in class, id or role that name something beside the article, whatever the page is about
+_FIRM_WORDS = frozenset(
+    "ad ads adsense advert advertisement adverts advertising banner breadcrumb breadcrumbs comment comments consent "
+    "contentinfo cookie cookies disqus gdpr masthead modal nav navbar newsletter pager pagination popup promo "
+    "promoted sidebar signup sponsor sponsored subscribe toolbar widget widgets".split()
+)
+# fixed values: words that name such things too, but may also say what a part of an article is about
+_ASIDE_WORDS = _FIRM_WORDS | frozenset(
+    "alert complementary copyright dialog disclaimer discussion footer login menu menus navigation notice notices "
+    "promotion related recommended replies reply respond search share sharing social".split()
+)
+# fixed values: what stands beside such a word and does not say what it is about: furniture, and mere places
+_FURNITURE = frozenset(
+    "articles bar box button buttons card cards entries form icon icons item items link links list panel posts "
+    "slot stories thread unit".split()
+)
+_PLACES = frozenset(
+    "area block body bottom col column container content group inner inside left main outer page reader readers "
+    "right row section site sticky title top user users wrap wrapper".split()
 )
 _PAGE_HEADER_WORDS = frozenset(["header", "topbar"])
 _HOLDING = frozenset("has have no not show hide with without".split())
@@ -61,8 +79,11 @@ class _Line(NamedTuple):
     text: str
     linked: int
     marked: bool
-    # number of the innermost container around it
+    # numbers of the innermost container around it, and of the one around that
     box: int
+    up: int
+    # number of the element around it whose name may be that of something beside the article; 0 for none
+    doubt: int = 0
 
 
 class _Skip:
@@ -83,24 +104,49 @@ class _Skip:
         return self.name in ("p", "head") and name in _BLOCKS and name != "br"
 
 
-def _named(rest: str, inside: bool) -> set[str]:
-    """Whole names in class, id and role, and outside of an article the last part of a compound class.
+class _Names(NamedTuple):
+    """What class, id and role call an element."""
+
+    # something beside the article, and that for certain
+    aside: bool
+    firm: bool
+    talk: bool
+
 
-    Inside an article an id is an anchor: it says what a section is about.
+_NAMELESS = _Names(False, False, False)
+
+
+def _named(rest: str, inside: bool) -> _Names:
+    """Judge an element by its names.
+
+    A name counts if all its parts are words for things beside the article, or
+    furniture, places and numbers next to such a word.  An id inside an article
+    is an anchor and may say what a section is about: there it takes a firm word,
+    or furniture.  Outside of an article the last part of a class is enough, and
+    headers are those of the page.
     """
-    found: set[str] = set()
+    aside = firm = talk = False
     for kind, *value in _NAMING.findall(rest):
-        kind = kind.lower()
-        if inside and kind == "id":
-            continue
         for token in "".join(value).split():
-            found.add(token.lower())
-            if kind == "class" and not inside:
-                parts = [part.lower() for part in _PARTS.findall(token)]
-                # what an element has is inside of it
-                if parts and not _HOLDING.intersection(parts):
-                    found.add(parts[-1])
-    return found
+            parts = [part.lower() for part in _PARTS.findall(token)]
+            # what an element has is inside of it
+            if not parts or _HOLDING.intersection(parts):
+                continue
+            words = _ASIDE_WORDS.intersection(parts)
+            other = set(parts) - words
+            if "header" in other and ({"page", "site"} & other or not inside):
+                words = words | {"header"}
+            other -= words | _FURNITURE | _PLACES
+            known = bool(words) and all(part.isdigit() for part in other)
+            if known and inside and kind.lower() == "id":
+                known = bool(_FIRM_WORDS & words or _FURNITURE.intersection(parts))
+            if not inside and kind.lower() == "class":
+                known |= parts[-1] in _ASIDE_WORDS | _PAGE_HEADER_WORDS
+            if known:
+                aside = True
+                firm |= bool(_FIRM_WORDS & words) or bool(_FURNITURE.intersection(parts))
+                talk |= bool(_TALK & set(parts)) and not (inside and kind.lower() == "id" and not _FIRM_WORDS & words)
+    return _Names(aside, firm, talk)
 
 
 def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
@@ -109,16 +155,22 @@ def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
     pieces: list[str] = []
     linked = links = articles = seen = 0
     skip: _Skip | None = None
+    # an element inside an article that may not belong to it
+    doubt: _Skip | None = None
+    doubts = 0
     boxes: list[tuple[str, int]] = [("", 0)]
 
+    def around() -> tuple[int, int]:
+        return boxes[-1][1], boxes[-2][1] if len(boxes) > 1 else -1
+
     def gap() -> list[_Line]:
-        return [_Line("", 0, False, boxes[-1][1])] * BLOCK_LINES
+        return [_Line("", 0, False, *around())] * BLOCK_LINES
 
     def end_line() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split())
         if text:
-            lines.append(_Line(text, linked, articles > 0, boxes[-1][1]))
+            lines.append(_Line(text, linked, articles > 0, *around(), doubts if doubt is not None else 0))
         pieces.clear()
         linked = 0
 
@@ -131,7 +183,7 @@ def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
 
     def talk(rest: str) -> bool:
         # the first article is the page's own, whatever it is called
-        return seen > 0 and bool(_named(rest, True) & _TALK)
+        return seen > 0 and _named(rest, True).talk
 
     at = 0
     for m in _MARKUP.finditer(page):
@@ -158,24 +210,31 @@ def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
                 open_ = next((k for k in range(len(boxes) - 1, 0, -1) if boxes[k][0] == name), 0)
                 if open_:
                     del boxes[open_:]
+        if doubt is not None and name == doubt.name and not m["rest"].endswith("/") and doubt.over(closing, name):
+            doubt = None
         if closing:
             if name in ("article", "main"):
                 articles = max(0, articles - 1)
                 lines += gap()
+                doubt = doubt if articles else None
             elif name == "a":
                 links = max(0, links - 1)
             continue
-        words = _named(m["rest"], articles > 0) if m["rest"] else set()
-        aside = name in asides or bool(words & _ASIDE_WORDS)
-        if not articles:
-            aside |= name == "header" or bool(words & _PAGE_HEADER_WORDS)
+        names = _named(m["rest"], articles > 0) if m["rest"] else _NAMELESS
+        aside = name in asides or names.aside or (name == "header" and not articles)
         if aside and name not in _VOID | _KEPT and not m["rest"].endswith("/"):
             if name not in ("article", "main") or talk(m["rest"]):
                 end_line()
-                lines += gap()
-                # a form may be wrapped around the whole page
-                skip = _Skip(name, (name in asides and name != "form") or bool(words & _TALK))
-                continue
+                if articles and name not in asides and not names.firm:
+                    # its text decides whether it belongs to the article
+                    if doubt is None:
+                        doubt = _Skip(name, False)
+                        doubts += 1
+                else:
+                    lines += gap()
+                    # a form may be wrapped around the whole page
+                    skip = _Skip(name, (name in asides and name != "form") or names.talk)
+                    continue
         if name in ("article", "main"):
             lines += gap() if not articles else []
             articles += 1
@@ -186,14 +245,46 @@ def _lines(page: str, asides: frozenset[str] = _ASIDE) -> list[_Line]:
             boxes.append((name, m.start() + 1))
     take(page[at:])
     end_line()
-    return lines
+    return _settled(lines)
+
+
+def _settled(lines: list[_Line]) -> list[_Line]:
+    """Without the doubtful parts of an article, but for one that rises and holds half of its text or more."""
+    held: dict[int, int] = {}
+    for line in lines:
+        if line.marked:
+            held[line.doubt] = held.get(line.doubt, 0) + len(line.text)
+    whole = sum(held.values())
+    gone = {k for k, size in held.items() if k and (2 * size < whole or size <= SURGE_CHARS)}
+    out: list[_Line] = []
+    for line in lines:
+        if line.doubt not in gone:
+            out.append(line)
+        elif not out or out[-1].text:
+            out += [_Line("", 0, False, line.box, line.up)] * BLOCK_LINES
+    return out
+
+
+def _is_foot(line: _Line) -> bool:
+    return len(line.text) <= SURGE_CHARS and _FOOT.search(line.text) is not None
+
+
+def _goes_on(lines: list[_Line], last: int, after: int, marked: bool) -> bool:
+    """Whether a run that ended in a gap goes on: in the same container or, without marks, in the one that follows."""
+    box = lines[last].box
+    if all(line.box == box for line in lines[last + 1 : after + 1]):
+        return True
+    beside = lines[after].up == lines[last].up and lines[after].marked == lines[last].marked
+    return not marked and beside and not _is_foot(lines[after])
 
 
-def _runs(lines: list[_Line], lengths: list[int], surge: int) -> list[list[int]]:
+def _runs(lines: list[_Line], lengths: list[int], surge: int, *, marked: bool = False) -> list[list[int]]:
     """Lines between a surge and the dive after it, by the sums of blocks of lines.
 
     What was left out inside of a container is no dive: the run goes on behind
-    it with the next line of the same container.
+    it with the next line of the same container.  Without marks it also goes on
+    in the container that stands beside, and the foot of the page is a dive:
+    from a short line of that kind in another container on, and at the very end.
     """
     n = len(lengths)
     sums = [sum(lengths[i : i + BLOCK_LINES]) for i in range(n)] + [0]
@@ -205,16 +296,19 @@ def _runs(lines: list[_Line], lengths: list[int], surge: int) -> list[list[int]]
             continue
         run: list[int] = []
         while i < n:
+            foot = False
             while i < n and sums[i]:
-                run += [i] if lengths[i] else []
+                foot |= not marked and bool(run) and lines[i].box != lines[run[-1]].box and _is_foot(lines[i])
+                run += [i] if lengths[i] and not foot else []
                 i += 1
             after = i
             while after < n and not lines[after].text:
                 after += 1
-            box = lines[run[-1]].box
-            if after == n or not lengths[after] or any(line.box != box for line in lines[run[-1] + 1 : after + 1]):
+            if foot or after == n or not lengths[after] or not _goes_on(lines, run[-1], after, marked):
                 break
             i = after
+        while not marked and len(run) > 1 and _is_foot(lines[run[-1]]) and not any(x.text for x in lines[run[-1] + 1 :]):
+            run.pop()
         runs.append(run)
     return runs
 
@@ -234,7 +328,7 @@ def main_text(page: str | None) -> str:
     around = _runs(lines, outside, SURGE_CHARS)
     if sum(inside) >= max((sum(outside[i] for i in run) for run in around), default=1):
         # the marks hold the largest rise of the page: they say where it begins and ends
-        keep = _runs(lines, inside, 0)
+        keep = _runs(lines, inside, 0, marked=True)
     else:
         keep = _runs(lines, lengths, SURGE_CHARS)
     if not keep and any(lengths):
@@ -251,9 +345,12 @@ def extract_text(pages: DataFrame) -> DataFrame:
 
     Markup is stripped, elements that stand beside the article (by tag or by
     what class, id and role call them) leave a gap of empty lines, and every
-    block-level element begins a line.  Sums of text lengths over windows of
-    lines rise where the article begins and fall to nothing where it ends; text
-    between such points is kept, and goes on behind a gap in the same container.
+    block-level element begins a line.  A part of an article whose name may also
+    be a subject (a notice, a discussion) stays if it holds half of the text.
+    Sums of text lengths over windows of lines rise where the article begins and
+    fall to nothing where it ends; text between such points is kept, and goes on
+    behind a gap in the same container.  On pages without marks it also goes on
+    in the container beside, and short lines that begin the foot of a page end it.
     A line inside article or main weighs ``MARK_WEIGHT`` times its length, a line
     of links elsewhere nothing.  Where the marked lines weigh at least as much as
     any rise outside of them, only they count, however short; else every rise of

@@ -63,6 +63,48 @@ def test_names_of_elements(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize(
+    "naming",
+    [
+        "id='comments'", "id='comments' class='comments-area'", "class='user-comments'", "class='comment-list'",
+        "class='ad-slot'", "class='ad_box'", "id='ad-1'", "class='adSlot'", "class='share-buttons'",
+        "class='newsletter-signup'", "class='sidebar-left'", "class='related-posts'", "class='cookie-notice'",
+        "class='page-header'", "id='related-articles'", "class='reader-comments'", "role='complementary'",
+    ],
+)
+def test_parts_beside_the_text_of_an_article(naming):
+    for tag in ("div", "section", "ul"):
+        beside = f"<{tag} {naming}><p>not this</p><{tag}><li>nor that</li></{tag}></{tag}>"
+        assert main_text(f"<article><p>{LONG}</p>{beside}<p>End.</p></article>") == f"{LONG} End."
+        assert main_text(f"<main><p>{LONG}</p><p>End.</p>{beside}</main>") == f"{LONG} End."
+        if naming != "role='complementary'":
+            assert main_text(f"<body><div><p>{LONG}</p><p>End.</p></div>{beside}</body>") == f"{LONG} End."
+
+
+def test_comments_longer_than_their_article_go():
+    talk = "".join(f"<li>{LONG}</li>" for _ in range(20))
+    assert main_text(f"<article><p>{LONG}</p><ol class='comment-list'>{talk}</ol></article>") == LONG
+
+
+@pytest.mark.parametrize("naming", ["id='discussion'", "id='notice'", "id='related-work'", "class='discussion'"])
+def test_sections_named_for_what_they_are_about(naming):
+    page = f"<article><p>Short start.</p><section {naming}><p>{LONG}</p><p>{LONG}</p></section></article>"
+    assert main_text(page) == f"Short start. {LONG} {LONG}"
+
+
+@pytest.mark.parametrize("foot", ["Imprint text here", "© 2024 Some Site", "Copyright Some Site. All rights reserved."])
+def test_plain_foot_of_an_unmarked_page(foot):
+    assert main_text(f"<body><div><p>{LONG}</p><p>End.</p></div><div>{foot}</div></body>") == f"{LONG} End."
+    assert main_text(f"<body><div><p>{LONG}</p></div><div>{foot}</div><div>Contact us</div></body>") == LONG
+    assert main_text(f"<body><p>{LONG}</p><p>End.</p><p>{foot}</p></body>") == f"{LONG} End."
+    # inside of an article it is text
+    assert main_text(f"<article><p>{LONG}</p><p>{foot}</p></article>") == f"{LONG} {foot}"
+
+
+def test_second_container_of_an_unmarked_page():
+    assert main_text(f"<body><div>{LONG}</div><aside>x</aside><div>Short part</div></body>") == f"{LONG} Short part"
+
+
 def test_unmarked_page_keeps_the_surge():
     menu = "".join(f"<li><a href='/{i}'>entry {i}</a></li>" for i in range(20))
     page = (
