@@ -20,6 +20,7 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 # shingles of candidate groups that one verification task holds; larger groups are cut into tiles
 TILE_SHINGLES = 1 << 20
+TILE_SETS = 1 << 13
 # a list of document ids up to this many rows is broadcast to the text scan, a longer one is shuffled
 BROADCAST_ROWS = 1 << 19
 # classes of shingle order over which overlap is bounded before it is counted
@@ -245,12 +246,15 @@ def _open_sets(percent: int):
 
 
 def _full_sets(docs: DataFrame, k: int, units: int) -> DataFrame:
-    """(digest, n, shingles, unit) of given documents; a digest may come more than once."""
+    """(digest, n, shingles, unit) of given documents; a digest comes once per task at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
-            sets = list(_batch_sets(batch, k))
-            digests = [_digest(s) for s in sets]
+            # rows that repeat an id, or have none, may be copies
+            fresh = {d: s for s in _batch_sets(batch, k) if (d := _digest(s)) not in seen}
+            seen.update(fresh)
+            digests, sets = list(fresh), list(fresh.values())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(digests, pa.binary()),
@@ -399,20 +403,29 @@ def _bucket_links(percent: int):
 # ------------------------------------------------------------------ verification
 
 
+def _roots(parent: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """The representative of each node's class."""
+    found = parent[nodes]
+    while (parent[found] != found).any():
+        found = parent[found]
+    return found
+
+
 def _links(
-    sets: list[np.ndarray], tile: np.ndarray, cross: bool, percent: int
+    sets: list[np.ndarray], copies: np.ndarray, tile: np.ndarray, cross: bool, percent: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """All linked pairs of sets, or only those across two tiles.
+    """A member of the class of each set, and the copies that it links to; or only by links across two tiles.
 
     Sets are taken by size.  Candidates share a shingle of both rare-first
     prefixes, have compatible sizes, and could still overlap enough after their
     first common shingle (positional) and by their counts per part of the
     order (suffix).  Only then are the common shingles counted, once per pair.
+    The pairs of one set are folded into classes and counts before the next one's.
     """
     size = np.array([len(s) for s in sets])
     order = np.argsort(size, kind="stable")
-    size = size[order]
-    tile = tile[order]
+    size, weight, tile = size[order], copies[order], tile[order]
+    parent, counts = np.arange(len(sets)), np.zeros(len(sets), dtype=np.int64)
     owner = np.repeat(np.arange(len(sets)), size)
     _, number, total = np.unique(
         np.concatenate([sets[i] for i in order]), return_inverse=True, return_counts=True
@@ -437,7 +450,6 @@ def _links(
     part = value * SUFFIX_PARTS // max(1, len(total) - alone)
     parts = np.bincount(owner * SUFFIX_PARTS + part, minlength=len(sets) * SUFFIX_PARTS)
     parts = parts.reshape(-1, SUFFIX_PARTS)
-    left, right = [], []
     for i in range(1, len(sets)):
         own = value[cuts[i] : cuts[i + 1]]
         mine = own[in_prefix[cuts[i] : cuts[i + 1]]]
@@ -469,11 +481,15 @@ def _links(
             lists = np.concatenate([every[every_cuts[v] : every_cuts[v + 1]] for v in own])
             common = np.bincount(lists, minlength=len(sets))[j]
         j = j[common >= needed]
-        left.append(np.full(len(j), i))
-        right.append(j)
-    if not left:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    return order[np.concatenate(left)], order[np.concatenate(right)]
+        if len(j):
+            counts[i] += weight[j].sum()
+            counts[j] += weight[i]
+            met = np.append(j, i)
+            heads = _roots(parent, met)
+            parent[heads] = parent[met] = heads.min()
+    label, links = np.empty_like(parent), np.empty_like(counts)
+    label[order], links[order] = order[_roots(parent, np.arange(len(sets)))], counts
+    return label, links
 
 
 def _verify(percent: int):
@@ -490,10 +506,8 @@ def _verify(percent: int):
         label, links = np.arange(len(keys)), np.zeros(len(keys), dtype=np.int64)
         for a, b in zip(ends[:-1], ends[1:]):
             own = order[a:b]
-            left, right = _links([sets[i] for i in own], tile[own], cross, percent)
-            label[own] = own[_unite(len(own), left, right)]
-            links[own] += np.bincount(left, weights=copies[own][right], minlength=len(own)).astype(np.int64)
-            links[own] += np.bincount(right, weights=copies[own][left], minlength=len(own)).astype(np.int64)
+            members, links[own] = _links([sets[i] for i in own], copies[own], tile[own], cross, percent)
+            label[own] = own[members]
         at = np.flatnonzero(links)
         return pa.table(
             {
@@ -545,10 +559,11 @@ def _verified(sets: DataFrame, places: DataFrame, parts: int, percent: int) -> D
     )
 
 
-def _places(candidates: DataFrame, chosen: DataFrame, tile_shingles: int) -> DataFrame:
-    """(digest, root, copies, tiles, tile) of every set that met another."""
+def _places(candidates: DataFrame, chosen: DataFrame, tile_shingles: int, tile_sets: int) -> DataFrame:
+    """(digest, root, copies, tiles, tile) of every set that met another; a tile is bounded by shingles and by sets."""
     members = candidates.withColumnRenamed("node", "digest").join(chosen, "digest")
-    tiles = members.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(tile_shingles)).cast("int").alias("tiles"))
+    needed = F.greatest(F.ceil(F.sum("n") / F.lit(tile_shingles)), F.ceil(F.count(F.lit(1)) / F.lit(tile_sets)))
+    tiles = members.groupBy("root").agg(needed.cast("int").alias("tiles"))
     tile = F.pmod(F.xxhash64("digest"), "tiles").cast("int")
     return members.join(tiles, "root").select("digest", "root", "copies", "tiles", tile.alias("tile"))
 
@@ -559,6 +574,7 @@ def jaccard_components(
     shingle_words: int = SHINGLE_WORDS,
     percent: int = PERCENT,
     tile_shingles: int = TILE_SHINGLES,
+    tile_sets: int = TILE_SETS,
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Near-duplicate classes of ``docs(doc_id, text)``: one row per row.
@@ -605,7 +621,7 @@ def jaccard_components(
     sets_path = scratch_path(spark, "jaccard-sets")
     sets = materialize(_full_sets(texts, shingle_words, parts), "jaccard-sets", sets_path)
     candidates = components(_candidate_edges(sets, percent, parts))
-    places = materialize(_places(candidates, chosen.drop("first_id"), tile_shingles), "jaccard-places")
+    places = materialize(_places(candidates, chosen.drop("first_id"), tile_shingles, tile_sets), "jaccard-places")
     linked = materialize(_verified(sets, _small(places, broadcast_rows), parts, percent), "jaccard-links")
     discard(spark, sets_path)
     roots = components(linked).withColumnRenamed("node", "digest")

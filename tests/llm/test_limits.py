@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from clickweave.llm import language
 from clickweave.llm.exact import exact_dedup
+from clickweave.llm.jaccard import jaccard_components
 from clickweave.llm.language import fit_languages, predict_languages
 from clickweave.llm.lines import line_dedup
 from clickweave.llm.secrets import KINDS, find_secrets, fit_tagger
@@ -235,3 +236,30 @@ def test_conflicting_labels_and_repeated_rows_teach_alike(spark):
     assert scores[0] == scores[1]
 
 
+
+
+# ------------------------------------------------------------------ Jaccard join
+
+
+def test_many_near_copies(spark):
+    """3000 texts of one class, one word apart from a common one: classes and links, with several tiles."""
+    base = [f"w{i}" for i in range(60)]
+    data = []
+    for i in range(3000):
+        words = list(base)
+        words[30] = f"own{i}"
+        data.append((i, " ".join(words)))
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(8)
+    # two such sets share 51 of 61 shingles
+    for limits in ({}, {"tile_sets": 700}):
+        found = jaccard_components(docs, **limits)
+        got = found.groupBy("n_shingles", "component_id", "n_links").count().collect()
+        assert [tuple(r) for r in got] == [(56, 0, 2999, 3000)]
+
+
+def test_near_copies_among_rows_without_an_id(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    data = [(None, base)] * 900 + [(4, base + " x"), (9, base)] + [(7, f"{base} y")] * 300 + [(12, "other words here")]
+    found = jaccard_components(spark.createDataFrame(data, "doc_id long, text string").repartition(6)).collect()
+    got = Counter((r.doc_id, r.component_id, r.n_links) for r in found)
+    assert got == Counter({(None, 4, 1201): 900, (4, 4, 1201): 1, (9, 4, 1201): 1, (7, 4, 1201): 300, (12, 12, 0): 1})
