@@ -47,10 +47,14 @@ def _keyless(keys: Sequence[str]) -> Column:
 
 
 def hot_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Hashes of the keys that need a salt, as a written table of at most 2 x reduce tasks rows."""
+    """Hashes of the keys that need a salt, as a written table of at most 2 x reduce tasks rows.
+
+    The rows are read once: their number is the sum of the counts, which the
+    planner takes from the same exchange.
+    """
     keyed = rows.where(~_keyless(keys)).select(F.xxhash64(*keys).alias("_hash"))
     counts = keyed.groupBy("_hash").agg(F.count("*").alias("n"))
-    limit = HOT_SHARE * keyed.count() / reduce_tasks(rows.sparkSession)
+    limit = counts.agg((F.sum("n") * F.lit(HOT_SHARE / reduce_tasks(rows.sparkSession))).alias("limit")).scalar()
     return materialize(counts.where(F.col("n") > limit).select("_hash"), "hot-keys")
 
 

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from clickweave.operators import onehot, profile
 from clickweave.operators.observations import parse_observations
+from clickweave.plans import lookup
 
 
 def _observations(spark, *texts):
@@ -164,3 +165,19 @@ def test_hashed_encoding_reads_each_digest_once(spark, skewed):
 def test_total_nnz_by_group(spark, skewed):
     encoded = onehot.encode_ohe(skewed, onehot.fit_dictionary(skewed))
     assert {r["label"]: r["total_nnz"] for r in profile.total_nnz(encoded, ["label"]).collect()} == {0.0: 4500, 1.0: 4500}
+
+
+def test_hot_keys_are_counted_in_one_pass(spark, tmp_path):
+    """What steers the salting costs one scan of the rows."""
+    rows = spark.range(0, 4000, 1, 6).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    hot = lookup.hot_keys(rows.mapInArrow(count, "k bigint"), ["k"])
+    assert hot.count() == 1 and seen.value == 4000
+    assert lookup.hot_keys(rows.limit(0), ["k"]).count() == 0
+    assert lookup.hot_keys(rows.select(F.lit(None).cast("bigint").alias("k")), ["k"]).count() == 0
