@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from clickweave.functions.scalar import fixed_text, scientific_text
 from clickweave.operators import (
     descent,
     grid,
@@ -329,6 +330,17 @@ def q_sparsity(spark, sf_dir):
     return both.withColumn("sparsity", F.round("sparsity", 9))
 
 
+def q_metric_formats(spark, sf_dir):
+    """Metrics as they are shown: losses with three decimals, sparsities in scientific notation."""
+    losses = scoring.baseline_log_loss(_observations(spark, sf_dir)).select(
+        F.concat(F.lit("baseline "), "split").alias("metric"), fixed_text(F.col("log_loss")).alias("text")
+    )
+    sparsities = q_sparsity(spark, sf_dir).select(
+        F.concat(F.lit("sparsity "), "encoding").alias("metric"), scientific_text(F.col("sparsity")).alias("text")
+    )
+    return losses.unionByName(sparsities)
+
+
 def q_first_k_sum(spark, sf_dir):
     encoded = _hashed(spark, sf_dir)
     amounts = {"nnz": profile.nnz().cast("bigint"), "label": F.col("label")}
@@ -543,6 +555,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "frequency_histogram": q_frequency_histogram,
         "frequency_histogram_log": q_frequency_histogram_log,
         "sparsity": q_sparsity,
+        "metric_formats": q_metric_formats,
         "first_k_sum": q_first_k_sum,
         "row_logloss": q_row_logloss,
         "class_rate": _q_class_rate("events"),

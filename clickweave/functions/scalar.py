@@ -37,3 +37,13 @@ def pow2_bucket(n: Column) -> Column:
         ladder = ladder.when(n <= size, size)
         size *= 2
     return ladder.otherwise(OVERFLOW_BUCKET)
+
+
+def fixed_text(number: Column, digits: int = 3) -> Column:
+    """A metric for display with so many decimals, halves away from zero; NULL stays NULL."""
+    return F.when(number.isNotNull(), F.format_string(f"%.{int(digits)}f", number.cast("double")))
+
+
+def scientific_text(number: Column, digits: int = 7) -> Column:
+    """A metric for display as d.ddde-dd with so many decimals; NULL stays NULL."""
+    return F.when(number.isNotNull(), F.format_string(f"%.{int(digits)}e", number.cast("double")))

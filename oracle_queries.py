@@ -392,6 +392,21 @@ SELECT 'ohe' AS encoding, round(count(*) / any_value(n) / (SELECT count(*) FROM
 FROM enc, rows WHERE split = 'train'
 UNION ALL
 SELECT 'hashed', round(count(*) / any_value(n) / 32768, 9) FROM henc, rows WHERE split = 'train'""",
+    ),
+    "metric_formats": query(
+        "events", OBSERVATIONS, DICTIONARY, OHE, hashed(32768).replace("enc AS", "henc AS"),
+        f"""
+rows AS (SELECT count(*) AS n FROM labelled WHERE split = 'train'),
+base AS (SELECT split, avg({log_loss("rate", "label")}) AS loss
+  FROM labelled, (SELECT avg(label) AS rate FROM labelled WHERE split = 'train') GROUP BY split)""",
+        select="""
+SELECT 'baseline ' || split AS metric, printf('%.3f', loss) AS text FROM base
+UNION ALL
+SELECT 'sparsity ohe', printf('%.7e', round(count(*) / any_value(n) / (SELECT count(*) FROM dict), 9))
+FROM enc, rows WHERE split = 'train'
+UNION ALL
+SELECT 'sparsity hashed', printf('%.7e', round(count(*) / any_value(n) / 32768, 9))
+FROM henc, rows WHERE split = 'train'""",
     ),
     "first_k_sum": query(
         "events", OBSERVATIONS, hashed(32768), """

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clickweave.functions.hashing import md5_mod
-from clickweave.functions.scalar import log_loss, pow2_bucket, probability
+from clickweave.functions.scalar import fixed_text, log_loss, pow2_bucket, probability, scientific_text
 from clickweave.operators.hashed import encode_hashed
 from clickweave.operators.observations import parse_observations
 
@@ -83,3 +83,16 @@ def test_equal_feature_strings_count_once(spark):
     names = {value + str(i) for i, value in enumerate(feats)}
     assert sum(row["values"]) == len(names) == 11
     assert dict(zip(row["indices"], row["values"]))[88] >= 1.0
+
+
+@pytest.mark.parametrize("x", [0.0, 0.5358441, 1.6717677e-4, 1.1805561e-3, -12345.678, 1e-300, 3.0, 18135.4834348])
+def test_number_formats(spark, x):
+    row = spark.createDataFrame([(x,)], "x double").select(
+        fixed_text(F.col("x")), scientific_text(F.col("x")), fixed_text(F.col("x"), 0), scientific_text(F.col("x"), 1)
+    ).first()
+    assert tuple(row) == (f"{x:.3f}", f"{x:.7e}", f"{x:.0f}", f"{x:.1e}")
+
+
+def test_number_formats_of_nothing(spark):
+    rows = spark.createDataFrame([(None,)], "x double").select(fixed_text(F.col("x")), scientific_text(F.col("x")))
+    assert tuple(rows.first()) == (None, None)
