@@ -118,7 +118,8 @@ def _fit_machine(x: np.ndarray, names: np.ndarray) -> Machine:
     pairs, weights = list(combinations(range(len(classes)), 2)), []
     for i, j in pairs:
         own = (names == classes[i]) | (names == classes[j])
-        weights.append(fit_svm(x[own], np.where(names[own] == classes[i], 1.0, -1.0)))
+        # all rows need no copy
+        weights.append(fit_svm(x if own.all() else x[own], np.where(names[own] == classes[i], 1.0, -1.0)))
     return Machine(classes, pairs, np.array(weights))
 
 
@@ -186,8 +187,11 @@ def fit_languages(
     if not found:
         return LanguageModel(None, {})
     found.sort(key=lambda r: (r["lang"], bytes(r["x"])))
-    x = np.array([np.frombuffer(r["x"], np.float16) for r in found], dtype=np.float32)
     names = np.array([r["lang"] for r in found], dtype=object)
+    x = np.empty((len(found), 1 << _SLOT_BITS), np.float32)
+    for i in range(len(found)):
+        x[i] = np.frombuffer(found[i]["x"], np.float16)
+        found[i] = None
     families = np.array([family_of(v) for v in names], dtype=object)
     inner = {f: _fit_machine(x[families == f], names[families == f]) for f in sorted(set(families.tolist()))}
     return LanguageModel(_fit_machine(x, families), inner)

@@ -14,10 +14,14 @@ def fit_svm(x: np.ndarray, y: np.ndarray, *, cost: float = 10.0, passes: int = 2
 
     The last weight is the bias.  Classes are weighted to count the same.
     """
-    x = np.hstack([x, np.ones((len(x), 1), dtype=x.dtype)]).astype(np.float64)
+    # one copy of the rows and no more: they are what the driver's memory goes to
+    rows = np.ones((len(x), x.shape[1] + 1))
+    rows[:, :-1] = x
+    x = rows
     share = np.where(y > 0, max(1, (y > 0).sum()), max(1, (y < 0).sum()))
     diagonal = 0.5 * share / (cost * len(y) / 2)
-    curvature = (x * x).sum(axis=1) + diagonal
+    parts = [(x[a : a + 256] * x[a : a + 256]).sum(axis=1) for a in range(0, len(x), 256)]
+    curvature = np.concatenate([np.zeros(0), *parts]) + diagonal
     alpha, weights = np.zeros(len(y)), np.zeros(x.shape[1])
     order = np.random.default_rng(seed)
     for _ in range(passes):
