@@ -1,6 +1,9 @@
 import math
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -226,6 +229,31 @@ def test_blocks_are_cut_by_rows_and_entries(encoded, monkeypatch):
         assert np.allclose(_weights(descent.fit_sgd(encoded, DIMENSION, SETTINGS[:1], 5)), plain, atol=1e-12)
 
 
+def test_room_of_a_gradient_share_does_not_grow_with_its_rows():
+    """Four times the rows of a task take no more room at a time."""
+    rng = np.random.default_rng(5)
+    sent = SimpleNamespace(value=np.zeros((1, 1001)))
+
+    def room(rows):
+        idx = pa.array(rng.integers(0, 1000, 4 * rows))
+        lists = [pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * 4), v) for v in
+                 (idx, pa.array(np.ones(4 * rows)))]
+        batch = pa.RecordBatch.from_arrays([pa.array(np.ones(rows)), *lists], ["label", "indices", "values"])
+        blocks = list(descent._pack(iter([batch])))
+        assert sum(b.nbytes for b in blocks) < 30 * rows
+        share = descent._gradient_shares(sent, [0], True, None, descent.ENTRIES_AT_ONCE)
+        tracemalloc.start()
+        try:
+            found = list(share(iter(blocks)))
+            peak = tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+        assert sum(b["used"][0].as_py() for b in found) == rows
+        return peak
+
+    assert room(400_000) < 1.2 * room(100_000)
+
+
 def test_tasks_follow_the_row_count(spark, monkeypatch):
     monkeypatch.setattr(descent, "ROWS_PER_TASK", 100)
     for parts, rows, expected in [(1, 50, 1), (1, 350, 4), (7, 350, 4), (3, 250, 3)]:
