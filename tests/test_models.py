@@ -229,6 +229,25 @@ def test_blocks_are_cut_by_rows_and_entries(encoded, monkeypatch):
         assert np.allclose(_weights(descent.fit_sgd(encoded, DIMENSION, SETTINGS[:1], 5)), plain, atol=1e-12)
 
 
+def test_shares_are_added_before_they_are_sent(encoded, monkeypatch):
+    """Where the tasks' shares overlap, the driver gets the sum of them, not each."""
+    plain = [_weights(descent.fit_sgd(encoded, DIMENSION, SETTINGS, 5), k) for k in range(len(SETTINGS))]
+    original, reducers = descent._gradient, []
+
+    def counting(blocks, weights, models, n, *rest):
+        reducers.append(n)
+        return original(blocks, weights, models, n, *rest)
+
+    monkeypatch.setattr(descent, "_gradient", counting)
+    monkeypatch.setattr(descent, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(descent, "NUMBERS_ADDED_HERE", 0, raising=False)
+    monkeypatch.setattr(descent, "PIECE", 7, raising=False)
+    fitted = descent.fit_sgd(encoded, DIMENSION, SETTINGS, 5)
+    assert reducers[0] == 0 and all(n > 0 for n in reducers[1:]) and len(reducers) > 2
+    for k, w in enumerate(plain):
+        assert np.allclose(_weights(fitted, k), w, atol=1e-12)
+
+
 def test_room_of_a_gradient_share_does_not_grow_with_its_rows():
     """Four times the rows of a task take no more room at a time."""
     rng = np.random.default_rng(5)
