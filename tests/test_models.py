@@ -360,6 +360,20 @@ def test_large_weights_do_not_move_the_entries(spark, encoded):
             spark.conf.set(k, v)
 
 
+def test_large_fits_encode_their_rows_once(spark, encoded):
+    passed = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            passed.add(batch.num_rows)
+            yield batch
+
+    rows = encoded.select("label", "indices", "values")
+    counted = rows.mapInArrow(count, rows.schema)
+    descent.fit_sgd(counted, DIMENSION, SETTINGS[:1], 2, 0.0, **PATHS["shuffled"])
+    assert passed.value == 400
+
+
 def test_two_weight_tables_at_most(spark, encoded, tmp_path, monkeypatch):
     seen = []
     original = descent.materialize
